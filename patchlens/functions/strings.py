@@ -18,23 +18,34 @@ def strip_chars_to_int(c, chars: str) -> Column:
     return F.ltrim(_col(c), F.lit(chars)).try_cast("bigint")
 
 
-def _fold_rules(c, rules: Sequence[tuple[str, str]], test) -> Column:
-    # Rules apply one after the other to the value the previous rule left,
-    # exactly like a chain of element-wise replacements.
-    out = _col(c)
-    for needle, target in rules:
-        out = F.when(test(out, F.lit(needle)), F.lit(target)).otherwise(out)
-    return out
+def _fold_rules(c, rules: Sequence[tuple[str, str]], test, py_test) -> Column:
+    """Rules apply one after the other to the value the previous rule left.
+
+    The first rule that matches the input decides; its target then passes
+    the later rules.  That tail is a constant, so it is folded here on the
+    driver, and the column expression is one flat CASE with one branch per
+    rule (no nesting, so its size stays linear in the number of rules).
+    """
+    v = _col(c)
+    out = None
+    for i, (needle, target) in enumerate(rules):
+        final = target
+        for later_needle, later_target in rules[i + 1:]:
+            if py_test(final, later_needle):
+                final = later_target
+        cond = test(v, F.lit(needle))
+        out = F.when(cond, F.lit(final)) if out is None else out.when(cond, F.lit(final))
+    return v if out is None else out.otherwise(v)
 
 
 def normalise_prefix(c, rules: Sequence[tuple[str, str]]) -> Column:
     """Value starting with a rule's prefix becomes the rule's target."""
-    return _fold_rules(c, rules, lambda v, p: v.startswith(p))
+    return _fold_rules(c, rules, lambda v, p: v.startswith(p), lambda v, p: v.startswith(p))
 
 
 def normalise_contains(c, rules: Sequence[tuple[str, str]]) -> Column:
     """Value containing a rule's substring becomes the rule's target."""
-    return _fold_rules(c, rules, lambda v, p: v.contains(p))
+    return _fold_rules(c, rules, lambda v, p: v.contains(p), lambda v, p: p in v)
 
 
 def digits_or_empty(c) -> Column:
