@@ -235,3 +235,100 @@ FROM a WHERE arr IS NULL OR len(arr) = 0
 SELECT DISTINCT p_brand FROM part
 """,
 }
+
+_LINES = """
+j AS (SELECT l.*, o.o_orderdate, o.o_orderpriority,
+             strftime(o.o_orderdate, '%Y-%b') || '#' || CAST(l.l_orderkey AS VARCHAR) || '#' || CAST(l.l_linenumber AS VARCHAR) AS k
+      FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
+"""
+
+ORACLES.update({
+    "xml_roundtrip_lines": f"""
+WITH {_LINES}
+SELECT CAST(0 AS BIGINT) AS id, k AS doc_xml_date, 'CVE-' || CAST(l_orderkey AS VARCHAR) AS cve,
+       o_orderpriority AS title, l_returnflag AS cwe, l_linestatus AS cwe_text FROM j
+UNION ALL
+SELECT CAST(1 AS BIGINT), k, 'CVE-S-' || CAST(l_suppkey AS VARCHAR), 'Supplier ' || CAST(l_suppkey AS VARCHAR), '', ''
+FROM j WHERE l_returnflag <> 'R'
+""",
+    "xml_position_key": f"""
+WITH {_LINES}
+SELECT CAST(0 AS BIGINT) AS vulnerability_fk, k AS doc_xml_date, l_linestatus AS status_type,
+       CAST(l_partkey AS VARCHAR) AS product_id FROM j
+UNION ALL
+SELECT CAST(0 AS BIGINT), k, l_linestatus, CAST(l_suppkey AS VARCHAR) FROM j
+UNION ALL
+SELECT CAST(1 AS BIGINT), k, 'Supplier', CAST(l_suppkey AS VARCHAR) FROM j WHERE l_returnflag <> 'R'
+""",
+    "xml_first_child": f"""
+WITH {_LINES}
+SELECT CAST(0 AS BIGINT) AS vulnerability_fk, k AS doc_xml_date, printf('%.2f', l_discount) AS base_score,
+       printf('%.2f', l_tax) AS temporal_score, l_returnflag || '/' || l_linestatus AS vector,
+       CAST(l_suppkey AS VARCHAR) AS product_id, l_returnflag AS threat_description,
+       CAST(l_suppkey AS VARCHAR) AS threat_product_id
+FROM j
+""",
+    "xml_all_children": f"""
+WITH {_LINES}
+SELECT CAST(0 AS BIGINT) AS vulnerability_fk, k AS doc_xml_date, CAST(l_partkey AS VARCHAR) AS kb,
+       'Vendor Fix' AS remediation_type, 'https://example.com/kb/' || CAST(l_partkey AS VARCHAR) AS url,
+       CAST(l_partkey AS VARCHAR) || ',' || CAST(l_suppkey AS VARCHAR) AS product_id,
+       'Security Update' AS subtype, '10.0.' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS fixed_build
+FROM j
+UNION ALL
+SELECT CAST(0 AS BIGINT), k, '', 'Workaround', '', CAST(l_partkey AS VARCHAR), '', '' FROM j
+""",
+    "xml_nested_flatten": """
+SELECT 'acct-' || CAST(c_custkey AS VARCHAR) AS id, c_name AS product_name, '' AS product_type,
+       '' AS branch_name, CAST(c_custkey AS VARCHAR) AS doc_xml_date
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+UNION ALL
+SELECT CAST(c_custkey AS VARCHAR), c_name, 'Nation', n.n_name, CAST(c_custkey AS VARCHAR)
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+""",
+    "xml_document_attrs": """
+SELECT strftime(o_orderdate, '%Y-%b') || '#' || CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS status,
+       '2.0' AS version, 2 AS revision_history_number,
+       strftime(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 3 AS INTEGER), '%Y-%m-%d %H:%M:%S') AS revision_history_date,
+       o_orderpriority AS revision_history_description,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS initial_relise_date,
+       strftime(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 3 AS INTEGER), '%Y-%m-%d %H:%M:%S') AS current_relise_date,
+       'Vendor' AS publisher_type, CAST(o_custkey AS VARCHAR) AS contact_details,
+       'Order desk' AS issuring_authority, 'Order ' || CAST(o_orderkey AS VARCHAR) AS document_title,
+       'Order Record' AS document_type, '' AS vlun, '' AS cvrf,
+       CAST(2 AS BIGINT) AS note_count, 'Internal' AS last_note_audience
+FROM orders
+""",
+})
+
+ORACLES.update({
+    "xml_first_child": f"""
+WITH {_LINES}
+SELECT CAST(0 AS BIGINT) AS vulnerability_fk, k AS doc_xml_date, printf('%.2f', l_discount) AS base_score,
+       printf('%.2f', l_tax) AS temporal_score, l_returnflag || '/' || l_linestatus AS vector,
+       CAST(l_suppkey AS VARCHAR) AS product_id
+FROM j
+""",
+    "xml_threats": f"""
+WITH {_LINES}
+SELECT CAST(0 AS BIGINT) AS vulnerability_fk, k AS doc_xml_date, '' AS title, 'Impact' AS threats_type,
+       l_returnflag AS description, CAST(l_suppkey AS VARCHAR) AS product_id
+FROM j
+""",
+    "json_columns_to_rows": """
+SELECT n_regionkey AS r_regionkey, n_nationkey, n_name FROM nation
+""",
+    "json_records_roundtrip": """
+SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts_text FROM events
+""",
+    "rename_and_default_load": """
+SELECT s_suppkey AS id, s_name AS name, s_nationkey AS nation_id, '' AS title,
+       '1998-03-10 00:00:00' AS loaded_at FROM supplier
+""",
+    "overwrite_month_idempotent": """
+SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%b') AS doc_xml_date FROM orders
+""",
+})
+ORACLES["stream_star_mart"] = ORACLES["mart_wide_star"]
+ORACLES["stream_catalog"] = ORACLES["mart_catalog_top_build"]
+ORACLES["stream_latest"] = ORACLES["latest_per_key"]

@@ -84,9 +84,13 @@ def _orders_as_vulnerabilities(spark, d):
         F.col("o_orderpriority").alias("vul_title"), F.col("o_orderstatus").alias("cwe"))
 
 
-def mart_wide_star(spark: SparkSession, d: str) -> DataFrame:
+def mart_wide_star(spark: SparkSession, d: str, labels: list[str] | None = None) -> DataFrame:
+    """``labels`` restricts the mart to those months (incremental rebuild)."""
     v = _orders_as_vulnerabilities(spark, d)
     li = table(spark, d, "lineitem")
+    if labels is not None:
+        v = v.where(F.col("doc_xml_date").isin(labels))
+        li = li.join(v.select(F.col("id").alias("l_orderkey")), "l_orderkey", "left_semi")
     status = collect_distinct(li.select(F.col("l_orderkey").alias("id"),
                                         F.col("l_linestatus").alias("status_type"), "l_partkey"),
                               ["id", "status_type"], {"status_product_id": "l_partkey"})
@@ -97,7 +101,10 @@ def mart_wide_star(spark: SparkSession, d: str) -> DataFrame:
                               ["id", "base_score", "temporal_score"],
                               {"score_set_product_id": "l_suppkey"})
     # one row per month label: bounded by the calendar, so broadcast is safe
-    docs = (table(spark, d, "orders").groupBy(month_label("o_orderdate").alias("doc_xml_date"))
+    o = table(spark, d, "orders").select(month_label("o_orderdate").alias("doc_xml_date"), "o_orderdate")
+    if labels is not None:
+        o = o.where(F.col("doc_xml_date").isin(labels))
+    docs = (o.groupBy("doc_xml_date")
             .agg(day_text(F.min("o_orderdate")).alias("doc_initial_relise_date"),
                  day_text(F.max("o_orderdate")).alias("doc_current_relise_date")))
     star = left_join_with_defaults(v, status, ["id"])
@@ -121,9 +128,11 @@ def mart_revision_right_join(spark: SparkSession, d: str) -> DataFrame:
                       "rev_description")
 
 
-def mart_catalog_top_build(spark: SparkSession, d: str) -> DataFrame:
+def mart_catalog_top_build(spark: SparkSession, d: str, labels: list[str] | None = None) -> DataFrame:
     li = table(spark, d, "lineitem")
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+    if labels is not None:
+        orders = orders.where(month_label("o_orderdate").isin(labels))
     rem = li.join(orders, li["l_orderkey"] == orders["o_orderkey"]).select(
         month_label("o_orderdate").alias("doc_xml_date"),
         F.concat(F.lit("CVE-"), F.col("l_orderkey").cast("string")).alias("cve"),
@@ -292,3 +301,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "explode_outer": explode_outer_q,
     "distinct_codes": distinct_codes,
 }
+
