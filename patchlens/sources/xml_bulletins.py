@@ -47,4 +47,7 @@ def valid_documents(docs: DataFrame) -> DataFrame:
 
 
 def corrupt_documents(docs: DataFrame) -> DataFrame:
-    return docs.where(F.col(schemas.CORRUPT).isNotNull()).select("doc_xml_date", schemas.CORRUPT)
+    # Spark refuses a scan that reads only the corrupt-record column, so a
+    # parsed field is carried along
+    return docs.where(F.col(schemas.CORRUPT).isNotNull()) \
+               .select("doc_xml_date", "DocumentTitle", schemas.CORRUPT)

@@ -33,7 +33,7 @@ from patchlens.plans.bulletin_warehouse import load_documents
 from patchlens.sources.warehouse import overwrite_partitions
 from patchlens.sources.xml_bulletins import XML_OPTIONS, with_label
 
-VERSION_COL = "v"
+VERSION_COL = "_batch_id"
 
 
 def bulletin_stream(spark: SparkSession, landing: str) -> DataFrame:
@@ -76,7 +76,7 @@ def latest_log_batch(path: str, keys: Sequence[str], newest_first: Sequence[str]
                      columns: Sequence[str]) -> Callable[[DataFrame, int], None]:
     """foreachBatch body of a keep-latest-per-key table kept as a log: the
     batch, reduced to its latest row per key, is written as partition
-    ``v=<epoch>`` (a retried epoch rewrites only its own partition, so the
+    ``_batch_id=<epoch>`` (a retried epoch rewrites only its own partition, so the
     sink is exactly-once).  Readers take the latest row per key over all
     partitions (:func:`read_latest`), like a replacing merge on read."""
     def run(batch: DataFrame, epoch: int) -> None:
