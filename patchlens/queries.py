@@ -57,12 +57,8 @@ def exposure_recommended_list(spark: SparkSession, d: str) -> DataFrame:
 
 def exposure_full_report(spark: SparkSession, d: str) -> DataFrame:
     rep = exposure.full_report(analog.hosts(spark, d, with_install=True), analog.installed(spark, d),
-                               analog.catalog(spark, d, with_label=True))
-    return rep.select("hostname", "os_name", "os_version", "last_kb", "last_kb_date",
-                      "last_update_date",
-                      F.array_join(F.transform("rec_kb_arr", lambda x: F.array_join(x, ":")), ",")
-                      .alias("rec_kb_text"),
-                      "cve")
+                               analog.catalog(spark, d, with_label=True), rec_as_text=True)
+    return rep.withColumnRenamed("rec_kb_arr", "rec_kb_text")
 
 
 def newest_label_per_item(spark: SparkSession, d: str) -> DataFrame:

@@ -37,7 +37,7 @@ def _s(c) -> Column:
 
 
 def _render(doc: Column) -> Column:
-    return F.to_xml(doc, {"rowTag": "cvrfdoc"})
+    return F.to_xml(doc, {"rowTag": "cvrfdoc", "indent": ""})
 
 
 def line_documents(spark: SparkSession, d: str) -> DataFrame:
