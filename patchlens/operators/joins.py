@@ -34,13 +34,21 @@ def type_default(dt: T.DataType) -> Column:
 
 def left_join_with_defaults(left: DataFrame, right: DataFrame, on: Sequence[str],
                             keep_null: Iterable[str] = (),
-                            defaults: Mapping[str, object] | None = None) -> DataFrame:
+                            defaults: Mapping[str, object] | None = None,
+                            null_safe: bool = False) -> DataFrame:
     """``left LEFT JOIN right USING (on)``; right-side columns of unmatched
     rows get their type default instead of NULL, except those in
-    ``keep_null`` (the nullable ones).  ``defaults`` overrides per column."""
+    ``keep_null`` (the nullable ones).  ``defaults`` overrides per column.
+    ``null_safe`` makes NULL keys match each other (``<=>``), as a pandas
+    merge does; by default a NULL key matches nothing."""
     keep = set(keep_null)
     defaults = dict(defaults or {})
-    joined = left.join(right, list(on), "left")
+    if null_safe:
+        r = right.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns])
+        cond = [left[c].eqNullSafe(r[f"_r_{c}"]) for c in on]
+        joined = left.join(r, cond, "left").drop(*[f"_r_{c}" for c in on])
+    else:
+        joined = left.join(right, list(on), "left")
     out = []
     right_cols = {f.name: f.dataType for f in right.schema.fields if f.name not in on}
     for name in joined.columns:
