@@ -13,12 +13,13 @@ column is non-nullable.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patchlens import schemas
 from patchlens.functions.strings import digits_or_empty
-from patchlens.operators.windows import top_n_per_group
 
 DOC = "doc_xml_date"
 
@@ -103,24 +104,35 @@ def vulnerability_acknowledgment(vs: DataFrame) -> DataFrame:
                     _e(F.get(F.col("c.URL"), 0)).alias("url"))
 
 
+def _product_entries(products, typ, name) -> Column:
+    return F.transform(F.coalesce(products, F.array().cast(f"array<{schemas.PRODUCT_NAME.simpleString()}>")),
+                       lambda p: F.struct(_e(p["_ProductID"]).alias("id"), _e(p["_VALUE"]).alias("product_name"),
+                                          _e(typ).alias("product_type"), _e(name).alias("branch_name")))
+
+
+def _children_of(child_type):
+    # NULL child lists become empty ones, so flatten never turns NULL
+    return lambda b: F.coalesce(b["Branch"], F.array().cast(child_type))
+
+
 def product(docs: DataFrame, depth: int = schemas.BRANCH_DEPTH - 1) -> DataFrame:
     """Flatten the product tree: one row per element carrying a ProductID,
     with the Type and Name of the branch directly above it ('' at the top).
-    Each tree level is one ``explode`` of the level above; the levels are
-    unioned."""
-    def rows(frame: DataFrame, typ: Column, name: Column, products: Column) -> DataFrame:
-        return frame.select(DOC, typ.alias("product_type"), name.alias("branch_name"),
-                            F.explode(products).alias("p")) \
-                    .select(_e(F.col("p._ProductID")).alias("id"), _e(F.col("p._VALUE")).alias("product_name"),
-                            _e(F.col("product_type")).alias("product_type"),
-                            _e(F.col("branch_name")).alias("branch_name"), DOC)
-
-    out = rows(docs, F.lit(""), F.lit(""), F.col("ProductTree.FullProductName"))
-    level = docs.select(DOC, F.explode("ProductTree.Branch").alias("b"))
-    for _ in range(depth):
-        out = out.unionByName(rows(level, F.col("b._Type"), F.col("b._Name"), F.col("b.FullProductName")))
-        level = level.select(DOC, F.explode("b.Branch").alias("b"))
-    return out
+    Each level's branches are the concatenated child branches of the level
+    above (``flatten(transform(...))``), all inside the document row; one
+    ``explode`` at the end, so every document is read once."""
+    level_type = schemas.DOCUMENT["ProductTree"].dataType["Branch"].dataType
+    entries = [_product_entries(F.col("ProductTree.FullProductName"), F.lit(""), F.lit(""))]
+    level = F.coalesce(F.col("ProductTree.Branch"), F.array().cast(level_type))
+    for k in range(depth):
+        entries.append(F.flatten(F.transform(level, lambda b: _product_entries(
+            b["FullProductName"], b["_Type"], b["_Name"]))))
+        if k < depth - 1:
+            child_type = level_type.elementType["Branch"].dataType
+            level = F.flatten(F.transform(level, _children_of(child_type)))
+            level_type = child_type
+    return docs.select(DOC, F.explode(F.concat(*entries)).alias("p")) \
+               .select("p.id", "p.product_name", "p.product_type", "p.branch_name", DOC)
 
 
 def product_tree_overflow(docs: DataFrame, depth: int = schemas.BRANCH_DEPTH - 1) -> DataFrame:
@@ -143,15 +155,27 @@ def document_revision(docs: DataFrame) -> DataFrame:
     return _revision_rows(docs)
 
 
-def document_info(docs: DataFrame) -> DataFrame:
+def latest_revision(revisions) -> Column:
+    """The latest entry of a revision array (greatest date, then greatest
+    number read as a number, then description), computed inside the row:
+    no explode, shuffle or join."""
+    arr = F.coalesce(revisions, F.array().cast(f"array<{schemas.REVISION.simpleString()}>"))
+    return F.array_max(F.transform(arr, lambda r: F.struct(
+        _e(r["Date"]).alias("date"), _e(r["Number"]).try_cast("double").alias("num"),
+        _e(r["Description"]).alias("description"), _e(r["Number"]).alias("number"))))
+
+
+def document_info(docs: DataFrame, extra: Sequence[Column] = ()) -> DataFrame:
     """One row per document; its revision fields are those of the latest
-    revision (greatest date, then greatest number)."""
-    latest = top_n_per_group(_revision_rows(docs), [DOC],
-                             [F.col("revision_date").desc(),
-                              F.col("number").try_cast("double").desc_nulls_last()])
+    revision (greatest date, then greatest number).  ``extra`` columns
+    (expressions over the document row) are appended."""
     t = F.col("DocumentTracking")
-    base = docs.select(
+    latest = latest_revision(t["RevisionHistory"]["Revision"])
+    out = docs.select(
         F.col(DOC).alias("id"), _e(t["Status"]).alias("status"), _e(t["Version"]).alias("version"),
+        latest["num"].cast("int").alias("revision_history_number"),
+        latest["date"].try_cast("timestamp").alias("revision_history_date"),
+        _e(latest["description"]).alias("revision_history_description"),
         t["InitialReleaseDate"].try_cast("timestamp").alias("initial_relise_date"),
         t["CurrentReleaseDate"].try_cast("timestamp").alias("current_relise_date"),
         _e(F.col("DocumentPublisher._Type")).alias("publisher_type"),
@@ -161,16 +185,9 @@ def document_info(docs: DataFrame) -> DataFrame:
         *[_e(F.col(f"`{a}`")).alias(n) for a, n in zip(
             schemas.NAMESPACE_ATTRS,
             ["vlun", "dc", "cvrf_common", "prod", "scap_core", "cvssv2", "cpe_lang", "sch", "cvrf"])],
-        F.col(DOC))
-    rev = latest.select(
-        F.col(DOC).alias("_doc"),
-        F.col("number").try_cast("double").cast("int").alias("revision_history_number"),
-        F.col("revision_date").try_cast("timestamp").alias("revision_history_date"),
-        F.col("description").alias("revision_history_description"))
-    joined = base.join(rev, base[DOC] == rev["_doc"], "left").drop("_doc")
-    return joined.select(*[F.col(f.name) if f.name != "revision_history_description"
-                           else _e(F.col(f.name)).alias(f.name)
-                           for f in schemas.STAGING["document_info"].fields])
+        F.col(DOC), *extra)
+    return out.select(*[f.name for f in schemas.STAGING["document_info"].fields],
+                      *out.columns[len(schemas.STAGING["document_info"].fields):])
 
 
 def document_notes(docs: DataFrame) -> DataFrame:

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patchlens import schemas
-from patchlens.functions.dates import day_text, month_label
+from patchlens.functions.dates import month_label
+from patchlens.operators.partitioning import spread_rows
 from patchlens.plans import shred
 from patchlens.sources.xml_bulletins import parse_bulletin_text
 from patchlens.tables import table
@@ -43,7 +44,8 @@ def _render(doc: Column) -> Column:
 def line_documents(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem")
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
-    j = li.join(orders, li["l_orderkey"] == orders["o_orderkey"])
+    j = spread_rows(li.join(orders, li["l_orderkey"] == orders["o_orderkey"]),
+                    ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
     key = F.concat_ws("#", month_label("o_orderdate"), _s("l_orderkey"), _s("l_linenumber"))
     V = schemas.VULNERABILITY
     sub = {f.name: f.dataType for f in V.fields}
@@ -121,8 +123,8 @@ def customer_documents(spark: SparkSession, d: str) -> DataFrame:
     cust = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
     nation = F.broadcast(table(spark, d, "nation"))
     region = F.broadcast(table(spark, d, "region"))
-    j = cust.join(nation, cust["c_nationkey"] == nation["n_nationkey"]) \
-            .join(region, F.col("n_regionkey") == region["r_regionkey"])
+    j = spread_rows(cust.join(nation, cust["c_nationkey"] == nation["n_nationkey"])
+                    .join(region, F.col("n_regionkey") == region["r_regionkey"]), ["c_custkey"])
     branch = schemas.branch_type()
     pname = schemas.PRODUCT_NAME
     nation_branch = _typed(branch["Branch"].dataType.elementType, _Type=F.lit("Nation"), _Name=F.col("n_name"),
@@ -142,7 +144,7 @@ def xml_nested_flatten(spark: SparkSession, d: str) -> DataFrame:
 
 
 def order_documents(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders")
+    o = spread_rows(table(spark, d, "orders"), ["o_orderkey"])
     later = F.date_add(F.col("o_orderdate").cast("date"), (F.col("o_orderkey") % 3).cast("int"))
     later_ts = F.date_format(later, ISO_TS)
     first_ts = F.date_format("o_orderdate", ISO_TS)
@@ -174,13 +176,16 @@ def order_documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 def xml_document_attrs(spark: SparkSession, d: str) -> DataFrame:
+    """Document-level fields (X11-X15): tracking with its latest revision,
+    publisher, title, type, namespace declarations, and the notes list.
+    Every value is read inside the document row, so each is parsed once."""
     docs = parse_bulletin_text(order_documents(spark, d), "xml", "doc_key")
-    info = shred.document_info(docs)
-    notes = shred.document_notes(docs).groupBy(F.col("doc_xml_date").alias("_doc")).agg(
-        F.count(F.lit(1)).alias("note_count"),
-        F.max_by("audience", "note_id").alias("last_note_audience"))
-    out = info.join(notes, info["id"] == notes["_doc"], "left")
-    return out.select(
+    notes = F.coalesce(F.col("DocumentNotes.Note"),
+                       F.array().cast(schemas.DOCUMENT["DocumentNotes"].dataType["Note"].dataType))
+    info = shred.document_info(docs, extra=[
+        F.size(notes).cast("long").alias("note_count"),
+        F.try_element_at(notes, F.lit(-1))["_Audience"].alias("last_note_audience")])
+    return info.select(
         "id", "status", "version", "revision_history_number",
         F.date_format("revision_history_date", "yyyy-MM-dd HH:mm:ss").alias("revision_history_date"),
         "revision_history_description",
