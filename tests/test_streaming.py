@@ -41,3 +41,19 @@ def test_latest_log_survives_retried_epoch(spark, scratch):
     got = sorted(tuple(r) for r in incremental.read_latest(spark, path, ["hostname", "cve"], ["ts"]).collect())
     assert got == [("h", "c", 2, "b"), ("k", "c", 1, "z")]
     assert schemas.CORRUPT == "_corrupt_record"
+
+
+def test_backfill_loads_only_missing_months(spark, scratch):
+    landing = os.path.join(scratch, "landing")
+    os.makedirs(landing)
+    for name in ("2024-Jan.xml", "2024-Feb.xml"):
+        shutil.copy(os.path.join(FIXTURES, "bulletins", name), landing)
+    root = os.path.join(scratch, "wh")
+    assert bw.backfill(spark, os.path.join(landing, "*.xml"), root, 2024, 2024, AS_OF) == ["2024-Feb", "2024-Jan"]
+    for name in ("2024-Mar.xml", "2024-Apr.xml"):
+        shutil.copy(os.path.join(FIXTURES, "bulletins", name), landing)
+    # only the two new months are loaded on the next run
+    assert bw.backfill(spark, os.path.join(landing, "*.xml"), root, 2024, 2024, AS_OF) == ["2024-Apr", "2024-Mar"]
+    assert bw.backfill(spark, os.path.join(landing, "*.xml"), root, 2024, 2024, AS_OF) == []
+    labels = sorted(r[0] for r in bw.loaded_labels(spark, root).collect())
+    assert labels == ["2024-Apr", "2024-Feb", "2024-Jan", "2024-Mar"]
