@@ -31,6 +31,7 @@ AS_OF = "1998-03-10"
 ANALOG_PREFIX_RULES = [("small", "small items"), ("large", "large items"), ("red", "red items"),
                        ("blue", "blue items"), ("hot", "hot items"), ("cold", "cold items")]
 ANALOG_ALLOWED_LINES = ["small items", "large items", "red items", "blue items", "hot items"]
+NATION_COUNT = 25  # product lines of the mapping: the fixed TPC-H nation list
 ANALOG_CONTAINS_RULES = [("bolt", "fasteners"), ("rod", "fasteners"), ("gear", "drive parts"),
                          ("ring", "drive parts"), ("widget", "gadgets"), ("gizmo", "gadgets")]
 
@@ -38,14 +39,15 @@ ANALOG_CONTAINS_RULES = [("bolt", "fasteners"), ("rod", "fasteners"), ("gear", "
 # ---------------------------------------------------------------- exposure
 def exposure_open_items(spark: SparkSession, d: str) -> DataFrame:
     out = exposure.open_items(analog.hosts(spark, d), analog.installed(spark, d),
-                              analog.catalog(spark, d))
+                              analog.catalog(spark, d), salt=exposure.salt_for(spark, NATION_COUNT))
     return out.select("hostname", "os_line", empty_if_null("last_kb").alias("last_kb"), "cve")
 
 
 def exposure_recommended_list(spark: SparkSession, d: str) -> DataFrame:
     hi = analog.hosts(spark, d).join(analog.installed(spark, d), "hostname", "left")
     pairs = exposure._pairs(hi, exposure.HostCols(), "last_kb")
-    lists = exposure.recommended_lists(pairs, analog.catalog(spark, d), exposure.CatalogCols())
+    lists = exposure.recommended_lists(pairs, analog.catalog(spark, d), exposure.CatalogCols(),
+                                       salt=exposure.salt_for(spark, NATION_COUNT))
     out = hi.join(lists, (hi["os_line"] == lists["_line"]) & (hi["last_kb"] == lists["_hkb"]), "left")
     text = pairs_to_text(F.transform(F.coalesce("rec_kb_arr", F.array().cast(lists.schema["rec_kb_arr"].dataType)),
                                      lambda x: F.struct(x["kb"].alias("kb"),
@@ -57,7 +59,8 @@ def exposure_recommended_list(spark: SparkSession, d: str) -> DataFrame:
 
 def exposure_full_report(spark: SparkSession, d: str) -> DataFrame:
     rep = exposure.full_report(analog.hosts(spark, d, with_install=True), analog.installed(spark, d),
-                               analog.catalog(spark, d, with_label=True), rec_as_text=True)
+                               analog.catalog(spark, d, with_label=True), rec_as_text=True,
+                               salt=exposure.salt_for(spark, NATION_COUNT))
     return rep.withColumnRenamed("rec_kb_arr", "rec_kb_text")
 
 
