@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _in_utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Bulletin times are zone-less wall-clock times; the package computes in
+    UTC (epoch seconds, day text), so a caller's session is pinned to it."""
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+    return run
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from patchlens import queries, queries_io, queries_xml
     out = dict(queries.QUERIES)
     out.update(queries_xml.QUERIES)
     out.update(queries_io.QUERIES)
-    return out
+    return {k: _in_utc(v) for k, v in out.items()}
 
 
 def all_oracles() -> dict[str, str]:

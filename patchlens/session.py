@@ -41,14 +41,18 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared file system location and is
-    used as is.  Only when it is unset (local tests) is ``fallback`` (or a
-    folder under ``$PATCHLENS_SCRATCH``/``/tmp``) installed.
+    used as is (unset on a cluster is an error).  Only when it is unset on a
+    local master (tests) is ``fallback`` (or a folder under
+    ``$PATCHLENS_SCRATCH``/``/tmp``) installed.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not fallback and not spark.sparkContext.master.startswith("local"):
+        # a machine-local folder is not shared by the executors of a cluster
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or S3)")
     path = fallback or os.path.join(os.environ.get("PATCHLENS_SCRATCH", "/tmp"),
                                     "patchlens-checkpoints")
     spark.conf.set("spark.checkpoint.dir", path)
