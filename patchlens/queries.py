@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patchlens.functions.arrays import pairs_to_text, sorted_distinct_text
+from patchlens.functions.arrays import pairs_to_text
 from patchlens.functions.dates import (DAY_FORMAT, TS_FORMAT, day_text, epoch_to_timestamp,
                                        month_label, parse_month_label, recent_filter,
                                        same_month)
