@@ -316,7 +316,7 @@ SELECT CAST(0 AS BIGINT) AS vulnerability_fk, k AS doc_xml_date, '' AS title, 'I
 FROM j
 """,
     "json_columns_to_rows": """
-SELECT n_regionkey AS r_regionkey, n_nationkey, n_name FROM nation
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
 """,
     "json_records_roundtrip": """
 SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts_text FROM events

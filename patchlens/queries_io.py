@@ -30,12 +30,13 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def json_columns_to_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Column-layout JSON (``{"col": [..], ...}``) per region, read back to
-    rows.  Grouping is per region over the fixed 25-row nation table."""
-    nation = table(spark, d, "nation")
-    layout = json_layouts.rows_to_columns_json(nation, ["n_regionkey"], ["n_nationkey", "n_name"], "doc")
-    rows = json_layouts.columns_json_to_rows(layout, "doc", nation.select("n_nationkey", "n_name").schema)
-    return rows.select(F.col("n_regionkey").alias("r_regionkey"), "n_nationkey", "n_name")
+    """Column-layout JSON (``{"col": [..], ...}``) read back to rows.  One
+    object per (order, line number) group of lineitem - groups of one or a
+    few rows, so no object grows with the table while the work does."""
+    li = table(spark, d, "lineitem")
+    cols = ["l_partkey", "l_suppkey", "l_quantity"]
+    layout = json_layouts.rows_to_columns_json(li, ["l_orderkey", "l_linenumber"], cols, "doc")
+    return json_layouts.columns_json_to_rows(layout, "doc", li.select(*cols).schema)
 
 
 def json_records_roundtrip(spark: SparkSession, d: str) -> DataFrame:
