@@ -238,7 +238,8 @@ SELECT DISTINCT p_brand FROM part
 
 _LINES = """
 j AS (SELECT l.*, o.o_orderdate, o.o_orderpriority,
-             strftime(o.o_orderdate, '%Y-%b') || '#' || CAST(l.l_orderkey AS VARCHAR) || '#' || CAST(l.l_linenumber AS VARCHAR) AS k
+             strftime(o.o_orderdate, '%Y-%b') || '#' || CAST(l.l_orderkey AS VARCHAR) || '#' || CAST(l.l_linenumber AS VARCHAR)
+             || '#' || CAST(l.l_partkey AS VARCHAR) || '#' || CAST(l.l_suppkey AS VARCHAR) AS k
       FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
 """
 
@@ -332,3 +333,44 @@ SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%b') AS doc_xml_date FRO
 ORACLES["stream_star_mart"] = ORACLES["mart_wide_star"]
 ORACLES["stream_catalog"] = ORACLES["mart_catalog_top_build"]
 ORACLES["stream_latest"] = ORACLES["latest_per_key"]
+
+ORACLES["xml_cve_mart"] = f"""
+WITH {_LINES},
+v AS (
+  SELECT k AS doc, CAST(0 AS BIGINT) AS id, 'CVE-' || CAST(l_orderkey AS VARCHAR) AS cve,
+         o_orderpriority AS title, l_returnflag AS cwe, l_linestatus AS cwe_text FROM j
+  UNION ALL
+  SELECT k, CAST(1 AS BIGINT), 'CVE-S-' || CAST(l_suppkey AS VARCHAR), 'Supplier ' || CAST(l_suppkey AS VARCHAR), '', ''
+  FROM j WHERE l_returnflag <> 'R'),
+st_rows AS (
+  SELECT k AS doc, CAST(0 AS BIGINT) AS id, l_linestatus AS status_type, CAST(l_partkey AS VARCHAR) AS product_id FROM j
+  UNION ALL SELECT k, CAST(0 AS BIGINT), l_linestatus, CAST(l_suppkey AS VARCHAR) FROM j
+  UNION ALL SELECT k, CAST(1 AS BIGINT), 'Supplier', CAST(l_suppkey AS VARCHAR) FROM j WHERE l_returnflag <> 'R'),
+st AS (SELECT doc, id, status_type, array_to_string(list_sort(list_distinct(list(product_id))), ',') AS status_product_id
+       FROM st_rows GROUP BY doc, id, status_type),
+th AS (SELECT k AS doc, CAST(0 AS BIGINT) AS id, 'Impact' AS threats_type,
+              array_to_string(list_sort(list_distinct(list(l_returnflag))), ',') AS treat_description
+       FROM j GROUP BY k),
+ss AS (SELECT k AS doc, CAST(0 AS BIGINT) AS id, printf('%.2f', l_discount) AS base_score, printf('%.2f', l_tax) AS temporal_score,
+              array_to_string(list_sort(list_distinct(list(CAST(l_suppkey AS VARCHAR)))), ',') AS score_set_product_id
+       FROM j GROUP BY k, printf('%.2f', l_discount), printf('%.2f', l_tax)),
+rem AS (
+  SELECT k AS doc, CAST(0 AS BIGINT) AS id, '10.0.' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS fixed_build,
+         CAST(l_partkey AS VARCHAR) AS kb, CAST(l_partkey AS VARCHAR) || ',' || CAST(l_suppkey AS VARCHAR) AS kb_product_id
+  FROM j
+  UNION ALL SELECT k, CAST(0 AS BIGINT), '', '', CAST(l_partkey AS VARCHAR) FROM j)
+SELECT DISTINCT '1998-03-10 00:00:00' AS timestamp, v.doc AS doc_xml_date, v.cve, v.title AS vul_title, v.cwe, v.cwe_text,
+       coalesce(st.status_type, '') AS status_type, coalesce(st.status_product_id, '') AS status_product_id,
+       '' AS note, coalesce(th.threats_type, '') AS threats_type, coalesce(th.treat_description, '') AS treat_description,
+       coalesce(ss.base_score, '') AS base_score, coalesce(ss.temporal_score, '') AS temporal_score,
+       coalesce(ss.score_set_product_id, '') AS score_set_product_id,
+       CAST(0 AS DOUBLE) AS rev_number, '' AS rev_date, '' AS rev_description,
+       coalesce(rem.fixed_build, '') AS fixed_build, coalesce(rem.kb, '') AS kb, coalesce(rem.kb_product_id, '') AS kb_product_id,
+       0 AS doc_revision_history_number, '1970-01-01 00:00:00' AS doc_revision_history_date,
+       '' AS doc_revision_history_description, '1970-01-01 00:00:00' AS doc_initial_relise_date,
+       '1970-01-01 00:00:00' AS doc_current_relise_date, 'Line document' AS doc_document_title
+FROM v LEFT JOIN st ON st.doc = v.doc AND st.id = v.id
+LEFT JOIN th ON th.doc = v.doc AND th.id = v.id
+LEFT JOIN ss ON ss.doc = v.doc AND ss.id = v.id
+LEFT JOIN rem ON rem.doc = v.doc AND rem.id = v.id
+"""

@@ -217,5 +217,28 @@ def shred(docs: DataFrame) -> dict[str, DataFrame]:
     return {k: df.select(*[f.name for f in schemas.STAGING[k].fields]) for k, df in out.items()}
 
 
+# document columns the vulnerability mart reads
+MART_DOCUMENT_COLUMNS = [DOC, "Vulnerability", "DocumentTracking", "DocumentPublisher", "DocumentTitle",
+                         "DocumentType", *schemas.NAMESPACE_ATTRS]
+
+
+def mart_staging(docs: DataFrame) -> dict[str, DataFrame]:
+    """The staging tables ``marts.cve_mart`` reads (no product tree, notes of
+    the document or acknowledgments), from documents holding at least
+    :data:`MART_DOCUMENT_COLUMNS`."""
+    vs = vulnerabilities(docs)
+    out = {
+        "vulnerability": vulnerability(vs),
+        "vulnerability_status": vulnerability_status(vs),
+        "vulnerability_notes": vulnerability_notes(vs),
+        "vulnerability_threats": vulnerability_threats(vs),
+        "vulnerability_score_set": vulnerability_score_set(vs),
+        "vulnerability_revision": vulnerability_revision(vs),
+        "vulnerability_remediation": vulnerability_remediation(vs),
+        "document_info": document_info(docs),
+    }
+    return {k: df.select(*[f.name for f in schemas.STAGING[k].fields]) for k, df in out.items()}
+
+
 def distinct_cwes(vuln: DataFrame) -> DataFrame:
     return vuln.select("cwe").distinct()

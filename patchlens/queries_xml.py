@@ -5,8 +5,10 @@ bulletin schema (``from_xml``, namespace prefixes ignored) and shredded by
 the same functions that shred real bulletins.  One document per source row
 (no grouping), so a hot key never builds one huge document.
 
-Document key (used as ``doc_xml_date``): ``yyyy-MMM#orderkey#linenumber``
-for line documents, ``yyyy-MMM#orderkey`` for order documents.
+Document key (used as ``doc_xml_date``):
+``yyyy-MMM#orderkey#linenumber#partkey#suppkey`` for line documents
+((orderkey, linenumber) alone repeats in lineitem), ``yyyy-MMM#orderkey``
+for order documents.
 """
 
 from __future__ import annotations
@@ -46,7 +48,8 @@ def line_documents(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
     j = spread_rows(li.join(orders, li["l_orderkey"] == orders["o_orderkey"]),
                     ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
-    key = F.concat_ws("#", month_label("o_orderdate"), _s("l_orderkey"), _s("l_linenumber"))
+    key = F.concat_ws("#", month_label("o_orderdate"), _s("l_orderkey"), _s("l_linenumber"),
+                      _s("l_partkey"), _s("l_suppkey"))
     V = schemas.VULNERABILITY
     sub = {f.name: f.dataType for f in V.fields}
     part = _typed(
@@ -195,6 +198,36 @@ def xml_document_attrs(spark: SparkSession, d: str) -> DataFrame:
         "vlun", "cvrf", "note_count", "last_note_audience")
 
 
+def xml_cve_mart(spark: SparkSession, d: str) -> DataFrame:
+    """The bulletin star mart (``cve_data``) over the line documents: parse
+    once, write the parsed documents to the shared scratch folder (a written
+    table cuts the lineage, so the eight staging reads do not re-parse),
+    shred, build the mart.  Arrays are reported as joined text."""
+    from patchlens.plans.marts import cve_mart
+    from patchlens.queries import AS_OF
+    from patchlens.queries_io import scratch
+    path = scratch(spark, "line-docs")
+    parsed = _parsed_lines(spark, d).select(*[F.col(f"`{c}`") for c in shred.MART_DOCUMENT_COLUMNS])
+    parsed.write.mode("overwrite").parquet(path)
+    docs = spark.read.parquet(path)
+    cve = cve_mart(shred.mart_staging(docs), AS_OF)
+    ts = "yyyy-MM-dd HH:mm:ss"
+    return cve.select(
+        F.date_format("timestamp", ts).alias("timestamp"), "doc_xml_date", "cve", "vul_title", "cwe",
+        "cwe_text", "status_type", F.array_join("status_product_id", ",").alias("status_product_id"),
+        F.array_join("note", "|").alias("note"), F.array_join("threats_type", ",").alias("threats_type"),
+        F.array_join("treat_description", ",").alias("treat_description"), "base_score", "temporal_score",
+        F.array_join("score_set_product_id", ",").alias("score_set_product_id"),
+        F.col("rev_number").cast("double").alias("rev_number"), "rev_date", "rev_description",
+        "fixed_build", "kb", F.array_join("kb_product_id", ",").alias("kb_product_id"),
+        "doc_revision_history_number",
+        F.date_format("doc_revision_history_date", ts).alias("doc_revision_history_date"),
+        "doc_revision_history_description",
+        F.date_format("doc_initial_relise_date", ts).alias("doc_initial_relise_date"),
+        F.date_format("doc_current_relise_date", ts).alias("doc_current_relise_date"),
+        "doc_document_title")
+
+
 QUERIES = {
     "xml_roundtrip_lines": xml_roundtrip_lines,
     "xml_position_key": xml_position_key,
@@ -203,4 +236,5 @@ QUERIES = {
     "xml_all_children": xml_all_children,
     "xml_nested_flatten": xml_nested_flatten,
     "xml_document_attrs": xml_document_attrs,
+    "xml_cve_mart": xml_cve_mart,
 }
