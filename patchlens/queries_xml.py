@@ -199,18 +199,13 @@ def xml_document_attrs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def xml_cve_mart(spark: SparkSession, d: str) -> DataFrame:
-    """The bulletin star mart (``cve_data``) over the line documents: parse
-    once, write the parsed documents to the shared scratch folder (a written
-    table cuts the lineage, so the eight staging reads do not re-parse),
-    shred, build the mart.  Arrays are reported as joined text."""
-    from patchlens.plans.marts import cve_mart
+    """The bulletin star mart (``cve_data``) over the line documents, built
+    inside each parsed document (``marts.cve_mart_in_document``: one pass,
+    one DISTINCT shuffle, no joins; equal to the staging star join - see
+    tests).  Arrays are reported as joined text."""
+    from patchlens.plans.marts import cve_mart_in_document
     from patchlens.queries import AS_OF
-    from patchlens.queries_io import scratch
-    path = scratch(spark, "line-docs")
-    parsed = _parsed_lines(spark, d).select(*[F.col(f"`{c}`") for c in shred.MART_DOCUMENT_COLUMNS])
-    parsed.write.mode("overwrite").parquet(path)
-    docs = spark.read.parquet(path)
-    cve = cve_mart(shred.mart_staging(docs), AS_OF)
+    cve = cve_mart_in_document(_parsed_lines(spark, d), AS_OF)
     ts = "yyyy-MM-dd HH:mm:ss"
     return cve.select(
         F.date_format("timestamp", ts).alias("timestamp"), "doc_xml_date", "cve", "vul_title", "cwe",

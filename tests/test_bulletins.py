@@ -160,3 +160,11 @@ def test_load_is_idempotent(spark, bulletins, scratch):
 
 def bw_staging(spark, root):
     return {k: bw.read_table(spark, root, k) for k in schemas.STAGING}
+
+
+def test_in_document_mart_equals_star_join(bulletins, staging):
+    from patchlens.plans.marts import cve_mart_in_document
+    a = cve_mart(staging, AS_OF)
+    b = cve_mart_in_document(bulletins.where(F.col("_corrupt_record").isNull()), AS_OF)
+    assert a.columns == b.columns
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
