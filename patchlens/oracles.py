@@ -239,7 +239,9 @@ SELECT DISTINCT p_brand FROM part
 _LINES = """
 j AS (SELECT l.*, o.o_orderdate, o.o_orderpriority,
              strftime(o.o_orderdate, '%Y-%b') || '#' || CAST(l.l_orderkey AS VARCHAR) || '#' || CAST(l.l_linenumber AS VARCHAR)
-             || '#' || CAST(l.l_partkey AS VARCHAR) || '#' || CAST(l.l_suppkey AS VARCHAR) AS k
+             || '#' || CAST(l.l_partkey AS VARCHAR) || '#' || CAST(l.l_suppkey AS VARCHAR)
+             || '#' || CAST(CAST(l.l_quantity AS INTEGER) AS VARCHAR) || '#' || printf('%.2f', l.l_discount)
+             || '#' || printf('%.2f', l.l_tax) || '#' || l.l_returnflag || '#' || l.l_linestatus AS k
       FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
 """
 

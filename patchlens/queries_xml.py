@@ -5,10 +5,10 @@ bulletin schema (``from_xml``, namespace prefixes ignored) and shredded by
 the same functions that shred real bulletins.  One document per source row
 (no grouping), so a hot key never builds one huge document.
 
-Document key (used as ``doc_xml_date``):
-``yyyy-MMM#orderkey#linenumber#partkey#suppkey`` for line documents
-((orderkey, linenumber) alone repeats in lineitem), ``yyyy-MMM#orderkey``
-for order documents.
+Document key (used as ``doc_xml_date``): for line documents the month and
+every line value the document holds (order, line number, part, supplier,
+quantity, discount, tax, flags), so equal keys mean identical documents;
+``yyyy-MMM#orderkey`` for order documents.
 """
 
 from __future__ import annotations
@@ -48,8 +48,11 @@ def line_documents(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
     j = spread_rows(li.join(orders, li["l_orderkey"] == orders["o_orderkey"]),
                     ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    # the key covers every line value the document holds: equal keys mean equal documents
     key = F.concat_ws("#", month_label("o_orderdate"), _s("l_orderkey"), _s("l_linenumber"),
-                      _s("l_partkey"), _s("l_suppkey"))
+                      _s("l_partkey"), _s("l_suppkey"), _s(F.col("l_quantity").cast("int")),
+                      F.format_string("%.2f", "l_discount"), F.format_string("%.2f", "l_tax"),
+                      F.col("l_returnflag"), F.col("l_linestatus"))
     V = schemas.VULNERABILITY
     sub = {f.name: f.dataType for f in V.fields}
     part = _typed(
