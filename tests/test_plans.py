@@ -39,3 +39,19 @@ def test_filters_and_columns_pushed_to_scan(spark):
     p = plan(E.queries()["recent_month_filter_calendar"](spark, SF_SMALL))
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in p
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in p
+
+
+def test_in_document_mart_is_join_free(spark, bulletins):
+    from patchlens.plans.marts import cve_mart_in_document
+    p = plan(cve_mart_in_document(bulletins, "2024-04-20"))
+    assert "Join" not in p
+    assert p.count("Exchange hashpartitioning") <= 1      # the DISTINCT only
+
+
+def test_spread_rows_keeps_or_raises_partition_count(spark):
+    from patchlens.operators.partitioning import spread_rows
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    assert spread_rows(one, ["id"]).rdd.getNumPartitions() == cores
+    many = spark.range(1000).repartition(cores * 3)
+    assert spread_rows(many, ["id"]).rdd.getNumPartitions() == cores * 3
