@@ -168,3 +168,13 @@ def test_in_document_mart_equals_star_join(bulletins, staging):
     b = cve_mart_in_document(bulletins.where(F.col("_corrupt_record").isNull()), AS_OF)
     assert a.columns == b.columns
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_load_with_in_document_mart(spark, bulletins, scratch):
+    a_root, b_root = os.path.join(scratch, "a"), os.path.join(scratch, "b")
+    bw.load_documents(spark, bulletins, a_root, AS_OF)
+    bw.load_documents(spark, bulletins, b_root, AS_OF, mart="in_document")
+    for t in ("cve_data", "msrc_data"):
+        a, b = bw.read_table(spark, a_root, t), bw.read_table(spark, b_root, t)
+        assert a.exceptAll(b.select(*a.columns)).count() == 0, t
+        assert b.exceptAll(a.select(*b.columns)).count() == 0, t
