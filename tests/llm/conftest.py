@@ -1,0 +1 @@
+"""The session fixtures of the tests folder above serve these tests too."""
