@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from patchlens.llm.packing import op2_nnls_packing
+from patchlens.llm.token_counts import op5_token_counts
 from patchlens.llm.token_planes import op1_token_planes
 
-QUERIES = {f.__name__: f for f in (op1_token_planes,)}
+QUERIES = {f.__name__: f for f in (op1_token_planes, op2_nnls_packing, op5_token_counts)}
 ORACLES: dict[str, str] = {}
