@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from patchlens.llm import secret_links, template_leaks
+from patchlens.llm.chat_windows import op4_chat_windows
+from patchlens.llm.embedding_links import op9_hnsw_embeddings
 from patchlens.llm.language_id import op10_language_id
 from patchlens.llm.packing import op2_nnls_packing
 from patchlens.llm.secret_links import op3_secret_links
@@ -11,6 +13,7 @@ from patchlens.llm.template_leaks import op8_template_leaks
 from patchlens.llm.token_counts import op5_token_counts
 from patchlens.llm.token_planes import op1_token_planes
 
-QUERIES = {f.__name__: f for f in (op1_token_planes, op2_nnls_packing, op3_secret_links, op5_token_counts,
-                                   op7_simhash_golay, op8_template_leaks, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_token_planes, op2_nnls_packing, op3_secret_links, op4_chat_windows,
+                                   op5_token_counts, op7_simhash_golay, op8_template_leaks,
+                                   op9_hnsw_embeddings, op10_language_id)}
 ORACLES: dict[str, str] = {"op3_secret_links": secret_links.SQL, "op8_template_leaks": template_leaks.SQL}
