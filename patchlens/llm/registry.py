@@ -6,6 +6,7 @@ from patchlens.llm import secret_links, template_leaks
 from patchlens.llm.chat_windows import op4_chat_windows
 from patchlens.llm.embedding_links import op9_hnsw_embeddings
 from patchlens.llm.language_id import op10_language_id
+from patchlens.llm.language_model import op6_gru_scores
 from patchlens.llm.packing import op2_nnls_packing
 from patchlens.llm.secret_links import op3_secret_links
 from patchlens.llm.simhash_golay import op7_simhash_golay
@@ -14,6 +15,6 @@ from patchlens.llm.token_counts import op5_token_counts
 from patchlens.llm.token_planes import op1_token_planes
 
 QUERIES = {f.__name__: f for f in (op1_token_planes, op2_nnls_packing, op3_secret_links, op4_chat_windows,
-                                   op5_token_counts, op7_simhash_golay, op8_template_leaks,
+                                   op5_token_counts, op6_gru_scores, op7_simhash_golay, op8_template_leaks,
                                    op9_hnsw_embeddings, op10_language_id)}
 ORACLES: dict[str, str] = {"op3_secret_links": secret_links.SQL, "op8_template_leaks": template_leaks.SQL}
