@@ -35,7 +35,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patchlens.llm.common import stored, table, whole_text
@@ -130,27 +130,51 @@ def simhash_links(prints: DataFrame, bucket: int = 64) -> DataFrame:
 
 
 def simhash_groups(docs: DataFrame, *, shingle: int = 3, max_bits: int = 2, bucket: int = 64) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row of ``docs`` (doc_id, text)."""
+    """(doc_id, text_hash, fingerprint, group, component_id) of every row of ``docs`` (doc_id, text);
+    ``group`` is the smallest fingerprint of the component and ``text_hash`` tells rows of one doc_id apart."""
     if max_bits != 2:
         raise ValueError("the Golay keys cover two differing bits")
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
+            values = [fingerprint(t.as_py(), shingle) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(values, np.uint64).view(np.int64))], ["doc_id", "fp"])
+                [batch.column(0), batch.column(1), pa.array(np.array(values, np.uint64).view(np.int64))],
+                ["doc_id", "text_hash", "fp"])
 
-    rows = stored(docs.select("doc_id", whole_text().cast("binary").alias("text"))
-                  .mapInArrow(prints, "doc_id long, fp long"), "simhash-rows")
+    rows = stored(docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
+                              whole_text().cast("binary").alias("text"))
+                  .mapInArrow(prints, "doc_id long, text_hash long, fp long"), "simhash-rows")
     distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-prints")
     joined = components(simhash_links(distinct, bucket))
     grouped = distinct.join(joined, distinct["fp"] == joined["node"], "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("group"))
     least = grouped.groupBy("group").agg(F.min("least").alias("component_id"))
-    named = grouped.select("fp", "group").join(least, "group").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                                         "component_id")
+    named = grouped.select("fp", "group").join(least, "group")
+    return rows.join(named, "fp").select("doc_id", "text_hash", _hex("fp").alias("fingerprint"),
+                                         _hex("group").alias("group"), "component_id")
+
+
+def _hex(column: str) -> Column:
+    return F.lower(F.lpad(F.hex(column), 16, "0"))
+
+
+def keep_one_of_each(docs: DataFrame, *, shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """``docs`` with one document of each near-duplicate group: the one with the smallest doc_id (of
+    several rows with that doc_id, the one with the smallest text hash; of repeated rows, one).
+    A group without any doc_id keeps one of its rows too."""
+    groups = simhash_groups(docs, shingle=shingle, max_bits=max_bits)
+    chosen = (groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+              .groupBy("group").agg(F.min(F.struct("text_hash", "doc_id")).alias("best"))
+              .select(F.col("best.text_hash").alias("_hash"),
+                      F.col("best.doc_id").alias("_id")))
+    both = ("_hash", "_key")
+    key = F.coalesce(F.col("_id"), F.lit(0)) * 2 + F.col("_id").isNull().cast("int")
+    keyed = docs.withColumn("_id", F.col("doc_id")).withColumn("_hash", F.xxhash64("text")).withColumn("_key", key)
+    wanted = chosen.withColumn("_key", key).select(*both)
+    return keyed.join(wanted, list(both), "left_semi").dropDuplicates(list(both)).select(*docs.columns)
 
 
 def op7_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=2).select(
+        "doc_id", "fingerprint", "component_id")

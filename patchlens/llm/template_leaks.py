@@ -73,7 +73,8 @@ def _windows(df: DataFrame, keys: list[str], window: int) -> DataFrame:
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_cover: float = 0.4,
                broadcast_rows: int = 1_000_000) -> DataFrame:
-    """(doc_id, item_id, n_windows, item_windows, coverage, verbatim) of documents that hold an item."""
+    """(doc_id, text_hash, item_id, n_windows, item_windows, coverage, verbatim) of documents that hold
+    an item; ``text_hash`` tells rows of one doc_id apart."""
     items = stored(_typed(benchmark.select("item_id", "text").distinct()).select(
         F.xxhash64("item_id", "text").alias("item"), "item_id", "_typed"), "leak-items")
     plain = F.size(F.filter(F.slice("_typed", F.col("pos").cast("int"), window), lambda t: t >= "\u0004"))
@@ -111,12 +112,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_co
              .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n_windows"),
                   F.bool_and(same).alias("verbatim"))
              .filter(F.col("n_windows") >= F.col("item_windows") * min_cover))
-    return found.select("doc_id", "item_id", F.col("n_windows").cast("long").alias("n_windows"), "item_windows",
+    return found.select("doc_id", "text_hash", "item_id", F.col("n_windows").cast("long").alias("n_windows"), "item_windows",
                         (F.col("n_windows") / F.col("item_windows")).alias("coverage"), "verbatim").distinct()
 
 
+def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` without the documents that hold a benchmark item."""
+    leaks = find_leaks(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    return docs.join(leaks, (F.xxhash64(docs["text"]) == F.col("_hash")) & docs["doc_id"].eqNullSafe(F.col("_id")),
+                     "left_anti")
+
+
 def op8_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash").distinct()
 
 
 def _sql(window: int = 8, min_cover: float = 0.4) -> str:

@@ -82,7 +82,10 @@ def test_cases(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "One two"), (4, "one TWO"), (None, "one two"), (None, "Éa b c d"),
             (6, "éa b c d"), (7, "x " * 9000), (8, "X " * 9000), (9, "a\x1cb c\x1fd e"), (10, "a b  c")]
     docs = spark.createDataFrame([(*r, 5) for r in rows], "doc_id long, text string, fp int")
-    check(spark, rows, sg.simhash_groups(docs).collect())
+    check(spark, rows, sg.simhash_groups(docs).select("doc_id", "fingerprint", "component_id").collect())
+    kept = sg.keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 4, 6, 7, 9, 10]
     assert sg.simhash_groups(docs.limit(0)).collect() == []
 
 

@@ -36,8 +36,10 @@ def test_cases(spark, tmp_path):
     assert hits[1, 0] and hits[7, 0] and hits[10, 1] and not hits[2, 0]
     assert set(hits) == {(1, 0), (2, 0), (7, 0), (None, 1), (10, 1), (11, 0)} and len(hits) == len(got)
     assert sorted(con.execute(tl.SQL).fetchall(), key=repr) == got
-    shuffled = tl.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"), broadcast_rows=0)
+    shuffled = tl.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"), broadcast_rows=0).drop("text_hash")
     assert sorted(map(tuple, shuffled.collect()), key=repr) == got
+    left = tl.drop_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    assert sorted(r["doc_id"] for r in left.collect()) == [3, 4, 5, 6, 8, 9] and left.columns == ["doc_id", "text", "item_id"]
 
 
 def test_empty_tables(spark):
