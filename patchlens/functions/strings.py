@@ -51,7 +51,7 @@ def normalise_contains(c, rules: Sequence[tuple[str, str]]) -> Column:
 def digits_or_empty(c) -> Column:
     """The text itself when it is one or more ASCII digits, else ''."""
     v = _col(c)
-    return F.when(v.rlike("^[0-9]+$"), v).otherwise(F.lit(""))
+    return F.when(v.rlike(r"^[0-9]+\z"), v).otherwise(F.lit(""))
 
 
 def empty_if_null(c) -> Column:

@@ -3,12 +3,11 @@ on any table, not only on bulletin data."""
 
 from patchlens.operators.aggregates import (collect_distinct, independent_max_match,
                                             latest_value_per_item, max_per_pair)
-from patchlens.operators.joins import (broadcast_if_bounded, left_join_with_defaults,
-                                       range_join, type_default)
+from patchlens.operators.joins import left_join_with_defaults, range_join, type_default
 from patchlens.operators.windows import latest_per_key, top_n_per_group
 
 __all__ = [
     "collect_distinct", "independent_max_match", "latest_value_per_item", "max_per_pair",
-    "broadcast_if_bounded", "left_join_with_defaults", "range_join", "type_default",
+    "left_join_with_defaults", "range_join", "type_default",
     "latest_per_key", "top_n_per_group",
 ]

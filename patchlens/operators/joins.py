@@ -1,4 +1,4 @@
-"""Joins: default-filling left join, equi + range join, checked broadcast."""
+"""Joins: default-filling left join, equi + range join."""
 
 from __future__ import annotations
 
@@ -91,14 +91,3 @@ def range_join(left: DataFrame, right: DataFrame, eq: Sequence[tuple[str, str]],
     cols = [F.col(f"_lt.{c}") for c in left.columns if c != "_salt"]
     cols += [F.col(f"_rt.{c}") for c in right.columns if c not in left.columns and c != "_salt"]
     return joined.select(*cols)
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
-
-    Meant for dimension scans (cheap to count).  For sides that are the
-    result of large aggregations leave the choice to AQE, which measures the
-    shuffled size at run time (``spark.sql.adaptive.autoBroadcastJoinThreshold``).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -29,6 +29,11 @@ def _e(c) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+def first(c) -> Column:
+    """The first of a repeated child element; NULL when there is none."""
+    return F.get(c, 0)
+
+
 def vulnerabilities(docs: DataFrame) -> DataFrame:
     """(doc_xml_date, id, v): one row per vulnerability with an Ordinal."""
     kept = F.filter("Vulnerability", lambda v: v["_Ordinal"].isNotNull())
@@ -44,8 +49,9 @@ def rejected_vulnerabilities(docs: DataFrame) -> DataFrame:
 
 def vulnerability(vs: DataFrame) -> DataFrame:
     v = F.col("v")
-    return vs.select("id", DOC, v["CVE"].alias("cve"), _e(v["Title"]).alias("title"),
-                     _e(v["CWE"]["_ID"]).alias("cwe"), _e(v["CWE"]["_VALUE"]).alias("cwe_text"))
+    cwe = first(v["CWE"])
+    return vs.select("id", DOC, first(v["CVE"]).alias("cve"), _e(first(v["Title"])).alias("title"),
+                     _e(cwe["_ID"]).alias("cwe"), _e(cwe["_VALUE"]).alias("cwe_text"))
 
 
 def _children(vs: DataFrame, path: list[str]) -> DataFrame:
@@ -71,31 +77,33 @@ def vulnerability_threats(vs: DataFrame) -> DataFrame:
     t = _children(vs, ["Threats", "Threat"])
     return t.select("vulnerability_fk", DOC, F.lit("").alias("title"),
                     _e(F.col("c._Type")).alias("threats_type"),
-                    _e(F.col("c.Description")).alias("description"),
+                    _e(first(F.col("c.Description"))).alias("description"),
                     _e(F.get(F.col("c.ProductID"), 0)).alias("product_id"))
 
 
 def vulnerability_score_set(vs: DataFrame) -> DataFrame:
     s = _children(vs, ["CVSSScoreSets", "ScoreSet"])
-    return s.select("vulnerability_fk", DOC, F.col("c.BaseScore").alias("base_score"),
-                    F.col("c.TemporalScore").alias("temporal_score"), F.col("c.Vector").alias("vector"),
+    return s.select("vulnerability_fk", DOC, first(F.col("c.BaseScore")).alias("base_score"),
+                    first(F.col("c.TemporalScore")).alias("temporal_score"),
+                    first(F.col("c.Vector")).alias("vector"),
                     F.get(F.col("c.ProductID"), 0).alias("product_id"))
 
 
 def vulnerability_revision(vs: DataFrame) -> DataFrame:
     r = _children(vs, ["RevisionHistory", "Revision"])
-    return r.select("vulnerability_fk", DOC, _e(F.col("c.Number")).alias("number"),
-                    _e(F.col("c.Date")).alias("revision_date"),
-                    _e(F.col("c.Description")).alias("description"))
+    return r.select("vulnerability_fk", DOC, _e(first(F.col("c.Number"))).alias("number"),
+                    _e(first(F.col("c.Date"))).alias("revision_date"),
+                    _e(first(F.col("c.Description"))).alias("description"))
 
 
 def vulnerability_remediation(vs: DataFrame) -> DataFrame:
     r = _children(vs, ["Remediations", "Remediation"])
     return r.select("vulnerability_fk", DOC,
-                    digits_or_empty(_e(F.col("c.Description"))).alias("kb"),
-                    _e(F.col("c._Type")).alias("remediation_type"), _e(F.col("c.URL")).alias("url"),
+                    digits_or_empty(_e(first(F.col("c.Description")))).alias("kb"),
+                    _e(F.col("c._Type")).alias("remediation_type"), _e(first(F.col("c.URL"))).alias("url"),
                     F.coalesce(F.col("c.ProductID"), F.array().cast("array<string>")).alias("product_id"),
-                    _e(F.col("c.SubType")).alias("subtype"), _e(F.col("c.FixedBuild")).alias("fixed_build"))
+                    _e(first(F.col("c.SubType"))).alias("subtype"),
+                    _e(first(F.col("c.FixedBuild"))).alias("fixed_build"))
 
 
 def vulnerability_acknowledgment(vs: DataFrame) -> DataFrame:
@@ -115,13 +123,26 @@ def _children_of(child_type):
     return lambda b: F.coalesce(b["Branch"], F.array().cast(child_type))
 
 
-def product(docs: DataFrame, depth: int = schemas.BRANCH_DEPTH - 1) -> DataFrame:
+def _tree_type(docs: DataFrame):
+    return docs.schema["ProductTree"].dataType["Branch"].dataType
+
+
+def _tree_depth(docs: DataFrame) -> int:
+    """Branch levels of the schema that are structures (the deepest one is text)."""
+    level, n = _tree_type(docs), 0
+    while "Branch" in getattr(level.elementType, "names", ()):
+        level, n = level.elementType["Branch"].dataType, n + 1
+    return n
+
+
+def product(docs: DataFrame) -> DataFrame:
     """Flatten the product tree: one row per element carrying a ProductID,
     with the Type and Name of the branch directly above it ('' at the top).
     Each level's branches are the concatenated child branches of the level
     above (``flatten(transform(...))``), all inside the document row; one
-    ``explode`` at the end, so every document is read once."""
-    level_type = schemas.DOCUMENT["ProductTree"].dataType["Branch"].dataType
+    ``explode`` at the end, so every document is read once.  The levels are
+    those of the schema ``docs`` was parsed with."""
+    level_type, depth = _tree_type(docs), _tree_depth(docs)
     entries = [_product_entries(F.col("ProductTree.FullProductName"), F.lit(""), F.lit(""))]
     level = F.coalesce(F.col("ProductTree.Branch"), F.array().cast(level_type))
     for k in range(depth):
@@ -135,19 +156,29 @@ def product(docs: DataFrame, depth: int = schemas.BRANCH_DEPTH - 1) -> DataFrame
                .select("p.id", "p.product_name", "p.product_type", "p.branch_name", DOC)
 
 
-def product_tree_overflow(docs: DataFrame, depth: int = schemas.BRANCH_DEPTH - 1) -> DataFrame:
-    """Per document, how many branches sit deeper than the schema models;
-    0 means :func:`product` saw the whole tree."""
-    level = docs.select(DOC, F.explode("ProductTree.Branch").alias("b"))
-    for _ in range(depth - 1):
-        level = level.select(DOC, F.explode("b.Branch").alias("b"))
-    return level.groupBy(DOC).agg(F.sum(F.size(F.coalesce(F.col("b.Branch"), F.array()))).alias("overflow"))
+def branches_left(docs: DataFrame) -> Column:
+    """How many branches of a document sit deeper than the schema of ``docs``
+    models; 0 means :func:`product` saw the whole tree."""
+    level_type = _tree_type(docs)
+    level = F.coalesce(F.col("ProductTree.Branch"), F.array().cast(level_type))
+    for _ in range(_tree_depth(docs)):
+        child_type = level_type.elementType["Branch"].dataType
+        level = F.flatten(F.transform(level, _children_of(child_type)))
+        level_type = child_type
+    return F.size(level)
+
+
+def product_tree_overflow(docs: DataFrame) -> DataFrame:
+    """(doc_xml_date, overflow) of documents with branches the schema does not reach."""
+    left = branches_left(docs)
+    return docs.select(DOC, left.alias("overflow")).where("overflow > 0")
 
 
 def _revision_rows(docs: DataFrame) -> DataFrame:
     return docs.select(DOC, F.explode("DocumentTracking.RevisionHistory.Revision").alias("r")) \
-               .select(DOC, _e(F.col("r.Number")).alias("number"), _e(F.col("r.Date")).alias("revision_date"),
-                       _e(F.col("r.Description")).alias("description"))
+               .select(DOC, _e(first(F.col("r.Number"))).alias("number"),
+                       _e(first(F.col("r.Date"))).alias("revision_date"),
+                       _e(first(F.col("r.Description"))).alias("description"))
 
 
 def document_revision(docs: DataFrame) -> DataFrame:
@@ -161,8 +192,8 @@ def latest_revision(revisions) -> Column:
     no explode, shuffle or join."""
     arr = F.coalesce(revisions, F.array().cast(f"array<{schemas.REVISION.simpleString()}>"))
     return F.array_max(F.transform(arr, lambda r: F.struct(
-        _e(r["Date"]).alias("date"), _e(r["Number"]).try_cast("double").alias("num"),
-        _e(r["Description"]).alias("description"), _e(r["Number"]).alias("number"))))
+        _e(first(r["Date"])).alias("date"), _e(first(r["Number"])).try_cast("double").alias("num"),
+        _e(first(r["Description"])).alias("description"), _e(first(r["Number"])).alias("number"))))
 
 
 def document_info(docs: DataFrame, extra: Sequence[Column] = ()) -> DataFrame:
@@ -172,16 +203,18 @@ def document_info(docs: DataFrame, extra: Sequence[Column] = ()) -> DataFrame:
     t = F.col("DocumentTracking")
     latest = latest_revision(t["RevisionHistory"]["Revision"])
     out = docs.select(
-        F.col(DOC).alias("id"), _e(t["Status"]).alias("status"), _e(t["Version"]).alias("version"),
+        F.col(DOC).alias("id"), _e(first(t["Status"])).alias("status"),
+        _e(first(t["Version"])).alias("version"),
         latest["num"].cast("int").alias("revision_history_number"),
         latest["date"].try_cast("timestamp").alias("revision_history_date"),
         _e(latest["description"]).alias("revision_history_description"),
-        t["InitialReleaseDate"].try_cast("timestamp").alias("initial_relise_date"),
-        t["CurrentReleaseDate"].try_cast("timestamp").alias("current_relise_date"),
+        first(t["InitialReleaseDate"]).try_cast("timestamp").alias("initial_relise_date"),
+        first(t["CurrentReleaseDate"]).try_cast("timestamp").alias("current_relise_date"),
         _e(F.col("DocumentPublisher._Type")).alias("publisher_type"),
-        _e(F.col("DocumentPublisher.ContactDetails")).alias("contact_details"),
-        _e(F.col("DocumentPublisher.IssuingAuthority")).alias("issuring_authority"),
-        _e(F.col("DocumentTitle")).alias("document_title"), _e(F.col("DocumentType")).alias("document_type"),
+        _e(first(F.col("DocumentPublisher.ContactDetails"))).alias("contact_details"),
+        _e(first(F.col("DocumentPublisher.IssuingAuthority"))).alias("issuring_authority"),
+        _e(first(F.col("DocumentTitle"))).alias("document_title"),
+        _e(first(F.col("DocumentType"))).alias("document_type"),
         *[_e(F.col(f"`{a}`")).alias(n) for a, n in zip(
             schemas.NAMESPACE_ATTRS,
             ["vlun", "dc", "cvrf_common", "prod", "scap_core", "cvssv2", "cpe_lang", "sch", "cvrf"])],
@@ -217,28 +250,5 @@ def shred(docs: DataFrame) -> dict[str, DataFrame]:
     return {k: df.select(*[f.name for f in schemas.STAGING[k].fields]) for k, df in out.items()}
 
 
-# document columns the vulnerability mart reads
-MART_DOCUMENT_COLUMNS = [DOC, "Vulnerability", "DocumentTracking", "DocumentPublisher", "DocumentTitle",
-                         "DocumentType", *schemas.NAMESPACE_ATTRS]
-
-
-def mart_staging(docs: DataFrame) -> dict[str, DataFrame]:
-    """The staging tables ``marts.cve_mart`` reads (no product tree, notes of
-    the document or acknowledgments), from documents holding at least
-    :data:`MART_DOCUMENT_COLUMNS`."""
-    vs = vulnerabilities(docs)
-    out = {
-        "vulnerability": vulnerability(vs),
-        "vulnerability_status": vulnerability_status(vs),
-        "vulnerability_notes": vulnerability_notes(vs),
-        "vulnerability_threats": vulnerability_threats(vs),
-        "vulnerability_score_set": vulnerability_score_set(vs),
-        "vulnerability_revision": vulnerability_revision(vs),
-        "vulnerability_remediation": vulnerability_remediation(vs),
-        "document_info": document_info(docs),
-    }
-    return {k: df.select(*[f.name for f in schemas.STAGING[k].fields]) for k, df in out.items()}
-
-
 def distinct_cwes(vuln: DataFrame) -> DataFrame:
     return vuln.select("cwe").distinct()

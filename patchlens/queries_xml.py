@@ -31,8 +31,15 @@ def _typed(struct_type, **fields: Column) -> Column:
     unknown = set(fields) - set(struct_type.fieldNames())
     if unknown:
         raise KeyError(unknown)
-    return F.struct(*[(fields[f.name] if f.name in fields else F.lit(None)).cast(f.dataType).alias(f.name)
-                      for f in struct_type.fields])
+
+    def value(f) -> Column:
+        if f.name not in fields:
+            return F.lit(None)
+        # a child that should occur once is given as one value
+        one = f.dataType == schemas.ONE and f.name != "ProductID"
+        return F.array(fields[f.name]) if one else fields[f.name]
+
+    return F.struct(*[value(f).cast(f.dataType).alias(f.name) for f in struct_type.fields])
 
 
 def _s(c) -> Column:
@@ -59,18 +66,18 @@ def line_documents(spark: SparkSession, d: str) -> DataFrame:
         V,
         _Ordinal=_s("l_linenumber"), Title=F.col("o_orderpriority"),
         CVE=F.concat(F.lit("CVE-"), _s("l_orderkey")),
-        CWE=F.struct(F.col("l_returnflag").alias("_ID"), F.col("l_linestatus").alias("_VALUE")),
+        CWE=F.array(F.struct(F.col("l_returnflag").alias("_ID"), F.col("l_linestatus").alias("_VALUE"))),
         ProductStatuses=F.struct(F.array(F.struct(F.col("l_linestatus").alias("_Type"),
                                                   F.array(_s("l_partkey"), _s("l_suppkey")).alias("ProductID")))
                                  .alias("Status")).cast(sub["ProductStatuses"]),
-        Threats=F.struct(F.array(F.struct(F.lit("Impact").alias("_Type"), F.col("l_returnflag").alias("Description"),
-                                          F.array(_s("l_suppkey")).alias("ProductID")))
-                         .alias("Threat")).cast(sub["Threats"]),
-        CVSSScoreSets=F.struct(F.array(F.struct(
-            F.format_string("%.2f", "l_discount").alias("BaseScore"),
-            F.format_string("%.2f", "l_tax").alias("TemporalScore"),
-            F.concat_ws("/", "l_returnflag", "l_linestatus").alias("Vector"),
-            F.array(_s("l_suppkey"), _s("l_partkey")).alias("ProductID"))).alias("ScoreSet")).cast(sub["CVSSScoreSets"]),
+        Threats=F.struct(F.array(_typed(
+            sub["Threats"]["Threat"].dataType.elementType, _Type=F.lit("Impact"), Description=F.col("l_returnflag"),
+            ProductID=F.array(_s("l_suppkey")))).alias("Threat")),
+        CVSSScoreSets=F.struct(F.array(_typed(
+            sub["CVSSScoreSets"]["ScoreSet"].dataType.elementType,
+            BaseScore=F.format_string("%.2f", "l_discount"), TemporalScore=F.format_string("%.2f", "l_tax"),
+            Vector=F.concat_ws("/", "l_returnflag", "l_linestatus"),
+            ProductID=F.array(_s("l_suppkey"), _s("l_partkey")))).alias("ScoreSet")),
         Remediations=F.struct(F.array(
             _typed(sub["Remediations"]["Remediation"].dataType.elementType,
                    _Type=F.lit("Vendor Fix"), Description=_s("l_partkey"),
@@ -124,11 +131,10 @@ def xml_all_children(spark: SparkSession, d: str) -> DataFrame:
 
 def customer_documents(spark: SparkSession, d: str) -> DataFrame:
     """One product-tree document per customer: Region branch > Nation
-    branch > product (the customer), plus a top-level product.  Nation and
-    region are the fixed 25- and 5-row dimensions, so they are broadcast."""
+    branch > product (the customer), plus a top-level product."""
     cust = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
-    nation = F.broadcast(table(spark, d, "nation"))
-    region = F.broadcast(table(spark, d, "region"))
+    nation = table(spark, d, "nation")
+    region = table(spark, d, "region")
     j = spread_rows(cust.join(nation, cust["c_nationkey"] == nation["n_nationkey"])
                     .join(region, F.col("n_regionkey") == region["r_regionkey"]), ["c_custkey"])
     branch = schemas.branch_type()
@@ -158,15 +164,15 @@ def order_documents(spark: SparkSession, d: str) -> DataFrame:
     rev = schemas.REVISION
     tracking = _typed(
         DT["DocumentTracking"].dataType,
-        Identification=F.struct(_s("o_orderkey").alias("ID"), F.lit(None).cast("string").alias("Alias")),
+        Identification=_typed(DT["DocumentTracking"].dataType["Identification"].dataType, ID=_s("o_orderkey")),
         Status=F.col("o_orderstatus"), Version=F.lit("2.0"),
         RevisionHistory=F.struct(F.array(
             _typed(rev, Number=F.lit("1.0"), Date=first_ts, Description=F.lit("Placed")),
             _typed(rev, Number=F.lit("2.0"), Date=later_ts, Description=F.col("o_orderpriority")),
         ).alias("Revision")),
         InitialReleaseDate=first_ts, CurrentReleaseDate=later_ts)
-    publisher = F.struct(F.lit("Vendor").alias("_Type"), _s("o_custkey").alias("ContactDetails"),
-                         F.lit("Order desk").alias("IssuingAuthority"))
+    publisher = _typed(DT["DocumentPublisher"].dataType, _Type=F.lit("Vendor"), ContactDetails=_s("o_custkey"),
+                       IssuingAuthority=F.lit("Order desk"))
     notes = F.struct(F.array(
         _typed(DT["DocumentNotes"].dataType["Note"].dataType.elementType, _Title=F.lit("Status"),
                _Audience=F.lit("Public"), _Type=F.lit("Summary"), _Ordinal=F.lit("1"), _VALUE=F.col("o_orderstatus")),

@@ -23,11 +23,14 @@ def _st(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
-REVISION = _st(("Number", S), ("Date", S), ("Description", S))
+# a child element that may repeat although one is meant: typed as a list, its first entry counts
+ONE = _arr(S)
+
+REVISION = _st(("Number", ONE), ("Date", ONE), ("Description", ONE))
 PRODUCT_NAME = _st(("_ProductID", S), ("_VALUE", S))
 
-# deepest Branch level typed as text: anything nested deeper lands there and
-# is counted by ``shred.product_tree_overflow`` instead of being lost
+# Branch levels of the first parse; documents with deeper trees are parsed
+# again with more (``bulletin_warehouse.deep_products``), the deepest level being text
 BRANCH_DEPTH = 6
 
 
@@ -41,19 +44,19 @@ def branch_type(depth: int = BRANCH_DEPTH) -> T.DataType:
 
 VULNERABILITY = _st(
     ("_Ordinal", S),
-    ("Title", S),
-    ("CVE", S),
-    ("CWE", _st(("_ID", S), ("_VALUE", S))),
+    ("Title", ONE),
+    ("CVE", ONE),
+    ("CWE", _arr(_st(("_ID", S), ("_VALUE", S)))),
     ("Notes", _st(("Note", _arr(_st(("_Title", S), ("_Type", S), ("_Ordinal", S), ("_VALUE", S)))))),
     ("ProductStatuses", _st(("Status", _arr(_st(("_Type", S), ("ProductID", _arr(S))))))),
-    ("Threats", _st(("Threat", _arr(_st(("_Type", S), ("Description", S), ("ProductID", _arr(S))))))),
-    ("CVSSScoreSets", _st(("ScoreSet", _arr(_st(("BaseScore", S), ("TemporalScore", S), ("Vector", S),
+    ("Threats", _st(("Threat", _arr(_st(("_Type", S), ("Description", ONE), ("ProductID", _arr(S))))))),
+    ("CVSSScoreSets", _st(("ScoreSet", _arr(_st(("BaseScore", ONE), ("TemporalScore", ONE), ("Vector", ONE),
                                                ("ProductID", _arr(S))))))),
     ("Acknowledgments", _st(("Acknowledgment", _arr(_st(("Name", _arr(S)), ("URL", _arr(S))))))),
     ("RevisionHistory", _st(("Revision", _arr(REVISION)))),
     ("Remediations", _st(("Remediation", _arr(_st(
-        ("_Type", S), ("Description", S), ("URL", S), ("ProductID", _arr(S)), ("SubType", S),
-        ("FixedBuild", S)))))),
+        ("_Type", S), ("Description", ONE), ("URL", ONE), ("ProductID", _arr(S)), ("SubType", ONE),
+        ("FixedBuild", ONE)))))),
 )
 
 # namespace declarations of the root element, as they arrive under ignoreNamespace
@@ -62,24 +65,30 @@ NAMESPACE_ATTRS = ["_vuln", "_dc", "_cvrf-common", "_prod", "_scap-core", "_cvss
 
 CORRUPT = "_corrupt_record"
 
-DOCUMENT = T.StructType(
-    [T.StructField(a, S, True) for a in NAMESPACE_ATTRS]
-    + [
-        T.StructField("DocumentTitle", S, True),
-        T.StructField("DocumentType", S, True),
-        T.StructField("DocumentPublisher", _st(("_Type", S), ("ContactDetails", S),
-                                               ("IssuingAuthority", S)), True),
-        T.StructField("DocumentTracking", _st(
-            ("Identification", _st(("ID", S), ("Alias", S))), ("Status", S), ("Version", S),
-            ("RevisionHistory", _st(("Revision", _arr(REVISION)))),
-            ("InitialReleaseDate", S), ("CurrentReleaseDate", S)), True),
-        T.StructField("DocumentNotes", _st(("Note", _arr(_st(
-            ("_Title", S), ("_Audience", S), ("_Type", S), ("_Ordinal", S), ("_VALUE", S))))), True),
-        T.StructField("ProductTree", _st(("Branch", _arr(branch_type())),
-                                         ("FullProductName", _arr(PRODUCT_NAME))), True),
-        T.StructField("Vulnerability", _arr(VULNERABILITY), True),
-        T.StructField(CORRUPT, S, True),
-    ])
+
+def document_type(depth: int = BRANCH_DEPTH) -> T.StructType:
+    """The document schema with ``depth`` levels of product branches."""
+    return T.StructType(
+        [T.StructField(a, S, True) for a in NAMESPACE_ATTRS]
+        + [
+            T.StructField("DocumentTitle", ONE, True),
+            T.StructField("DocumentType", ONE, True),
+            T.StructField("DocumentPublisher", _st(("_Type", S), ("ContactDetails", ONE),
+                                                   ("IssuingAuthority", ONE)), True),
+            T.StructField("DocumentTracking", _st(
+                ("Identification", _st(("ID", ONE), ("Alias", ONE))), ("Status", ONE), ("Version", ONE),
+                ("RevisionHistory", _st(("Revision", _arr(REVISION)))),
+                ("InitialReleaseDate", ONE), ("CurrentReleaseDate", ONE)), True),
+            T.StructField("DocumentNotes", _st(("Note", _arr(_st(
+                ("_Title", S), ("_Audience", S), ("_Type", S), ("_Ordinal", S), ("_VALUE", S))))), True),
+            T.StructField("ProductTree", _st(("Branch", _arr(branch_type(depth))),
+                                             ("FullProductName", _arr(PRODUCT_NAME))), True),
+            T.StructField("Vulnerability", _arr(VULNERABILITY), True),
+            T.StructField(CORRUPT, S, True),
+        ])
+
+
+DOCUMENT = document_type()
 
 
 def _table(*fields: tuple[str, T.DataType, bool]) -> T.StructType:
@@ -126,6 +135,32 @@ STAGING = {
                              ("audience", S, True), ("notes_type", S, True), ("ordinal", S, True)),
 }
 
+# ---- mart tables ----
+MARTS = {
+    "cve_data": _table(
+        ("timestamp", TS, True), ("doc_xml_date", S, True), ("cve", S, True), ("vul_title", S, True),
+        ("cwe", S, True), ("cwe_text", S, True), ("status_type", S, False), ("status_product_id", _arr(S), False),
+        ("note", _arr(S), False), ("threats_type", _arr(S), False), ("treat_description", _arr(S), False),
+        ("base_score", S, False), ("temporal_score", S, False), ("score_set_product_id", _arr(S), False),
+        ("rev_number", T.FloatType(), False), ("rev_date", S, False), ("rev_description", S, False),
+        ("fixed_build", S, False), ("kb", S, False), ("kb_product_id", _arr(S), False),
+        ("doc_revision_history_number", I, False), ("doc_revision_history_date", TS, False),
+        ("doc_revision_history_description", S, False), ("doc_initial_relise_date", TS, False),
+        ("doc_current_relise_date", TS, False), ("doc_document_title", S, False)),
+    "msrc_data": _table(
+        ("timestamp", TS, True), ("doc_xml_date", S, True), ("doc_initial_relise_date", TS, False),
+        ("cve", S, True), ("base_score", S, False), ("temporal_score", S, False), ("kb", S, False),
+        ("kb_product_id", S, True), ("product_names", S, False), ("cwe", S, True), ("vul_title", S, True),
+        ("fixed_build", S, False), ("doc_document_title", S, False)),
+}
+
+# ---- the log of loads: the newest load of a month is the one that readers see ----
+LOAD_ID = "load_id"
+LOADS = _table(("doc_xml_date", S, False), (LOAD_ID, L, False), ("as_of", TS, True), ("path", S, True),
+               ("delivered", TS, True))
+REJECTS = _table((LOAD_ID, L, False), ("doc_xml_date", S, True), ("path", S, True), ("reason", S, False),
+                 ("n", L, False), ("detail", S, True))
+
 # ---- host tables ----
 HOST_PATCHES = _table(("hostname", S, True), ("hotfix_id", S, True), ("installed_on", S, True),
                       ("timestamp", TS, True))

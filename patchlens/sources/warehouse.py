@@ -54,11 +54,6 @@ def with_load_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFra
     return df
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select and cast to the table schema, by name."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-
-
 def create_table_if_absent(spark: SparkSession, name: str, schema: T.StructType, path: str,
                            partition_by: Sequence[str] = (LABEL_COL,)) -> None:
     if spark.catalog.tableExists(name):
@@ -72,25 +67,34 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str] =
                          sort_within: Sequence[str] = ()) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic partition
     overwrite): loading a month twice leaves the same rows as loading it
-    once.  Rows are clustered by ``partition_by`` so each task writes few
-    files, and sorted within partitions for row-group pruning."""
-    out = df.repartition(*partition_by) if partition_by else df
-    if sort_within:
-        out = out.sortWithinPartitions(*sort_within)
+    once.  Rows are rebalanced on ``partition_by``: small partitions meet in
+    few files, a large one is split over many tasks.  Files are sorted by
+    ``partition_by``, then ``sort_within``, for row-group pruning."""
+    out = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *sort_within)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by).parquet(path))
 
 
-def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+def overwrite_folder(df: DataFrame, path: str, sort_within: Sequence[str] = ()) -> None:
+    """Replace one folder (a run, a batch) by ``df``, over as many tasks as its size asks for."""
+    out = df.hint("rebalance")
+    if sort_within:
+        out = out.sortWithinPartitions(*sort_within)
+    out.write.mode("overwrite").parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def table_exists_at(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001 - any failure means "not loaded yet"
-        return False
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path``."""
+    if not path_exists(spark, path):
+        return []
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
+    return sorted(s.getPath().getName() for s in found if s.isDirectory())
 
 
 def as_of_timestamp(as_of: str | _dt.datetime) -> _dt.datetime:

@@ -23,8 +23,8 @@ def test_labels_and_prefix_handling(bulletins):
     assert rows(bulletins, "doc_xml_date") == [("2024-Apr",), ("2024-Feb",), ("2024-Jan",), ("2024-Mar",)]
     # prefixed (Jan, Mar) and unprefixed (Feb, Apr) documents read alike
     titles = dict(rows(bulletins, "doc_xml_date", "DocumentTitle"))
-    assert titles["2024-Jan"] == "January 2024 Security Updates"
-    assert titles["2024-Feb"] == "February 2024 Security Updates"
+    assert titles["2024-Jan"] == ["January 2024 Security Updates"]
+    assert titles["2024-Feb"] == ["February 2024 Security Updates"]
 
 
 def test_staging_schemas(staging):

@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patchlens.operators.joins import broadcast_if_bounded, left_join_with_defaults, range_join
+from patchlens.operators.joins import left_join_with_defaults, range_join
 from patchlens.operators.windows import top_n_per_group
 from patchlens.sources.warehouse import (create_table_if_absent, missing_labels, months_between_years,
                                          rename_by_position)
@@ -54,19 +54,6 @@ def _plan(df):
     return buf.getvalue()
 
 
-def test_broadcast_only_when_bounded(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
-        big = spark.range(5000).withColumnRenamed("id", "k")
-        small = spark.range(10).withColumnRenamed("id", "k")
-        assert "BroadcastHashJoin" in _plan(big.join(broadcast_if_bounded(small, 100), "k"))
-        assert "BroadcastHashJoin" not in _plan(small.join(broadcast_if_bounded(big, 100), "k"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-
-
 def test_positional_rename(spark):
     df = spark.createDataFrame([(1, "a")], "x int, y string")
     assert rename_by_position(df, ["id", "name"]).columns == ["id", "name"]

@@ -5,6 +5,7 @@ import contextlib
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from patchlens.registry import all_queries
 
 
 def plan(df) -> str:
@@ -27,8 +28,8 @@ def test_range_lookups_never_nested_loop(spark):
 
 
 def test_no_python_udfs(spark):
-    for key, q in E.queries().items():
-        if key.startswith("stream_") or key in ("json_records_roundtrip", "rename_and_default_load",
+    for key, q in all_queries().items():
+        if key.startswith(("stream_", "bulletin_")) or key in ("json_records_roundtrip", "rename_and_default_load",
                                                   "overwrite_month_idempotent"):
             continue
         p = plan(q(spark, SF_SMALL))
@@ -48,10 +49,20 @@ def test_in_document_mart_is_join_free(spark, bulletins):
     assert p.count("Exchange hashpartitioning") <= 1      # the DISTINCT only
 
 
-def test_spread_rows_keeps_or_raises_partition_count(spark):
+def test_spread_rows_uses_the_whole_cluster(spark):
     from patchlens.operators.partitioning import spread_rows
-    cores = spark.sparkContext.defaultParallelism
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     one = spark.range(100).coalesce(1)
-    assert spread_rows(one, ["id"]).rdd.getNumPartitions() == cores
-    many = spark.range(1000).repartition(cores * 3)
-    assert spread_rows(many, ["id"]).rdd.getNumPartitions() == cores * 3
+    assert spread_rows(one, ["id"]).rdd.getNumPartitions() == n
+
+
+def test_building_a_query_starts_no_shuffle(spark):
+    """Schema reads aside, no job runs before the caller's action."""
+    sc = spark.sparkContext
+    for key in ("xml_position_key", "xml_cve_mart", "xml_nested_flatten", "xml_document_attrs"):
+        sc.setJobGroup(f"build-{key}", key)
+        E.queries()[key](spark, SF_SMALL)
+        jobs = sc.statusTracker().getJobIdsForGroup(f"build-{key}")
+        stages = [s for j in jobs for s in sc.statusTracker().getJobInfo(j).stageIds]
+        assert len(stages) == len(jobs), key  # a shuffle would make a second stage
+    sc.setJobGroup("tests", "tests")
