@@ -41,8 +41,14 @@ def _is_number(token: Column) -> Column:
     return (token >= "0") & (token < ":")
 
 
-def typed_tokens(text: str = "text") -> list[tuple[str, Column]]:
-    """Columns to add one after the other; the last, ``_typed``, holds words, and marker + value for slots."""
+def _held(df: DataFrame, name: str, column: Column) -> DataFrame:
+    """``df`` with a column that is computed once per row.  A plain column may be put in place of its name
+    by the optimiser, also inside a lambda, and then be computed once per element."""
+    return df.select("*", F.explode(F.array(column)).alias(name))
+
+
+def _typed(df: DataFrame) -> DataFrame:
+    """``df`` (text) with ``_typed``: the words of the text, and marker + value for slots."""
     def kind(t: Column, i: Column) -> Column:
         before = F.get(F.col("_tokens"), i - 1)
         return (F.when(t.isin(*MARKS), F.lit(""))
@@ -52,20 +58,14 @@ def typed_tokens(text: str = "text") -> list[tuple[str, Column]]:
                       F.concat(F.lit(NAME), t))
                 .otherwise(F.lower(t)))
 
-    return [("_tokens", F.regexp_extract_all(F.col(text), F.lit(TOKEN), F.lit(0))),
-            ("_typed", F.filter(F.transform("_tokens", kind), lambda t: t != ""))]
-
-
-def _typed(df: DataFrame) -> DataFrame:
-    for name, column in typed_tokens():
-        df = df.withColumn(name, column)
-    return df.drop("_tokens")
+    df = _held(df, "_tokens", F.regexp_extract_all(F.col("text"), F.lit(TOKEN), F.lit(0)))
+    return _held(df, "_typed", F.filter(F.transform("_tokens", kind), lambda t: t != "")).drop("_tokens")
 
 
 def _windows(df: DataFrame, keys: list[str], window: int) -> DataFrame:
     """(*keys, pos, hash, plain) of every window of ``_typed``; pos counts from 1."""
     canon = F.transform("_typed", lambda t: F.when(t < "\u0004", F.substring(t, 1, 1)).otherwise(t))
-    df = df.filter(F.size("_typed") >= window).select(*keys, canon.alias("_canon"))
+    df = _held(df.filter(F.size("_typed") >= window).select(*dict.fromkeys([*keys, "_typed"])), "_canon", canon)
     hashes = F.transform(F.sequence(F.lit(1), F.size("_canon") - window + 1),
                          lambda i: F.xxhash64(F.slice("_canon", i, window)))
     return df.select(*keys, F.posexplode(hashes).alias("pos", "hash")).withColumn("pos", F.col("pos") + 1)
