@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from patchlens.llm.common import scratch_folder, table, text_slices, tokenizer_path, whole_text
@@ -155,8 +155,13 @@ def write_token_planes(docs: DataFrame, path: str, tokenizer: str, end_id: int =
          .write.option("compression", "none").parquet(path))
 
 
-def read_token_planes(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids): ids are little-endian unsigned 32-bit integers."""
+def read_token_planes(spark: SparkSession, path: str, *wanted: Column) -> DataFrame:
+    """(doc_id, start, n_tokens, ids): ids are little-endian unsigned 32-bit integers.
+
+    ``wanted``: columns over ``ids`` to return in its place; they are computed where the
+    file is read, so the ids themselves are not shuffled for ``start``.
+    """
+    wanted = wanted or (F.col("ids"),)
     files = spark.read.schema(SHARD_SCHEMA).parquet(path)
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,13 +186,14 @@ def read_token_planes(spark: SparkSession, path: str) -> DataFrame:
     segments = sizes.groupBy("segment").agg(F.sum("n_ids").alias("n")).select(
         "segment", F.coalesce(F.sum("n").over(before.orderBy("segment")), F.lit(0)).alias("b"))
     starts = in_segment.join(segments, "segment").select("segment", "shard", (F.col("s") + F.col("b")).alias("base"))
-    return (files.select("segment", "shard", "image").mapInArrow(documents, DOC_SCHEMA)
-            .join(starts, ["segment", "shard"])
-            .select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids"))
+    read = files.select("segment", "shard", "image").mapInArrow(documents, DOC_SCHEMA).select(
+        "segment", "shard", "doc_id", "local_start", "n_tokens", *wanted)
+    rest = read.columns[5:]
+    return read.join(starts, ["segment", "shard"]).select(
+        "doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", *rest)
 
 
 def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark, "token-planes")
     write_token_planes(table(spark, sf_dir, "documents"), path, tokenizer_path("word_bpe_49k.json"), end_id=2)
-    return read_token_planes(spark, path).select(
-        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return read_token_planes(spark, path, F.crc32("ids").alias("ids_crc32"))
