@@ -1,7 +1,6 @@
 """Column expressions (built-in Spark functions only, no Python UDFs)."""
 
-from patchlens.functions.arrays import (explode_inner, explode_outer, last_element,
-                                        pairs_to_text, sorted_distinct_text, suffix_slice)
+from patchlens.functions.arrays import pairs_to_text, suffix_slice
 from patchlens.functions.dates import (day_text, epoch_to_timestamp, month_label,
                                        parse_day, parse_month_label, recent_filter,
                                        same_month)
@@ -9,7 +8,7 @@ from patchlens.functions.strings import (digits_or_empty, empty_if_null, normali
                                          normalise_prefix, strip_chars_to_int)
 
 __all__ = [
-    "explode_inner", "explode_outer", "last_element", "pairs_to_text", "sorted_distinct_text",
+    "pairs_to_text",
     "suffix_slice", "day_text", "epoch_to_timestamp", "month_label", "parse_day",
     "parse_month_label", "recent_filter", "same_month", "digits_or_empty", "empty_if_null",
     "normalise_contains", "normalise_prefix", "strip_chars_to_int",

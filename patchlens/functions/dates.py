@@ -42,6 +42,24 @@ def epoch_to_timestamp(c) -> Column:
     return F.timestamp_seconds(_col(c))
 
 
+def in_months(c, labels: list[str]) -> Column:
+    """Whether a timestamp column lies in one of the months ``labels`` (``yyyy-MMM``): plain ranges over the
+    column, one for each run of months, so they reach the scan."""
+    starts = sorted({_dt.datetime.strptime(x, "%Y-%b") for x in labels})
+    after = lambda d: _dt.datetime(d.year + d.month // 12, d.month % 12 + 1, 1)
+    runs: list[list[_dt.datetime]] = []
+    for d in starts:
+        if runs and runs[-1][1] == d:
+            runs[-1][1] = after(d)
+        else:
+            runs.append([d, after(d)])
+    out = F.lit(False)
+    for i, (a, b) in enumerate(runs):
+        one = (_col(c) >= F.lit(a)) & (_col(c) < F.lit(b))
+        out = one if i == 0 else out | one
+    return out
+
+
 def recent_filter(c, as_of: str | _dt.date, mode: str = "month_number") -> Column:
     """Rows of the current and the previous month relative to ``as_of``.
 

@@ -262,14 +262,6 @@ UNION ALL
 SELECT CAST(0 AS BIGINT), k, l_linestatus, CAST(l_suppkey AS VARCHAR) FROM j
 UNION ALL
 SELECT CAST(1 AS BIGINT), k, 'Supplier', CAST(l_suppkey AS VARCHAR) FROM j WHERE l_returnflag <> 'R'
-""",
-    "xml_first_child": f"""
-WITH {_LINES}
-SELECT CAST(0 AS BIGINT) AS vulnerability_fk, k AS doc_xml_date, printf('%.2f', l_discount) AS base_score,
-       printf('%.2f', l_tax) AS temporal_score, l_returnflag || '/' || l_linestatus AS vector,
-       CAST(l_suppkey AS VARCHAR) AS product_id, l_returnflag AS threat_description,
-       CAST(l_suppkey AS VARCHAR) AS threat_product_id
-FROM j
 """,
     "xml_all_children": f"""
 WITH {_LINES}
@@ -376,3 +368,5 @@ LEFT JOIN th ON th.doc = v.doc AND th.id = v.id
 LEFT JOIN ss ON ss.doc = v.doc AND ss.id = v.id
 LEFT JOIN rem ON rem.doc = v.doc AND rem.id = v.id
 """
+
+ORACLES["exposure_salted_report"] = ORACLES["exposure_full_report"]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from patchlens.functions.arrays import pairs_to_text
 from patchlens.functions.dates import (DAY_FORMAT, TS_FORMAT, day_text, epoch_to_timestamp,
-                                       month_label, parse_month_label, recent_filter,
+                                       in_months, month_label, parse_month_label, recent_filter,
                                        same_month)
 from patchlens.functions.strings import (digits_or_empty, empty_if_null, normalise_contains,
                                          normalise_prefix, strip_chars_to_int)
@@ -45,7 +45,7 @@ def exposure_open_items(spark: SparkSession, d: str) -> DataFrame:
 
 def exposure_recommended_list(spark: SparkSession, d: str) -> DataFrame:
     hi = analog.hosts(spark, d).join(analog.installed(spark, d), "hostname", "left")
-    pairs = exposure._pairs(hi, exposure.HostCols(), "last_kb")
+    pairs = exposure.installed_pairs(hi, exposure.HostCols(), "last_kb")
     lists = exposure.recommended_lists(pairs, analog.catalog(spark, d), exposure.CatalogCols(),
                                        salt=exposure.salt_for(spark, NATION_COUNT))
     out = hi.join(lists, (hi["os_line"] == lists["_line"]) & (hi["last_kb"] == lists["_hkb"]), "left")
@@ -64,6 +64,13 @@ def exposure_full_report(spark: SparkSession, d: str) -> DataFrame:
     return rep.withColumnRenamed("rec_kb_arr", "rec_kb_text")
 
 
+def exposure_salted_report(spark: SparkSession, d: str) -> DataFrame:
+    """The report with the line-keyed range joins split in parts, as on a cluster of many cores."""
+    rep = exposure.full_report(analog.hosts(spark, d, with_install=True), analog.installed(spark, d),
+                               analog.catalog(spark, d, with_label=True), rec_as_text=True, salt=4)
+    return rep.withColumnRenamed("rec_kb_arr", "rec_kb_text")
+
+
 def newest_label_per_item(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
@@ -76,8 +83,13 @@ def newest_label_per_item(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------- marts
-def _orders_as_vulnerabilities(spark, d):
-    return table(spark, d, "orders").select(
+def _orders_of(spark, d, labels):
+    o = table(spark, d, "orders")
+    return o if labels is None else o.where(in_months("o_orderdate", labels))
+
+
+def _orders_as_vulnerabilities(spark, d, labels=None):
+    return _orders_of(spark, d, labels).select(
         F.col("o_orderkey").alias("id"), month_label("o_orderdate").alias("doc_xml_date"),
         F.concat(F.lit("CVE-"), F.col("o_orderkey").cast("string")).alias("cve"),
         F.col("o_orderpriority").alias("vul_title"), F.col("o_orderstatus").alias("cwe"))
@@ -85,10 +97,9 @@ def _orders_as_vulnerabilities(spark, d):
 
 def mart_wide_star(spark: SparkSession, d: str, labels: list[str] | None = None) -> DataFrame:
     """``labels`` restricts the mart to those months (incremental rebuild)."""
-    v = _orders_as_vulnerabilities(spark, d)
+    v = _orders_as_vulnerabilities(spark, d, labels)
     li = table(spark, d, "lineitem")
     if labels is not None:
-        v = v.where(F.col("doc_xml_date").isin(labels))
         li = li.join(v.select(F.col("id").alias("l_orderkey")), "l_orderkey", "left_semi")
     status = collect_distinct(li.select(F.col("l_orderkey").alias("id"),
                                         F.col("l_linestatus").alias("status_type"), "l_partkey"),
@@ -99,16 +110,13 @@ def mart_wide_star(spark: SparkSession, d: str, labels: list[str] | None = None)
                                         "l_suppkey"),
                               ["id", "base_score", "temporal_score"],
                               {"score_set_product_id": "l_suppkey"})
-    # one row per month label: bounded by the calendar, so broadcast is safe
-    o = table(spark, d, "orders").select(month_label("o_orderdate").alias("doc_xml_date"), "o_orderdate")
-    if labels is not None:
-        o = o.where(F.col("doc_xml_date").isin(labels))
+    o = _orders_of(spark, d, labels).select(month_label("o_orderdate").alias("doc_xml_date"), "o_orderdate")
     docs = (o.groupBy("doc_xml_date")
             .agg(day_text(F.min("o_orderdate")).alias("doc_initial_relise_date"),
                  day_text(F.max("o_orderdate")).alias("doc_current_relise_date")))
     star = left_join_with_defaults(v, status, ["id"])
     star = left_join_with_defaults(star, scores, ["id"])
-    star = left_join_with_defaults(star, F.broadcast(docs), ["doc_xml_date"])
+    star = left_join_with_defaults(star, docs, ["doc_xml_date"])
     return star.select(
         "doc_xml_date", "cve", "vul_title", "cwe", "status_type",
         F.array_join("status_product_id", ",").alias("status_product_id"),
@@ -129,9 +137,7 @@ def mart_revision_right_join(spark: SparkSession, d: str) -> DataFrame:
 
 def mart_catalog_top_build(spark: SparkSession, d: str, labels: list[str] | None = None) -> DataFrame:
     li = table(spark, d, "lineitem")
-    orders = table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
-    if labels is not None:
-        orders = orders.where(month_label("o_orderdate").isin(labels))
+    orders = _orders_of(spark, d, labels).select("o_orderkey", "o_orderdate", "o_orderpriority")
     rem = li.join(orders, li["l_orderkey"] == orders["o_orderkey"]).select(
         month_label("o_orderdate").alias("doc_xml_date"),
         F.concat(F.lit("CVE-"), F.col("l_orderkey").cast("string")).alias("cve"),
@@ -277,6 +283,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "exposure_open_items": exposure_open_items,
     "exposure_recommended_list": exposure_recommended_list,
     "exposure_full_report": exposure_full_report,
+    "exposure_salted_report": exposure_salted_report,
     "newest_label_per_item": newest_label_per_item,
     "mart_wide_star": mart_wide_star,
     "mart_revision_right_join": mart_revision_right_join,

@@ -10,17 +10,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 def _in_utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """Bulletin times are zone-less wall-clock times; the package computes in
-    UTC (epoch seconds, day text), so a caller's session is pinned to it."""
+    UTC (epoch seconds, day text).  A caller's session in another zone stays as
+    it is: the query is built in a new session beside it."""
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+            folder = spark.conf.get("spark.checkpoint.dir", None)
+            spark = spark.newSession()
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            if folder:
+                spark.conf.set("spark.checkpoint.dir", folder)
         return fn(spark, sf_dir)
     return run
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from patchlens import queries, queries_io, queries_xml
-    out = dict(queries.QUERIES)
+    from patchlens import queries, queries_bulletins, queries_io, queries_xml
+    out = {**queries.QUERIES, **queries_bulletins.QUERIES}
     out.update(queries_xml.QUERIES)
     out.update(queries_io.QUERIES)
     return {k: _in_utc(v) for k, v in out.items()}
@@ -28,4 +34,5 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def all_oracles() -> dict[str, str]:
     from patchlens.oracles import ORACLES
-    return dict(ORACLES)
+    from patchlens.queries_bulletins import SQL
+    return {**ORACLES, **SQL}

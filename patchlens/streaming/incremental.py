@@ -38,9 +38,9 @@ from patchlens.sources.xml_bulletins import XML_OPTIONS, with_label
 VERSION_COL = "_batch_id"
 
 
-def bulletin_stream(spark: SparkSession, landing: str) -> DataFrame:
+def bulletin_stream(spark: SparkSession, landing: str, max_files: int = 120) -> DataFrame:
     src = (spark.readStream.format("xml").options(**XML_OPTIONS).schema(schemas.DOCUMENT)
-           .option("maxFilesPerTrigger", 12).load(landing))
+           .option("maxFilesPerTrigger", max_files).load(landing))
     return with_label(src)
 
 

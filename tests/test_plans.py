@@ -66,3 +66,41 @@ def test_building_a_query_starts_no_shuffle(spark):
         stages = [s for j in jobs for s in sc.statusTracker().getJobInfo(j).stageIds]
         assert len(stages) == len(jobs), key  # a shuffle would make a second stage
     sc.setJobGroup("tests", "tests")
+
+
+def test_month_writes_split_and_sort(spark, scratch):
+    """A big month is written by several tasks, and every file is sorted by label, then key."""
+    import os
+
+    import pyarrow.parquet as pq
+
+    from patchlens.sources.warehouse import overwrite_folder, overwrite_partitions
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    was = spark.conf.get(size)
+    spark.conf.set(size, "64k")
+    try:
+        rows = spark.range(0, 60_000, 1, 8).selectExpr("concat('2024-', if(id % 50 = 0, 'Feb', 'Jan')) AS doc_xml_date",
+                                                       "uuid() AS cve")
+        overwrite_partitions(rows, f"{scratch}/t", ["doc_xml_date"], sort_within=["cve"])
+        overwrite_folder(rows, f"{scratch}/run", sort_within=["cve"])
+    finally:
+        spark.conf.set(size, was)
+    for folder in (f"{scratch}/t/doc_xml_date=2024-Jan", f"{scratch}/run"):
+        files = [os.path.join(folder, f) for f in os.listdir(folder) if f.endswith(".parquet")]
+        assert len(files) > 3
+        for f in files:
+            cves = pq.ParquetFile(f).read(columns=["cve"]).column("cve").to_pylist()
+            assert cves == sorted(cves)
+
+
+def test_incremental_rebuild_reads_its_months_only(spark):
+    from patchlens.queries import mart_catalog_top_build, mart_wide_star
+    for build in (mart_wide_star, mart_catalog_top_build):
+        p = plan(build(spark, SF_SMALL, ["1995-Dec", "1996-Jan", "1997-Mar"]))
+        assert "GreaterThanOrEqual(o_orderdate,1995-12-01" in p and "LessThan(o_orderdate,1996-02-01" in p
+
+
+def test_report_has_no_exchange_above_the_cves(spark):
+    p = plan(E.queries()["exposure_full_report"](spark, SF_SMALL))
+    tree = p[:p.index("(1) ")]
+    assert tree.index("Generate") < tree.index("Exchange")
