@@ -25,8 +25,8 @@ def _in_utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from patchlens import queries, queries_bulletins, queries_io, queries_xml
-    out = {**queries.QUERIES, **queries_bulletins.QUERIES}
+    from patchlens import queries, queries_bulletins, queries_hosts, queries_io, queries_xml
+    out = {**queries.QUERIES, **queries_hosts.QUERIES, **queries_bulletins.QUERIES}
     out.update(queries_xml.QUERIES)
     out.update(queries_io.QUERIES)
     return {k: _in_utc(v) for k, v in out.items()}
@@ -34,5 +34,5 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def all_oracles() -> dict[str, str]:
     from patchlens.oracles import ORACLES
-    from patchlens.queries_bulletins import SQL
-    return {**ORACLES, **SQL}
+    from patchlens import queries_bulletins, queries_hosts
+    return {**ORACLES, **queries_hosts.SQL, **queries_bulletins.SQL}
