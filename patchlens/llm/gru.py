@@ -48,9 +48,21 @@ def streams(lens: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, int]:
     return stream, place, longest
 
 
-def _log_softmax(a: np.ndarray) -> np.ndarray:
-    a = a - a.max(axis=1, keepdims=True)
-    return a - np.log(np.exp(a).sum(axis=1, keepdims=True))
+def _log_share(a: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(log softmax at column ``at`` of each row, exponentials, their row sums); works in place of ``a``."""
+    a -= a.max(axis=1, keepdims=True)
+    picked = a[np.arange(len(a)), at]
+    np.exp(a, out=a)
+    total = a.sum(axis=1)
+    return picked - np.log(total), a, total
+
+
+def _sigmoid(a: np.ndarray) -> np.ndarray:
+    """In place."""
+    np.negative(a, out=a)
+    np.exp(a, out=a)
+    a += 1
+    return np.reciprocal(a, out=a)
 
 
 class ClassGru:
@@ -70,47 +82,56 @@ class ClassGru:
         emb = p["embed"][x]
         xw = emb @ p["w"] + p["b"]
         state = np.empty((steps, width, n_h), np.float32)
-        before, gates, new, back = [], [], [], []
-        for t in range(steps):
-            h = h * keep[t]
-            hu = h @ p["u"]
-            zr = 1 / (1 + np.exp(-(xw[t, :, :2 * n_h] + hu[:, :2 * n_h])))
-            z, r = zr[:, :n_h], zr[:, n_h:]
-            n = np.tanh(xw[t, :, 2 * n_h:] + r * hu[:, 2 * n_h:])
-            if learn:
-                before.append(h), gates.append(zr), new.append(n), back.append(hu[:, 2 * n_h:])
-            h = n + z * (h - n)
-            state[t] = h
+        if learn:
+            before, new, back = (np.empty_like(state) for _ in range(3))
+            gates = np.empty((steps, width, 2 * n_h), np.float32)
+        with np.errstate(over="ignore"):
+            for t in range(steps):
+                h = h * keep[t]
+                hu = h @ p["u"]
+                zr = _sigmoid(xw[t, :, :2 * n_h] + hu[:, :2 * n_h])
+                n = zr[:, n_h:] * hu[:, 2 * n_h:]
+                n += xw[t, :, 2 * n_h:]
+                n *= 2  # tanh(a) = 2 sigmoid(2 a) - 1
+                n = _sigmoid(n)
+                n *= 2
+                n -= 1
+                if learn:
+                    before[t], gates[t], new[t], back[t] = h, zr, n, hu[:, 2 * n_h:]
+                h = h - n
+                h *= zr[:, :n_h]
+                h += n
+                state[t] = h
         flat, target = state.reshape(-1, n_h), y.ravel()
         real = np.flatnonzero(target >= 0)
+        group = target[real] // self.size
+        order = np.argsort(group, kind="stable")  # tokens by class, so that each class is one slice
+        real, group = real[order], group[order]
         hs, target = flat[real], target[real]
-        group = target // self.size
-        log_class = _log_softmax(hs @ p["class_w"] + p["class_b"])
-        got = log_class[np.arange(len(real)), group].astype(np.float64)
-        order = np.argsort(group, kind="stable")
-        ends = np.searchsorted(group[order], np.arange(p["word_w"].shape[0] + 1))
+        ends = np.searchsorted(group, np.arange(p["word_w"].shape[0] + 1))
+        got, e, total = _log_share(hs @ p["class_w"] + p["class_b"], group)
+        got = got.astype(np.float64)
         grad = {k: np.zeros_like(v) for k, v in p.items()} if learn else {}
         d_hs = None
+        scale = np.float32(1 / max(1, len(real)))
         if learn:
-            scale = np.float32(1 / max(1, len(real)))
-            d = np.exp(log_class)
-            d[np.arange(len(real)), group] -= 1
-            d *= scale
-            grad["class_w"], grad["class_b"] = hs.T @ d, d.sum(axis=0)
-            d_hs = d @ p["class_w"].T
+            e *= (scale / total)[:, None]
+            e[np.arange(len(real)), group] -= scale
+            grad["class_w"], grad["class_b"] = hs.T @ e, e.sum(axis=0)
+            d_hs = e @ p["class_w"].T
         for c in range(p["word_w"].shape[0]):
-            at = order[ends[c]:ends[c + 1]]
-            if not len(at):
+            at = slice(ends[c], ends[c + 1])
+            n_at = ends[c + 1] - ends[c]
+            if not n_at:
                 continue
-            log_word = _log_softmax(hs[at] @ p["word_w"][c] + p["word_b"][c])
             slot = target[at] % self.size
-            got[at] += log_word[np.arange(len(at)), slot]
+            one, e, total = _log_share(hs[at] @ p["word_w"][c] + p["word_b"][c], slot)
+            got[at] += one
             if learn:
-                d = np.exp(log_word)
-                d[np.arange(len(at)), slot] -= 1
-                d *= scale
-                grad["word_w"][c], grad["word_b"][c] = hs[at].T @ d, d.sum(axis=0)
-                d_hs[at] += d @ p["word_w"][c].T
+                e *= (scale / total)[:, None]
+                e[np.arange(n_at), slot] -= scale
+                grad["word_w"][c], grad["word_b"][c] = hs[at].T @ e, e.sum(axis=0)
+                d_hs[at] += e @ p["word_w"][c].T
         out = np.zeros(x.size)
         out[real] = got
         if learn:
@@ -122,21 +143,27 @@ class ClassGru:
 
     def _backward(self, x, keep, emb, d_state, before, gates, new, back, grad) -> None:
         p, n_h = self.p, self.hidden
+        z, r = gates[:, :, :n_h], gates[:, :, n_h:]
+        # what a step's gradient is multiplied with, for all steps at once
+        by_new = (1 - z) * (1 - new * new)
+        by_z = (before - new) * z * (1 - z)
+        by_r = back * r * (1 - r)
         d_h = np.zeros_like(before[0])
-        d_pre = np.empty((len(before), d_h.shape[0], 3 * n_h), np.float32)
+        d_pre = np.empty((*before.shape[:2], 3 * n_h), before.dtype)
         d_hu = np.empty_like(d_pre)
         for t in range(len(before) - 1, -1, -1):
-            d_h = d_h + d_state[t]
-            z, r, n = gates[t][:, :n_h], gates[t][:, n_h:], new[t]
-            d_n = d_h * (1 - z) * (1 - n * n)
-            d_pre[t, :, :n_h] = d_h * (before[t] - n) * z * (1 - z)
-            d_pre[t, :, n_h:2 * n_h] = d_n * back[t] * r * (1 - r)
-            d_pre[t, :, 2 * n_h:] = d_n
-            d_hu[t] = d_pre[t]
-            d_hu[t, :, 2 * n_h:] *= r
-            d_h = (d_h * z + d_hu[t] @ p["u"].T) * keep[t]
+            d_h += d_state[t]
+            d_n = d_pre[t, :, 2 * n_h:]
+            np.multiply(d_h, by_new[t], out=d_n)
+            np.multiply(d_h, by_z[t], out=d_pre[t, :, :n_h])
+            np.multiply(d_n, by_r[t], out=d_pre[t, :, n_h:2 * n_h])
+            d_hu[t, :, :2 * n_h] = d_pre[t, :, :2 * n_h]
+            np.multiply(d_n, r[t], out=d_hu[t, :, 2 * n_h:])
+            d_h *= z[t]
+            d_h += d_hu[t] @ p["u"].T
+            d_h *= keep[t]
         rows = d_pre.reshape(-1, 3 * n_h)
-        grad["u"] = np.concatenate(before).T @ d_hu.reshape(-1, 3 * n_h)
+        grad["u"] = before.reshape(-1, n_h).T @ d_hu.reshape(-1, 3 * n_h)
         grad["w"], grad["b"] = emb.reshape(-1, emb.shape[2]).T @ rows, rows.sum(axis=0)
         d_emb = rows @ p["w"].T
         flat = x.ravel()
