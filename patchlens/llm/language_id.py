@@ -36,7 +36,8 @@ from patchlens.llm.token_counts import LETTER, char_classes
 
 ORDERS = (4, 3, 2, 1)
 SMOOTH = 0.5
-MEMORY = 300_000
+MEMORY = 100_000  # unseen words remembered by a worker
+SLICE = 2 << 20  # bytes of text worked on at once; the arrays over its characters take some twenty times as much
 
 
 def hash_remainder(column: str, divisor: int) -> Column:
@@ -142,7 +143,7 @@ def learn(labelled: DataFrame, *, sample_docs: int, words: int, n_grams: int) ->
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in text_slices(batch.column(1)):
+            for lo, hi in text_slices(batch.column(1), SLICE):
                 found = Words(batch.column(1).slice(lo, hi - lo))
                 names, lang = np.unique(batch.column(0).slice(lo, hi - lo).to_numpy(zero_copy_only=False).astype(str),
                                         return_inverse=True)
@@ -198,7 +199,7 @@ def identify_languages(docs: DataFrame, held_out: Column, *, sample_docs: int =
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column(batch.num_columns - 1)
-            for lo, hi in text_slices(text):
+            for lo, hi in text_slices(text, SLICE):
                 langs, score = model.value.predict(text.slice(lo, hi - lo))
                 kept = [c.slice(lo, hi - lo) for c in batch.columns[:-1]]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(langs, pa.string()), pa.array(score)],
