@@ -28,6 +28,12 @@ def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` (a stored table: counting it is cheap) to be broadcast if it has at most ``rows`` rows;
+    beyond that Spark shuffles both sides of its join."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from patchlens.llm.common import stored, table, whole_text
+from patchlens.llm.common import broadcast_up_to, stored, table, whole_text
 
 
 def _either_case(word: str) -> str:
@@ -113,11 +113,13 @@ def scan_secrets(docs: DataFrame, *, scope: int = 200) -> DataFrame:
                          F.coalesce("spans", F.array()).alias("spans"))
 
 
-def redact_secrets(docs: DataFrame, *, scope: int = 200, mark: str = "[SECRET]") -> DataFrame:
+def redact_secrets(docs: DataFrame, *, scope: int = 200, mark: str = "[SECRET]",
+                   broadcast_rows: int = 200_000) -> DataFrame:
     """``docs`` with every reported span of ``text`` replaced by ``mark``; texts without one stay as they are.
 
     Spans that overlap are replaced as one.  The spans of a text go back to it by (doc_id, text),
-    so repeated rows are all redacted."""
+    so repeated rows are all redacted; they are broadcast up to ``broadcast_rows`` texts, beyond that
+    the join shuffles ``docs`` once."""
     key = [F.col("doc_id"), F.xxhash64("text").alias("_hash"), F.length("text").alias("_size")]
     hit = docs.filter(F.col("text").isNotNull())
     texts = hit.select("doc_id", "text").withColumn("_id", F.struct(*key))
@@ -129,6 +131,7 @@ def redact_secrets(docs: DataFrame, *, scope: int = 200, mark: str = "[SECRET]")
               .withColumn("block", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
               .groupBy("_id", "block").agg(F.min("start").alias("start"), F.max("end").alias("end"))
               .groupBy("_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_cut")))
+    blocks = broadcast_up_to(stored(blocks, "secret-blocks"), broadcast_rows)
     n = F.size("_cut")
     begin = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(F.col("_cut.end"), i - 1))
     stop = lambda i: F.when(i == n, F.length("text")).otherwise(F.get(F.col("_cut.start"), i))

@@ -13,7 +13,8 @@ if consistent alignments cover at least ``min_cover`` of its windows.
 Only windows with at least half plain words count, so tables of numbers match
 nothing.  The benchmark's windows are broadcast up to ``broadcast_rows`` rows
 (counted first); beyond that the join shuffles both sides.  The join itself
-carries positions only: the tokens of documents with a match are read again.
+carries positions only: the tokens of documents with a match are read again,
+found by their text hashes, which are broadcast up to the same bound.
 
 Defined cases: null and empty texts and items shorter than a window match
 nothing; repeated rows (same doc_id and text) give one result, and so do
@@ -26,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patchlens.llm.common import stored, table
+from patchlens.llm.common import broadcast_up_to, stored, table
 
 #: fixed values: units that are placeholders when a number stands before them
 UNITS = ("mm", "cm", "m", "km", "mg", "g", "kg", "ml", "l", "s", "min", "h", "percent", "dollars", "euros", "miles",
@@ -81,7 +82,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_co
     wanted = stored(_windows(items, ["item", "_typed"], window).filter(plain * 2 >= window)
                     .groupBy("item", "hash").agg(F.min("pos").alias("item_pos")), "leak-windows")
     sizes = wanted.groupBy("item").agg(F.count(F.lit(1)).alias("item_windows"))
-    near = F.broadcast(wanted) if wanted.count() <= broadcast_rows else wanted
+    near = broadcast_up_to(wanted, broadcast_rows)
 
     texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).withColumn("text_hash", F.xxhash64("text"))
     hits = (_windows(_typed(texts), ["doc_id", "text_hash"], window).join(near, "hash")
@@ -95,7 +96,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_co
         F.first("item_windows").alias("m")).filter(F.col("n") >= F.col("m") * min_cover)
     kept = hits.join(reach.select("doc_id", "text_hash", "item").withColumnRenamed("doc_id", "_doc"),
                      ["text_hash", "item"]).filter(F.col("doc_id").eqNullSafe(F.col("_doc"))).drop("_doc")
-    some = reach.select("text_hash").distinct()
+    some = broadcast_up_to(stored(reach.select("text_hash").distinct(), "leak-texts"), broadcast_rows)
     tokens = _typed(texts.join(some, "text_hash", "left_semi").dropDuplicates(["text_hash"])).select(
         "text_hash", F.col("_typed").alias("doc_tokens"))
     pairs = F.array_distinct(F.filter(F.transform(
@@ -116,9 +117,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_co
                         (F.col("n_windows") / F.col("item_windows")).alias("coverage"), "verbatim").distinct()
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, *, broadcast_rows: int = 1_000_000) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
     leaks = find_leaks(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    leaks = broadcast_up_to(stored(leaks, "leak-documents"), broadcast_rows)
     return docs.join(leaks, (F.xxhash64(docs["text"]) == F.col("_hash")) & docs["doc_id"].eqNullSafe(F.col("_id")),
                      "left_anti")
 
