@@ -8,7 +8,10 @@ its numbers, names or units were changed.  Matching windows of one document and
 one alignment are folded, and the slots they cover are compared: item values
 and document values must stand for each other one to one, or the alignment
 is dropped (same words, but not the same question).  A document holds an item
-if consistent alignments cover at least ``min_cover`` of its windows.
+if consistent alignments cover at least ``min_cover`` of its windows.  Without
+``whole_alignments`` (as in the pipeline) only the windows over a contradicting
+slot are left out, and two item values may stand for one document value; the
+query keeps the rule by alignment, which its SQL states.
 
 Only windows with at least half plain words count, so tables of numbers match
 nothing.  The benchmark's windows are broadcast up to ``broadcast_rows`` rows
@@ -73,9 +76,10 @@ def _windows(df: DataFrame, keys: list[str], window: int) -> DataFrame:
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_cover: float = 0.4,
-               broadcast_rows: int = 1_000_000) -> DataFrame:
+               broadcast_rows: int = 1_000_000, whole_alignments: bool = True) -> DataFrame:
     """(doc_id, text_hash, item_id, n_windows, item_windows, coverage, verbatim) of documents that hold
-    an item; ``text_hash`` tells rows of one doc_id apart."""
+    an item; ``text_hash`` tells rows of one doc_id apart.  Without ``whole_alignments`` slots are
+    checked by window, not by alignment."""
     items = stored(_typed(benchmark.select("item_id", "text").distinct()).select(
         F.xxhash64("item_id", "text").alias("item"), "item_id", "_typed"), "leak-items")
     plain = F.size(F.filter(F.slice("_typed", F.col("pos").cast("int"), window), lambda t: t >= "\u0004"))
@@ -99,15 +103,25 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_co
     some = broadcast_up_to(stored(reach.select("text_hash").distinct(), "leak-texts"), broadcast_rows)
     tokens = _typed(texts.join(some, "text_hash", "left_semi").dropDuplicates(["text_hash"])).select(
         "text_hash", F.col("_typed").alias("doc_tokens"))
-    pairs = F.array_distinct(F.filter(F.transform(
+    placed = F.filter(F.transform(
         F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + (window - 1))))),
-        lambda q: F.struct(F.get("item_tokens", q.cast("int") - 1).alias("a"),
+        lambda q: F.struct(q.alias("q"), F.get("item_tokens", q.cast("int") - 1).alias("a"),
                            F.get("doc_tokens", (q + F.col("shift")).cast("int") - 1).alias("b"))),
-        lambda x: x["a"] < "\u0004"))
-    n_pairs = F.size("slots")
-    checked = (kept.join(tokens, "text_hash").join(items.withColumnRenamed("_typed", "item_tokens"), "item")
-               .withColumn("slots", pairs)
-               .filter((n_pairs == F.size(F.array_distinct("slots.a"))) & (n_pairs == F.size(F.array_distinct("slots.b")))))
+        lambda x: x["a"] < "\u0004")
+    checked = kept.join(tokens, "text_hash").join(items.withColumnRenamed("_typed", "item_tokens"), "item")
+    checked = _held(checked, "placed", placed)
+    pairs = F.transform("placed", lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b")))
+    checked = _held(checked, "slots", F.array_distinct(pairs))
+    if whole_alignments:
+        n_pairs = F.size("slots")
+        checked = checked.filter((n_pairs == F.size(F.array_distinct("slots.a")))
+                                 & (n_pairs == F.size(F.array_distinct("slots.b"))))
+    else:
+        # a slot contradicts if its value was changed, and the same item value stands for another one elsewhere
+        against = F.transform(F.filter("placed", lambda x: (x["a"] != x["b"]) & F.exists(
+            "slots", lambda y: (y["a"] == x["a"]) & (y["b"] != x["b"]))), lambda x: x["q"])
+        checked = _held(checked, "against", against).withColumn("places", F.filter(
+            "places", lambda p: ~F.exists("against", lambda q: (q >= p) & (q < p + window)))).filter(F.size("places") > 0)
     same = F.forall("slots", lambda x: x["a"] == x["b"])
     found = (checked.groupBy("doc_id", "text_hash", "item_id", "item", "item_windows")
              .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n_windows"),
@@ -117,9 +131,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_co
                         (F.col("n_windows") / F.col("item_windows")).alias("coverage"), "verbatim").distinct()
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, *, broadcast_rows: int = 1_000_000) -> DataFrame:
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, *, broadcast_rows: int = 1_000_000,
+               whole_alignments: bool = True) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
-    leaks = find_leaks(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    leaks = find_leaks(docs, benchmark, whole_alignments=whole_alignments).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     leaks = broadcast_up_to(stored(leaks, "leak-documents"), broadcast_rows)
     return docs.join(leaks, (F.xxhash64(docs["text"]) == F.col("_hash")) & docs["doc_id"].eqNullSafe(F.col("_id")),
                      "left_anti")

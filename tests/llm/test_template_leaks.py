@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 
+import corpus_pipeline as cp
 from patchlens.llm import template_leaks as tl
 from patchlens.llm.common import table
 
@@ -42,6 +43,21 @@ def test_cases(spark, tmp_path):
     assert sorted(r["doc_id"] for r in left.collect()) == [3, 4, 5, 6, 8, 9] and left.columns == ["doc_id", "text", "item_id"]
 
 
+def test_slots_by_window(spark, tmp_path):
+    equal = ITEM.replace("12", "9").replace("7", "9")  # two item values, one document value
+    split = ITEM.replace("Tom", "Bob", 1).replace("Anna", "Mia", 1)  # equal item values, two document values
+    docs = spark.createDataFrame([*DOCS, (20, HEAD + equal), (21, split + TAIL)], "doc_id long, text string")
+    bench = spark.createDataFrame(BENCH, "item_id long, text string")
+    rows = tl.find_leaks(docs, bench, whole_alignments=False).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in rows} == {
+        (1, 0), (2, 0), (3, 0), (7, 0), (None, 1), (10, 1), (11, 0), (20, 0), (21, 0)}
+    found = {r["doc_id"]: r for r in rows}
+    assert found[3]["n_windows"] == found[1]["n_windows"] - 3 and not found[3]["verbatim"]  # three windows hold the 'Bob'
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = cp.decontamination(spark, docs, str(tmp_path))
+    assert not {1, 2, 3, 7, 10, 11, 20, 21} & {r["doc_id"] for r in left.collect()}
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame(DOCS, "doc_id long, text string")
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
