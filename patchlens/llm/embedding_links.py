@@ -6,10 +6,11 @@ one class.  The classes of a label are dealt over shards of about
 queried with its own vectors and those of every later shard of its label, so
 each pair of shards meets once; one task holds two shards at a time.
 
-Before a pair is searched, the search is audited: for ``audit`` of the
-queries the links found are held against brute force over the shard, and
-beam and slack are doubled until the recall reaches ``min_recall``; a beam
-as wide as the shard is an exact scan.  Found pairs are verified in
+Before a pair is searched, the search is audited: queries are scanned by brute
+force until ``audit`` of them have a link (other than with themselves), the links
+found for these are held against the scan, and beam and slack are doubled until the
+recall reaches ``min_recall``; a beam as wide as the shard is an exact scan.  A pair
+with fewer such queries has been scanned whole then, and its links are those of the scan.  Found pairs are verified in
 double precision.  A pair of shards gives back a link count per class and a star
 of every linked group, not the links themselves; components unites the stars.
 
@@ -73,16 +74,39 @@ def link_shards(index: Hnsw, x: np.ndarray, q: np.ndarray, same: bool, threshold
                 min_recall: float):
     """Yields blocks of verified links (query row, index row); for a shard with itself query < index."""
     near = threshold - 1e-4  # the search compares in single precision
+
+    def verified(r: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        cos = np.concatenate([np.einsum("pd,pd->p", q[r[i:i + 65536]], x[c[i:i + 65536]])
+                              for i in range(0, len(r), 65536)] or [np.empty(0)])
+        return r[cos >= threshold], c[cos >= threshold]
+
     q32 = q.astype(np.float32)
-    sample = np.unique(np.linspace(0, len(q) - 1, min(audit, len(q))).astype(int))
-    true = set(zip(*(v.tolist() for v in _scan(x, q[sample], threshold))))
+    stride = -(-len(q) // audit)
+    order = np.concatenate([np.arange(k, len(q), stride) for k in range(stride)])  # every part is spread evenly
+    true, linked = [], 0
+    for at in range(0, len(order), audit):
+        part = order[at:at + audit]
+        r, c = _scan(x, q[part], near)
+        r, c = verified(part[r], c)
+        if same:  # a vector finds itself in any search
+            r, c = r[r != c], c[r != c]
+        true.append((r, c))
+        linked += len(np.unique(r))
+        if linked >= audit:
+            break
+    r, c = (np.concatenate(v) for v in zip(*true))
+    if linked < audit:  # every query has been scanned, so these are all links
+        yield (r[r < c], c[r < c]) if same else (r, c)
+        return
+    sample, wanted = np.unique(r), r * np.int64(len(x)) + c
     beam, slack = 16, 0.05
     while beam < len(x):
-        found = set()
+        found = 0
         for at in range(0, len(sample), BLOCK):
-            r, c = index.within(q32[sample[at:at + BLOCK]], near, beam, slack)
-            found |= set(zip((r + at).tolist(), c.tolist()))
-        if len(true & found) >= min_recall * len(true):
+            some = sample[at:at + BLOCK]
+            r, c = index.within(q32[some], near, beam, slack)
+            found += np.isin(wanted, some[r] * np.int64(len(x)) + c).sum()
+        if found >= min_recall * len(wanted):
             break
         beam, slack = 2 * beam, 2 * slack
     for at in range(0, len(q), BLOCK):
@@ -93,9 +117,7 @@ def link_shards(index: Hnsw, x: np.ndarray, q: np.ndarray, same: bool, threshold
         r = r + at
         if same:
             r, c = r[r < c], c[r < c]
-        cos = np.concatenate([np.einsum("pd,pd->p", q[r[i:i + 65536]], x[c[i:i + 65536]])
-                              for i in range(0, len(r), 65536)] or [np.empty(0)])
-        yield r[cos >= threshold], c[cos >= threshold]
+        yield verified(r, c)
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.93, *, shard_size: int = 8192, audit: int = 128,

@@ -68,6 +68,33 @@ def test_against_brute_force(spark, shard_size):
     assert got == plain(rows)
 
 
+class Blind:
+    """A search that finds no link but a vector itself."""
+
+    def __init__(self, x):
+        self.x = x.astype(np.float32)
+
+    def within(self, q, threshold, beam, slack):
+        return np.nonzero(q @ self.x.T >= 0.9999999)
+
+
+@pytest.mark.parametrize("same", [True, False])
+@pytest.mark.parametrize("pairs", [0, 3, 100])
+def test_sparse_links_are_not_left_to_an_unaudited_search(same, pairs):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(1000, 64))
+    q = x if same else rng.normal(size=(1000, 64))
+    for k in range(pairs):  # rows 1, 8, 15 ... of the queries
+        q[7 * k + 1] = x[999 - k] + 0.01 * rng.normal(size=64)
+    x, q = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in (x, q))
+    r, c = np.nonzero(q @ x.T >= 0.93)
+    true = {(a, b) for a, b in zip(r.tolist(), c.tolist()) if a < b or not same}
+    assert len(true) >= pairs
+    for audit in (128, 40):
+        blocks = list(el.link_shards(Blind(x), x, q, same, 0.93, audit, 0.98))
+        assert sorted((int(a), int(b)) for r, c in blocks for a, b in zip(r, c)) == sorted(true)
+
+
 def test_empty(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert el.near_vectors(frame).collect() == []
