@@ -2,7 +2,7 @@
 
 1. ``language``: documents without a letter, or whose language is no clearer than ``MIN_SCORE``, go.
 2. ``near_duplicates``: one document of each SimHash group stays, the one with the smallest doc_id.
-3. ``decontamination``: documents that hold a benchmark item, re-parameterised or not, go.
+3. ``decontamination``: documents that hold or quote a benchmark item, re-parameterised or not, go.
 4. ``secrets``: reported spans become a mark; every document stays, and n_chars follows the text.
 5. ``packing``: token ids in sequences of 2048, one row per piece, ids included.
 
@@ -23,6 +23,8 @@ from patchlens.llm.simhash_golay import keep_one_of_each
 from patchlens.llm.template_leaks import drop_leaks
 
 MIN_SCORE = 0.5
+#: tokens of a benchmark item in a row that make a leak
+QUOTE = 13
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +41,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_leaks(docs, table(spark, sf_dir, "benchmark"), whole_alignments=False)
+    return drop_leaks(docs, table(spark, sf_dir, "benchmark"), whole_alignments=False, run=QUOTE)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,8 @@ is dropped (same words, but not the same question).  A document holds an item
 if consistent alignments cover at least ``min_cover`` of its windows.  Without
 ``whole_alignments`` (as in the pipeline) only the windows over a contradicting
 slot are left out, and two item values may stand for one document value; the
-query keeps the rule by alignment, which its SQL states.
+query keeps the rule by alignment, which its SQL states.  The pipeline also
+drops what ``find_quotes`` finds, and takes 13 tokens in a row for enough.
 
 Only windows with at least half plain words count, so tables of numbers match
 nothing.  The benchmark's windows are broadcast up to ``broadcast_rows`` rows
@@ -76,10 +77,12 @@ def _windows(df: DataFrame, keys: list[str], window: int) -> DataFrame:
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_cover: float = 0.4,
-               broadcast_rows: int = 1_000_000, whole_alignments: bool = True) -> DataFrame:
+               broadcast_rows: int = 1_000_000, whole_alignments: bool = True, run: int | None = None) -> DataFrame:
     """(doc_id, text_hash, item_id, n_windows, item_windows, coverage, verbatim) of documents that hold
     an item; ``text_hash`` tells rows of one doc_id apart.  Without ``whole_alignments`` slots are
-    checked by window, not by alignment."""
+    checked by window, not by alignment.  An alignment of ``run`` tokens in a row suffices besides ``min_cover``."""
+    in_a_row = F.lit(False) if run is None else F.exists("places", lambda p: F.size(
+        F.array_intersect("places", F.sequence(p, p + (run - window)))) == run - window + 1)
     items = stored(_typed(benchmark.select("item_id", "text").distinct()).select(
         F.xxhash64("item_id", "text").alias("item"), "item_id", "_typed"), "leak-items")
     plain = F.size(F.filter(F.slice("_typed", F.col("pos").cast("int"), window), lambda t: t >= "\u0004"))
@@ -97,7 +100,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_co
     # a second look at the documents with enough windows, for their slots
     reach = hits.groupBy("doc_id", "text_hash", "item").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n"),
-        F.first("item_windows").alias("m")).filter(F.col("n") >= F.col("m") * min_cover)
+        F.first("item_windows").alias("m"), F.bool_or(in_a_row).alias("run")).filter(
+            (F.col("n") >= F.col("m") * min_cover) | F.col("run"))
     kept = hits.join(reach.select("doc_id", "text_hash", "item").withColumnRenamed("doc_id", "_doc"),
                      ["text_hash", "item"]).filter(F.col("doc_id").eqNullSafe(F.col("_doc"))).drop("_doc")
     some = broadcast_up_to(stored(reach.select("text_hash").distinct(), "leak-texts"), broadcast_rows)
@@ -125,16 +129,60 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_co
     same = F.forall("slots", lambda x: x["a"] == x["b"])
     found = (checked.groupBy("doc_id", "text_hash", "item_id", "item", "item_windows")
              .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n_windows"),
-                  F.bool_and(same).alias("verbatim"))
-             .filter(F.col("n_windows") >= F.col("item_windows") * min_cover))
+                  F.bool_and(same).alias("verbatim"), F.bool_or(in_a_row).alias("run"))
+             .filter((F.col("n_windows") >= F.col("item_windows") * min_cover) | F.col("run")))
     return found.select("doc_id", "text_hash", "item_id", F.col("n_windows").cast("long").alias("n_windows"), "item_windows",
                         (F.col("n_windows") / F.col("item_windows")).alias("coverage"), "verbatim").distinct()
 
 
+def _grams(n: int) -> Column:
+    """Hashes of the runs of ``n`` of the tokens in ``_raw``."""
+    size = F.size("_raw")
+    return F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.xxhash64(
+        F.slice("_raw", i, n)))).otherwise(F.array().cast("array<bigint>"))
+
+
+def find_quotes(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_cover: float = 0.4, run: int = 13,
+                broadcast_rows: int = 1_000_000) -> DataFrame:
+    """(doc_id, text_hash, item_id) of documents that hold the words of an item as they stand (case and marks
+    aside): ``min_cover`` of its windows, whatever their slots, ``run`` of its tokens in a row, or the whole of an
+    item shorter than a window."""
+    raw = F.transform(F.filter(F.regexp_extract_all(F.col("text"), F.lit(TOKEN), F.lit(0)),
+                               lambda t: ~t.isin(*MARKS)), lambda t: F.lower(t))
+    known = benchmark.select("item_id", "text").filter(F.col("text").isNotNull()).distinct()
+    items = stored(_held(known, "_raw", raw).filter(F.size("_raw") > 0).select(
+        F.xxhash64("item_id", "text").alias("item"), "item_id", "_raw"), "quote-items")
+    short = F.size("_raw") < window
+    lengths = [r[0] for r in items.filter(short).select(F.size("_raw")).distinct().collect()]  # under ``window`` numbers
+    hashes = F.when(short, F.array(F.xxhash64("_raw"))).otherwise(_grams(window))
+    wanted = stored(items.select("item", F.explode(F.array_distinct(hashes)).alias("hash")).distinct(), "quote-windows")
+    sizes = wanted.groupBy("item").agg(F.count(F.lit(1)).alias("m"))
+
+    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).withColumn("text_hash", F.xxhash64("text"))
+    windows = _held(texts, "_raw", raw).select(
+        "doc_id", "text_hash", F.explode(F.concat(*map(_grams, [window, *lengths]))).alias("hash"))
+    hits = stored(windows.join(broadcast_up_to(wanted, broadcast_rows), "hash").groupBy("doc_id", "text_hash", "item").agg(
+        F.size(F.collect_set("hash")).alias("n"), F.count(F.lit(1)).alias("rows")).join(sizes, "item"), "quote-hits")
+    covered = F.col("n") >= F.col("m") * min_cover
+
+    # a run of tokens lies in as many windows as it is longer than one
+    maybe = hits.filter(~covered & (F.col("rows") > run - window))
+    some = broadcast_up_to(stored(maybe.select("text_hash").distinct(), "quote-texts"), broadcast_rows)
+    again = texts.join(some, "text_hash", "left_semi").dropDuplicates(["text_hash"])
+    doc_runs = _held(again, "_raw", raw).select("text_hash", _grams(run).alias("doc_runs"))
+    item_runs = items.select("item", _grams(run).alias("item_runs"))
+    quoted = maybe.join(doc_runs, "text_hash").join(item_runs, "item").filter(F.arrays_overlap("doc_runs", "item_runs"))
+    found = hits.filter(covered).select("doc_id", "text_hash", "item").union(quoted.select("doc_id", "text_hash", "item"))
+    return found.join(items.select("item", "item_id"), "item").select("doc_id", "text_hash", "item_id").distinct()
+
+
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, *, broadcast_rows: int = 1_000_000,
-               whole_alignments: bool = True) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item."""
-    leaks = find_leaks(docs, benchmark, whole_alignments=whole_alignments).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+               whole_alignments: bool = True, run: int | None = None) -> DataFrame:
+    """``docs`` without the documents that hold a benchmark item; with ``run`` also without those that quote one."""
+    leaks = find_leaks(docs, benchmark, whole_alignments=whole_alignments, run=run).select("doc_id", "text_hash")
+    if run is not None:
+        leaks = leaks.union(find_quotes(docs, benchmark, run=run).select("doc_id", "text_hash"))
+    leaks = leaks.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     leaks = broadcast_up_to(stored(leaks, "leak-documents"), broadcast_rows)
     return docs.join(leaks, (F.xxhash64(docs["text"]) == F.col("_hash")) & docs["doc_id"].eqNullSafe(F.col("_id")),
                      "left_anti")

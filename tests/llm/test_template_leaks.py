@@ -48,6 +48,7 @@ def test_slots_by_window(spark, tmp_path):
     split = ITEM.replace("Tom", "Bob", 1).replace("Anna", "Mia", 1)  # equal item values, two document values
     docs = spark.createDataFrame([*DOCS, (20, HEAD + equal), (21, split + TAIL)], "doc_id long, text string")
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
+    assert not {3, 20, 21} & {r["doc_id"] for r in tl.find_leaks(docs, bench).collect()}  # the rule by alignment
     rows = tl.find_leaks(docs, bench, whole_alignments=False).collect()
     assert {(r["doc_id"], r["item_id"]) for r in rows} == {
         (1, 0), (2, 0), (3, 0), (7, 0), (None, 1), (10, 1), (11, 0), (20, 0), (21, 0)}
@@ -58,6 +59,29 @@ def test_slots_by_window(spark, tmp_path):
     assert not {1, 2, 3, 7, 10, 11, 20, 21} & {r["doc_id"] for r in left.collect()}
 
 
+def test_quotes(spark, tmp_path):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(59)]
+    told = "the old man Karl walked 12 miles to the big town near the sea and " + " ".join(w.replace("w", "v") for w in words[:40])
+    bench = [*BENCH, (6, " ".join(words)), (7, "Berlin Paris 7 Rome 8 Oslo 9"), (8, told),
+             (9, "x Anna Bob 1 2 Carl 3 4 Dora 5 6 Emil 7 8 Fritz 9 then")]
+    docs = [(1, "so " + " ".join(words[20:33]) + " on"), (2, "so " + " ".join(words[20:32]) + " on"),
+            (3, "is it Too short?"), (4, "short, too"), (5, "see: " + TABLE + " end"), (6, "1 2 3 4 5 6 7 9 8 10 11 12"),
+            (7, "go to berlin, Paris 7 Rome 8 Oslo 9 now"), (8, "go to Berlin Paris 7 Rome 8 Oslo 10"),
+            (9, "once the old man Paul walked 15 miles to the big town far off"), (10, "x x x Anna Bob 1 2 Carl 3 4 Dora 5 6 y"),
+            (11, "once the old man Paul walked 15 miles to the big town near the hills"), (12, None), (13, "")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    want = {(1, 6), (3, 4), (5, 2), (7, 7), (10, 9)}
+    for rows in (0, 1_000_000):
+        got = tl.find_quotes(frame, items, broadcast_rows=rows).collect()
+        assert {(r["doc_id"], r["item_id"]) for r in got} == want and len(got) == len(want)
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = cp.decontamination(spark, frame, str(tmp_path))
+    assert {r["doc_id"] for r in left.collect()} == {2, 4, 6, 8, 9, 12, 13}  # 11 has 13 tokens with other slots
+    empty = spark.createDataFrame([], "item_id long, text string")
+    assert tl.find_quotes(frame, empty).collect() == tl.find_quotes(frame.limit(0), items).collect() == []
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame(DOCS, "doc_id long, text string")
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
