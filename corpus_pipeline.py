@@ -1,6 +1,7 @@
 """The training-data pipeline over ``documents``: five stages, each on all its predecessor kept.
 
-1. ``language``: documents without a letter, or whose language is no clearer than ``MIN_SCORE``, go.
+1. ``language``: documents without a letter, whose language is no clearer than ``MIN_SCORE`` or, a word,
+   ``MIN_MARGIN``, or of whose words the model knows less than ``MIN_KNOWN``, go.
 2. ``near_duplicates``: one document of each SimHash group stays, the one with the smallest doc_id.
 3. ``decontamination``: documents that hold or quote a benchmark item, re-parameterised or not, go.
 4. ``secrets``: reported spans become a mark; every document stays, and n_chars follows the text.
@@ -23,6 +24,9 @@ from patchlens.llm.simhash_golay import keep_one_of_each
 from patchlens.llm.template_leaks import drop_leaks
 
 MIN_SCORE = 0.5
+#: other scripts have 0 known, random letters and Polish about 0.1, the labelled languages 0.88 and more (check_s)
+MIN_KNOWN = 0.25
+MIN_MARGIN = 0.01
 #: tokens of a benchmark item in a row that make a leak
 QUOTE = 13
 
@@ -31,8 +35,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     read = ("doc_id", "text", "lang")
     others = [c for c in docs.columns if c not in read]
     packed = docs.select(*read, F.struct(*(others or [F.lit(0).alias("_")])).alias("_others"))
-    found = identify_languages(packed, hash_remainder("doc_id", 3) == 1)
-    kept = found.filter((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE))
+    found = identify_languages(packed, hash_remainder("doc_id", 3) == 1, evidence=True)
+    kept = found.filter((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)
+                        & (F.col("known") >= MIN_KNOWN) & (F.col("margin") >= MIN_MARGIN))
     return kept.select(*[c if c in read else F.col("_others")[c].alias(c) for c in docs.columns])
 
 

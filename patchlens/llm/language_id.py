@@ -10,7 +10,9 @@ bounded by these parameters and it is broadcast.
 Scoring: a known word adds its log frequency in each language; an unseen
 word adds the mean log frequency of its known 4-grams, or of its 3-grams if
 none is known, and so on down.  The language of the highest sum is predicted
-and ``score`` is its share after a softmax over the sums.
+and ``score`` is its share after a softmax over the sums.  On demand,
+``known`` is the mean known part of a text's words (all of a known word, of another the
+known part of its n-grams), and ``margin`` the lead of the highest sum over the next, a word.
 
 Defined cases: ``und`` with score 0 for null text, text without a letter and
 when nothing could be learned; text of which no n-gram is known gets the
@@ -91,6 +93,7 @@ class Model:
         self.words = self._logs(words)
         self.grams = [self._logs(by_order.get(n, {})) for n in ORDERS]
         self.seen: dict[str, tuple] = {}
+        self.parts: dict[str, float] = {}
 
     def _logs(self, counts: dict[str, Counter]) -> dict[str, tuple]:
         keys = sorted({k for c in counts.values() for k in c})
@@ -111,15 +114,39 @@ class Model:
             self.seen[word] = got
         return got
 
-    def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+    def known(self, word: str) -> float:
+        """1 for a known word, else the known part of its 4-grams; of its 2-grams for letters from
+        U+0E00 on, among them those that stand for syllables or are written without spaces."""
+        if word in self.words:
+            return 1.0
+        got = self.parts.get(word)
+        if got is None:
+            order = 2 if max(word) >= "\u0e00" else 4
+            of, model = grams(word, order), self.grams[ORDERS.index(order)]
+            got = sum(g in model for g in of) / max(1, len(of))
+            if len(self.parts) >= MEMORY:
+                self.parts.clear()
+            self.parts[word] = got
+        return got
+
+    def predict(self, texts: pa.Array, evidence: bool = False) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """(language, score, known, margin) of each text; the last two are zeros without ``evidence``."""
         found = Words(texts)
         n, width = len(texts), len(self.langs)
+        known, margin = np.zeros(n), np.zeros(n)
         if not width:
-            return ["und"] * n, np.zeros(n)
+            return ["und"] * n, np.zeros(n), known, margin
         vectors = np.array([self.vector(w) for w in found.values]).reshape(-1, width)
         sums = np.stack([np.bincount(found.doc, weights=vectors[found.codes, k] if len(found.codes) else None,
                                      minlength=n) for k in range(width)], axis=1)
-        worded = np.bincount(found.doc, minlength=n) > 0
+        n_words = np.bincount(found.doc, minlength=n)
+        worded = n_words > 0
+        if evidence and len(found.codes):
+            parts = np.array([self.known(w) for w in found.values])
+            known = np.bincount(found.doc, weights=parts[found.codes], minlength=n) / np.maximum(n_words, 1)
+            two = np.sort(sums, axis=1)[:, -2:]
+            margin = (two[:, 1] - two[:, 0]) / np.maximum(n_words, 1) if width > 1 else np.full(n, np.inf)
+            margin = np.where(worded, margin, 0.0)
         best = sums.argmax(axis=1)
         odds = np.exp(sums - sums.max(axis=1, keepdims=True))
         score = odds.max(axis=1) / odds.sum(axis=1)
@@ -127,7 +154,7 @@ class Model:
         best[blank] = int(np.argmax(self.shares))
         score[blank] = max(self.shares)
         return ([self.langs[b] if w else "und" for b, w in zip(best.tolist(), worded.tolist())],
-                np.where(worded, score, 0.0))
+                np.where(worded, score, 0.0), known, margin)
 
 
 def learn(labelled: DataFrame, *, sample_docs: int, words: int, n_grams: int) -> Model:
@@ -185,25 +212,29 @@ def learn(labelled: DataFrame, *, sample_docs: int, words: int, n_grams: int) ->
 
 
 def identify_languages(docs: DataFrame, held_out: Column, *, sample_docs: int = 6_000, words: int = 30_000,
-                       n_grams: int = 10_000) -> DataFrame:
+                       n_grams: int = 10_000, evidence: bool = False) -> DataFrame:
     """All columns of ``docs`` (doc_id, text, lang) with held_out, lang_pred and score; rows of
-    ``held_out`` are not learned from."""
+    ``held_out`` are not learned from.  With ``evidence`` also known and margin."""
     spark = docs.sparkSession
     labelled = docs.filter(~held_out & F.col("text").isNotNull() & F.col("lang").isNotNull())
     model = spark.sparkContext.broadcast(
         learn(labelled.select("doc_id", "text", "lang"), sample_docs=sample_docs, words=words, n_grams=n_grams))
-    rest = [c for c in docs.columns if c not in ("held_out", "lang_pred", "score", "_whole")]
+    added = ["lang_pred", "score", *(["known", "margin"] if evidence else [])]
+    rest = [c for c in docs.columns if c not in ("held_out", "_whole", *added)]
     source = docs.select(*rest, held_out.alias("held_out"), whole_text().alias("_whole"))
-    schema = source.drop("_whole").schema.add("lang_pred", "string").add("score", "double")
+    schema = source.drop("_whole").schema
+    for name in added:
+        schema = schema.add(name, "string" if name == "lang_pred" else "double")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column(batch.num_columns - 1)
             for lo, hi in text_slices(text, SLICE):
-                langs, score = model.value.predict(text.slice(lo, hi - lo))
+                langs, *numbers = model.value.predict(text.slice(lo, hi - lo), evidence)
                 kept = [c.slice(lo, hi - lo) for c in batch.columns[:-1]]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(langs, pa.string()), pa.array(score)],
-                                                 [*batch.schema.names[:-1], "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays(
+                    [*kept, pa.array(langs, pa.string()), *map(pa.array, numbers[:len(added) - 1])],
+                    [*batch.schema.names[:-1], *added])
 
     return source.mapInArrow(predict, schema)
 

@@ -49,3 +49,25 @@ def test_held_out_accuracy(spark, sf):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in got)
     held = [r for r in got if r["held_out"]]
     assert sum(r["lang_pred"] == r["lang"] for r in held) / len(held) > 0.97
+
+
+@pytest.mark.parametrize("english", [12, 60])  # below and above half of the labelled rows
+def test_rejection_does_not_depend_on_label_shares(spark, english):
+    import corpus_pipeline as cp
+
+    rows = [(i, "the cat and the dog sat on the mat", "en") for i in range(english)]
+    rows += [(100 + i, "der hund und die katze sassen auf der matte", "de") for i in range(12)]
+    rows += [(200 + i, "le chat et le chien sont assis sur le tapis", "fr") for i in range(12)]
+    rows += [(900, "все люди рождаются свободными", None), (901, "xqz vkwj zzgf qpxw jjkv", None), (902, "12 !?", None),
+             (903, "日本語の文章", None), (904, "the dog and a cat", None), (905, "der hund", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = cp.language(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert {r["doc_id"] for r in kept.collect()} == {r[0] for r in rows} - {900, 901, 902, 903}
+    got = li.identify_languages(docs, F.lit(False), evidence=True).collect()
+    assert all(r["known"] == r["margin"] == 0 for r in got if r["doc_id"] in (900, 902, 903))
+
+
+def test_known_part_of_words():
+    model = li.Model(["a"], [1.0], {"a": {"word": 3}}, {4: {"a": {"_kno": 2}}, 2: {"a": {"日本": 1, "_日": 1}}})
+    assert [model.known(w) for w in ("word", "kno", "x", "日本語", "ж")] == [1.0, 0.5, 0.0, 0.5, 0.0]
