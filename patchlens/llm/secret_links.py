@@ -87,7 +87,7 @@ def find_spans(docs: DataFrame, *, scope: int = 200) -> tuple[DataFrame, DataFra
     role = F.element_at(F.create_map(*[F.lit(x) for kv in ROLES.items() for x in kv]), F.col("kind"))
     bins = lambda lo, hi: F.explode(F.sequence(F.floor(lo / scope), F.floor(hi / scope)))
     sides = (parts.filter(F.col("kind").isin(list(ROLES)))
-             .select("row", role.alias("role"), "start", "end", bins(F.col("start"), F.col("end") - 1).alias("bin"))
+             .select("row", role.alias("role"), "start", "end", bins(F.col("start"), F.col("end")).alias("bin"))
              .groupBy("row", "role", "bin").agg(F.min("start").alias("first"), F.max("end").alias("last")))
     needs = F.create_map(*[x for k, v in NEEDS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
     weak = parts.filter(F.col("kind").isin(list(NEEDS))).withColumn("role", F.explode(needs[F.col("kind")]))

@@ -63,6 +63,17 @@ def test_against_plain_and_sql(spark, tmp_path):
     assert sorted(con.execute(sl.SQL).fetchall(), key=repr) == ascii_only
 
 
+def test_gap_of_the_scope_at_a_bin_edge(spark, tmp_path):
+    named = "password=hunter22"
+    rows = [(at, " " * (at - 200 - len(named)) + named + " " * 200 + "ASIA12345678") for at in (399, 400, 401, 600)]
+    sf = rows_of(spark, tmp_path / "t", rows)
+    got = sorted(map(tuple, sl.op3_secret_links(spark, sf).collect()))
+    assert got == sorted((d, *plain(t)[0]) for d, t in rows) and all(f"id:{r[0]}:" in r[5] for r in got)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf}/documents.parquet/*.parquet')")
+    assert sorted(con.execute(sl.SQL).fetchall()) == got
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = table(spark, sf, "documents").select("doc_id", "text").collect()
