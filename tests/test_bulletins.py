@@ -10,7 +10,7 @@ from patchlens import schemas
 from patchlens.plans import bulletin_warehouse as bw
 from patchlens.plans import shred as S
 from patchlens.plans.marts import cve_mart, msrc_catalog
-from patchlens.sources.xml_bulletins import corrupt_documents, read_bulletins
+from patchlens.sources.xml_bulletins import corrupt_documents, parse_bulletin_text, read_bulletins
 
 AS_OF = "2024-04-20 00:00:00"
 
@@ -178,3 +178,16 @@ def test_load_with_in_document_mart(spark, bulletins, scratch):
         a, b = bw.read_table(spark, a_root, t), bw.read_table(spark, b_root, t)
         assert a.exceptAll(b.select(*a.columns)).count() == 0, t
         assert b.exceptAll(a.select(*b.columns)).count() == 0, t
+
+
+def test_rejected_text_is_kept_whole_without_a_path(spark, scratch):
+    text = "<cvrfdoc><DocumentTitle>" + "open " * 2000
+    docs = parse_bulletin_text(spark.createDataFrame([("2023-Nov", text)], "label string, xml string"), "xml", "label")
+    bw.load_documents(spark, docs, os.path.join(scratch, "text"), AS_OF)
+    assert rows(bw.rejects(spark, os.path.join(scratch, "text")), "reason", "path", "detail") == [("malformed", None, text)]
+    os.makedirs(os.path.join(scratch, "landing"))
+    with open(os.path.join(scratch, "landing", "2023-Nov.xml"), "w") as f:
+        f.write(text)
+    bw.load_documents(spark, read_bulletins(spark, os.path.join(scratch, "landing")), os.path.join(scratch, "file"), AS_OF)
+    (row,) = bw.rejects(spark, os.path.join(scratch, "file")).collect()
+    assert row["path"].endswith("2023-Nov.xml") and len(row["detail"]) == 4000
