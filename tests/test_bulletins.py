@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import FIXTURES
+from support import FIXTURES
 from patchlens import schemas
 from patchlens.plans import bulletin_warehouse as bw
 from patchlens.plans import shred as S

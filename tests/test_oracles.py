@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from support import SF_SMALL
 from patchlens.tables import TABLES
 
 KEYS = sorted(E.oracle_sql())

@@ -4,7 +4,7 @@ import io
 import contextlib
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from support import SF_SMALL
 from patchlens.registry import all_queries
 
 

@@ -3,7 +3,7 @@
 import os
 import shutil
 
-from conftest import FIXTURES
+from support import FIXTURES
 from patchlens import schemas
 from patchlens.plans import bulletin_warehouse as bw
 from patchlens.streaming import incremental
