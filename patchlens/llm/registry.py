@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from patchlens.llm import secret_links, template_leaks
+from patchlens.llm import hard_negatives, secret_links, template_leaks
 from patchlens.llm.chat_windows import op4_chat_windows
 from patchlens.llm.embedding_links import op9_hnsw_embeddings
+from patchlens.llm.hard_negatives import op12_hard_negatives
 from patchlens.llm.language_id import op10_language_id
 from patchlens.llm.language_model import op6_gru_scores
 from patchlens.llm.packing import op2_nnls_packing
@@ -16,5 +17,6 @@ from patchlens.llm.token_planes import op1_token_planes
 
 QUERIES = {f.__name__: f for f in (op1_token_planes, op2_nnls_packing, op3_secret_links, op4_chat_windows,
                                    op5_token_counts, op6_gru_scores, op7_simhash_golay, op8_template_leaks,
-                                   op9_hnsw_embeddings, op10_language_id)}
-ORACLES: dict[str, str] = {"op3_secret_links": secret_links.SQL, "op8_template_leaks": template_leaks.SQL}
+                                   op9_hnsw_embeddings, op10_language_id, op12_hard_negatives)}
+ORACLES: dict[str, str] = {"op3_secret_links": secret_links.SQL, "op8_template_leaks": template_leaks.SQL,
+                           "op12_hard_negatives": hard_negatives.SQL}
