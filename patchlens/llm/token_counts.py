@@ -12,7 +12,9 @@ shuffle, where no key is common.
 Pre-tokens are found for a whole batch at once with numpy over the UTF-8
 bytes.
 
-Defined cases: null text is empty (no tokens); rows with equal or null
+Defined cases: null text is empty (no tokens); texts are counted whole, the arrays of a
+task growing with its longest text; pre-tokens as common as the last of the head are all
+in it or all joined, which gives the same sums; rows with equal or null
 doc_id each keep their own row; a special token's string inside a text is
 that token (the library's default); an empty table gives no rows; other
 columns are ignored.
@@ -34,6 +36,8 @@ from pyspark.sql import functions as F
 from patchlens.llm.common import stored, table, text_slices, tokenizer_path, whole_text
 
 OTHER, LETTER, NUMBER, SPACE, EDGE = 0, 1, 2, 3, 4
+#: bytes of text that are worked on at once, at about 25 bytes of arrays a character
+SLICE = 2 << 20
 #: fixed values: Unicode White_Space
 WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
@@ -146,7 +150,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, *, head: int = 1 << 17) -> Dat
 
     def vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in text_slices(batch.column(0)):
+            for lo, hi in text_slices(batch.column(0), SLICE):
                 found = PreTokens(batch.column(0).slice(lo, hi - lo), special)
                 n = np.bincount(found.codes, minlength=len(found.values)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([found.values.cast(pa.string()), pa.array(n)], ["piece", "n"])
@@ -158,6 +162,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, *, head: int = 1 << 17) -> Dat
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(tokenizer)
+        tok.no_truncation()
+        tok.no_padding()
         for batch in batches:
             got = tok.encode_batch_fast(batch.column(0).to_pylist(), add_special_tokens=False)
             n = pa.array([len(e.ids) for e in got], pa.int32())
@@ -186,7 +192,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, *, head: int = 1 << 17) -> Dat
         words, sizes = known.value
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for lo, hi in text_slices(batch.column(1)):
+            for lo, hi in text_slices(batch.column(1), SLICE):
                 text = batch.column(1).slice(lo, hi - lo)
                 found = PreTokens(text, special)
                 place = pc.index_in(found.values, value_set=words).fill_null(-1).to_numpy()

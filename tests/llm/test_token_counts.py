@@ -56,3 +56,11 @@ def test_query_equals_library(spark):
     want = {(r[0], len((r[1] or "").encode()), n, n > 512) for r, n in zip(rows, library([r[1] or "" for r in rows]))}
     got = tc.op5_token_counts(spark, sf).collect()
     assert len(got) == len(rows) and set(map(tuple, got)) == want
+
+
+def test_texts_longer_than_a_slice(spark):
+    texts = ["ab cd 12, " * 300_000, "", "x" * 5_000, "ab cd"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert len(texts[0]) > tc.SLICE
+    got = [r.n_tokens for r in tc.count_tokens(docs, PATH).orderBy("doc_id").collect()]
+    assert got == library(texts)
