@@ -284,7 +284,7 @@ def reference_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     return spark.table(name)
 
 
-def remove_repeated_passages(docs: DataFrame, *, block_bytes: int = 16 << 20) -> DataFrame:
+def remove_repeated_passages(docs: DataFrame, *, block_bytes: int = 4 << 20) -> DataFrame:
     """(doc_id, n_words, n_removed, kept, factors) of every row of ``docs`` (doc_id, text)."""
     blocks = reference_blocks(docs, block_bytes)
     buckets = max(1, blocks.agg(F.max("block")).first()[0] or 0)
