@@ -66,16 +66,16 @@ _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the byte multiplier and of its inverse modulo 2^64."""
-    if n > SLICE or n not in _POWERS:
-        size = max(n, SLICE)
+    """The first ``n`` powers, or more, of the byte multiplier and of its inverse modulo 2^64."""
+    size = max(n, SLICE)
+    made = _POWERS.get(size)
+    if made is None:
         inverse = np.uint64(pow(int(P_BYTE), -1, 1 << 64))
         made = tuple(np.concatenate([[np.uint64(1)], np.full(size, p, np.uint64)]).cumprod(dtype=np.uint64)
                      for p in (P_BYTE, inverse))
-        if n > SLICE:
-            return made
-        _POWERS[n] = _POWERS[SLICE] = made
-    return _POWERS[n]
+        if size == SLICE:  # only a word longer than a slice needs more, and that is not kept
+            _POWERS[size] = made
+    return made
 
 
 class Words:
