@@ -31,7 +31,6 @@ AS_OF = "1998-03-10"
 ANALOG_PREFIX_RULES = [("small", "small items"), ("large", "large items"), ("red", "red items"),
                        ("blue", "blue items"), ("hot", "hot items"), ("cold", "cold items")]
 ANALOG_ALLOWED_LINES = ["small items", "large items", "red items", "blue items", "hot items"]
-NATION_COUNT = 25  # product lines of the mapping: the fixed TPC-H nation list
 ANALOG_CONTAINS_RULES = [("bolt", "fasteners"), ("rod", "fasteners"), ("gear", "drive parts"),
                          ("ring", "drive parts"), ("widget", "gadgets"), ("gizmo", "gadgets")]
 
@@ -39,35 +38,35 @@ ANALOG_CONTAINS_RULES = [("bolt", "fasteners"), ("rod", "fasteners"), ("gear", "
 # ---------------------------------------------------------------- exposure
 def exposure_open_items(spark: SparkSession, d: str) -> DataFrame:
     out = exposure.open_items(analog.hosts(spark, d), analog.installed(spark, d),
-                              analog.catalog(spark, d), salt=exposure.salt_for(spark, NATION_COUNT))
+                              analog.catalog(spark, d))
     return out.select("hostname", "os_line", empty_if_null("last_kb").alias("last_kb"), "cve")
 
 
 def exposure_recommended_list(spark: SparkSession, d: str) -> DataFrame:
     hi = analog.hosts(spark, d).join(analog.installed(spark, d), "hostname", "left")
     pairs = exposure.installed_pairs(hi, exposure.HostCols(), "last_kb")
-    lists = exposure.recommended_lists(pairs, analog.catalog(spark, d), exposure.CatalogCols(),
-                                       salt=exposure.salt_for(spark, NATION_COUNT))
+
+    def text(entries):
+        return pairs_to_text(F.transform(entries, lambda x: F.struct(
+            x["kb"].alias("kb"), F.date_format(x["release_date"], DAY_FORMAT).alias("d"))), "kb", "d")
+
+    lists = exposure.recommended_lists(pairs, analog.catalog(spark, d), exposure.CatalogCols(), render=text)
     out = hi.join(lists, (hi["os_line"] == lists["_line"]) & (hi["last_kb"] == lists["_hkb"]), "left")
-    text = pairs_to_text(F.transform(F.coalesce("rec_kb_arr", F.array().cast(lists.schema["rec_kb_arr"].dataType)),
-                                     lambda x: F.struct(x["kb"].alias("kb"),
-                                                        F.date_format(x["release_date"], DAY_FORMAT).alias("d"))),
-                         "kb", "d")
     return out.select("hostname", "os_line", empty_if_null("last_kb").alias("last_kb"),
-                      text.alias("rec_kb_text"))
+                      empty_if_null("rec_kb_arr").alias("rec_kb_text"))
 
 
 def exposure_full_report(spark: SparkSession, d: str) -> DataFrame:
     rep = exposure.full_report(analog.hosts(spark, d, with_install=True), analog.installed(spark, d),
-                               analog.catalog(spark, d, with_label=True), rec_as_text=True,
-                               salt=exposure.salt_for(spark, NATION_COUNT))
+                               analog.catalog(spark, d, with_label=True), render=exposure.entries_as_text)
     return rep.withColumnRenamed("rec_kb_arr", "rec_kb_text")
 
 
 def exposure_salted_report(spark: SparkSession, d: str) -> DataFrame:
-    """The report with the line-keyed range joins split in parts, as on a cluster of many cores."""
+    """The report with small blocks: the line-keyed lookups in many parts, as for a line with most of a large catalog."""
     rep = exposure.full_report(analog.hosts(spark, d, with_install=True), analog.installed(spark, d),
-                               analog.catalog(spark, d, with_label=True), rec_as_text=True, salt=4)
+                               analog.catalog(spark, d, with_label=True), block_rows=64,
+                               render=exposure.entries_as_text)
     return rep.withColumnRenamed("rec_kb_arr", "rec_kb_text")
 
 

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from patchlens import schemas
 from patchlens.functions.dates import day_text, month_label
 from patchlens.operators.joins import left_join_with_defaults
+from patchlens.operators.ranges import blocked
 from patchlens.plans import bulletin_warehouse as bw
-from patchlens.plans import shred
+from patchlens.plans import analog, exposure, shred
 from patchlens.queries import AS_OF
 from patchlens.queries_io import scratch
 from patchlens.queries_xml import _render, _s, _typed, order_documents
@@ -46,9 +47,28 @@ def host_report_arrays(spark: SparkSession, d: str) -> DataFrame:
         _s("c_custkey").alias("hostname"), F.concat(F.lit("Microsoft "), _line("c_nationkey", " Pro")).alias("os_name"),
         F.col("c_name").alias("codename"), F.col("c_mktsegment").alias("version"),
         (F.col("c_custkey") * 1000).alias("install_date"), F.lit(_dt.datetime.fromisoformat(AS_OF)).alias("timestamp"))
-    rep = bw.host_report(msrc, patches, system, AS_OF, recency="calendar")
+    rep = bw.host_report(msrc, patches, system, AS_OF, recency="calendar", render=F.to_json)
     return rep.select("hostname", "os_name", "os_version", "last_kb", "last_kb_date", "last_update_date",
-                      F.to_json("rec_kb_arr").alias("rec_kb_json"), "cve")
+                      F.col("rec_kb_arr").alias("rec_kb_json"), "cve")
+
+
+def exposure_one_line(spark: SparkSession, d: str) -> DataFrame:
+    """All hosts and the whole catalog on one product line: how many cves are open and how many patches
+    recommended, and where the recommended list begins in the line's whole list."""
+    c, line, kb = exposure.CatalogCols(), ["_line"], F.col("last_kb").alias("_hkb")
+    catalog = analog.catalog(spark, d).withColumn("product", F.lit("all"))
+    hosts = analog.installed(spark, d)
+    pairs = blocked(hosts.select(F.lit("all").alias("_line"), kb).distinct(), line, "_hkb", 256)
+    n_open = exposure.pair_cve_blocks(pairs, catalog, c, 256).groupBy("_hkb").agg(F.sum(F.size("_items")).alias("n_open"))
+    entries = blocked(exposure.kb_release_dates(catalog, c), line, "kb", 256)
+    starts = exposure._list_starts(pairs, entries, 256)
+    whole = entries.groupBy("_line").agg(F.count(F.lit(1)).alias("_all"))
+    tails = exposure.list_tails(starts, entries).join(whole, "_line").select(
+        "_start", F.col("_rank").alias("list_rank"), (F.col("_all") - F.col("_rank")).alias("n_recommended"))
+    of_pair = starts.join(tails, "_start").select("_hkb", "list_rank", "n_recommended").join(n_open, "_hkb", "full")
+    return hosts.join(of_pair, hosts["last_kb"] == of_pair["_hkb"], "left").select(
+        "hostname", "last_kb", F.coalesce("n_open", F.lit(0)).alias("n_open"), F.coalesce("list_rank", F.lit(-1)).alias("list_rank"),
+        F.coalesce("n_recommended", F.lit(0)).alias("n_recommended"))
 
 
 def xml_remaining_children(spark: SparkSession, d: str) -> DataFrame:
@@ -116,7 +136,7 @@ def ordered_sink(spark: SparkSession, d: str) -> DataFrame:
     return back.join(base, "f").select("o_orderkey", "o_custkey", (F.col("base") + F.col("i") + 1).alias("place"))
 
 
-QUERIES = {f.__name__: f for f in (host_report_arrays, xml_remaining_children, xml_document_notes, null_safe_join,
+QUERIES = {f.__name__: f for f in (host_report_arrays, exposure_one_line, xml_remaining_children, xml_document_notes, null_safe_join,
                                    ordered_sink)}
 
 _NAME = " ".join(f"WHEN {k} THEN '{v}'" for k, v in LINES.items())
@@ -145,6 +165,18 @@ SELECT CAST(c_custkey AS VARCHAR) AS hostname, c_name AS os_name, c_mktsegment A
        coalesce(arr, '[]') AS rec_kb_json, coalesce(cve, '') AS cve
 FROM host h LEFT JOIN rec ON rec.line = h.line AND rec.kb = h.kb LEFT JOIN cv ON cv.line = h.line AND cv.kb = h.kb
 LEFT JOIN lab ON lab.kb = h.kb
+""",
+    "exposure_one_line": """
+WITH host AS (SELECT o_custkey AS hostname, max(l_partkey) AS kb FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1),
+top AS (SELECT s_name, max(l_partkey) AS kb FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1),
+dates AS (SELECT l_partkey AS kb, max(CAST(l_shipdate AS DATE)) AS d FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1),
+ranked AS (SELECT kb, d, row_number() OVER (ORDER BY kb) - 1 AS r, count(*) OVER () AS n FROM dates),
+late AS (SELECT kb, r, n FROM ranked WHERE date_trunc('month', d) = (SELECT date_trunc('month', arg_max(d, kb)) FROM dates)),
+pair AS (SELECT DISTINCT kb FROM host),
+opened AS (SELECT p.kb, count(*) AS n_open FROM pair p JOIN top t ON t.kb > p.kb GROUP BY 1),
+begun AS (SELECT p.kb, min(l.r) AS r, any_value(n) - min(l.r) AS n FROM pair p JOIN late l ON l.kb > p.kb GROUP BY 1)
+SELECT hostname, h.kb AS last_kb, coalesce(n_open, 0) AS n_open, coalesce(r, -1) AS list_rank, coalesce(n, 0) AS n_recommended
+FROM host h LEFT JOIN opened o ON o.kb = h.kb LEFT JOIN begun b ON b.kb = h.kb
 """,
     "xml_remaining_children": """
 WITH c AS (SELECT CAST(c_custkey AS VARCHAR) AS k, c_name, c_mktsegment, c_nationkey FROM customer)
