@@ -230,9 +230,9 @@ def document_notes(docs: DataFrame) -> DataFrame:
                     F.col("n._Ordinal").alias("ordinal"))
 
 
-def shred(docs: DataFrame) -> dict[str, DataFrame]:
-    """Every staging table of the documents in ``docs``."""
-    vs = vulnerabilities(docs)
+def shred(docs: DataFrame, vs: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every staging table of the documents in ``docs``; ``vs`` has their vulnerabilities if these were read apart."""
+    vs = vulnerabilities(docs) if vs is None else vs
     out = {
         "vulnerability": vulnerability(vs),
         "vulnerability_status": vulnerability_status(vs),
