@@ -291,6 +291,7 @@ def remove_repeated_passages(docs: DataFrame, *, block_bytes: int = 4 << 20) ->
 
     def read(rows: pa.Table) -> tuple[int, pa.Table, Words, Phrases]:
         rows = rows.sort_by("row")
+        pa.default_memory_pool().release_unused()  # what the block before this one left in the worker
         words = Words(rows.column("text"))
         return rows.column("block")[0].as_py(), rows, words, Phrases(words, buckets)
 
