@@ -100,6 +100,7 @@ def vulnerability_remediation(vs: DataFrame) -> DataFrame:
     r = _children(vs, ["Remediations", "Remediation"])
     return r.select("vulnerability_fk", DOC,
                     digits_or_empty(_e(first(F.col("c.Description")))).alias("kb"),
+                    _e(first(F.col("c.Description"))).alias("_kb_text"),
                     _e(F.col("c._Type")).alias("remediation_type"), _e(first(F.col("c.URL"))).alias("url"),
                     F.coalesce(F.col("c.ProductID"), F.array().cast("array<string>")).alias("product_id"),
                     _e(first(F.col("c.SubType"))).alias("subtype"),
@@ -230,8 +231,22 @@ def document_notes(docs: DataFrame) -> DataFrame:
                     F.col("n._Ordinal").alias("ordinal"))
 
 
-def shred(docs: DataFrame, vs: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Every staging table of the documents in ``docs``; ``vs`` has their vulnerabilities if these were read apart."""
+#: what is counted while a table is written: reason -> SQL condition on its rows (``_kb_text`` is not stored)
+QUALITY = {
+    "vulnerability": {"vulnerability without CVE": "cve IS NULL OR cve = ''"},
+    "vulnerability_threats": {"threat without Description": "description = ''"},
+    "vulnerability_score_set": {"score set without BaseScore": "base_score IS NULL",
+                                "score set without TemporalScore": "temporal_score IS NULL",
+                                "score set without Vector": "vector IS NULL"},
+    "vulnerability_remediation": {"kb that is no number": "_kb_text <> '' AND kb = ''",
+                                  "remediation without product": "size(product_id) = 0"},
+    "msrc_data": {"catalog row of an unknown product": "product_names = ''"},
+}
+
+
+def shred(docs: DataFrame, vs: DataFrame | None = None, counted: bool = False) -> dict[str, DataFrame]:
+    """Every staging table of the documents in ``docs``; ``vs`` has their vulnerabilities if these were read apart.
+    ``counted`` keeps the columns that only :data:`QUALITY` looks at."""
     vs = vulnerabilities(docs) if vs is None else vs
     out = {
         "vulnerability": vulnerability(vs),
@@ -247,7 +262,8 @@ def shred(docs: DataFrame, vs: DataFrame | None = None) -> dict[str, DataFrame]:
         "document_revision": document_revision(docs),
         "document_notes": document_notes(docs),
     }
-    return {k: df.select(*[f.name for f in schemas.STAGING[k].fields]) for k, df in out.items()}
+    return {k: df.select(*[f.name for f in schemas.STAGING[k].fields], *[c for c in df.columns if c.startswith("_")])
+            if counted else df.select(*[f.name for f in schemas.STAGING[k].fields]) for k, df in out.items()}
 
 
 def distinct_cwes(vuln: DataFrame) -> DataFrame:

@@ -29,8 +29,8 @@ ONE = _arr(S)
 REVISION = _st(("Number", ONE), ("Date", ONE), ("Description", ONE))
 PRODUCT_NAME = _st(("_ProductID", S), ("_VALUE", S))
 
-# Branch levels of the first parse; documents with deeper trees are parsed
-# again with more (``bulletin_warehouse.deep_products``), the deepest level being text
+# Branch levels of the parse, the deepest level being text; deeper trees are
+# walked as texts (``bulletin_warehouse.deep_products``)
 BRANCH_DEPTH = 6
 
 
@@ -154,10 +154,13 @@ MARTS = {
         ("fixed_build", S, False), ("doc_document_title", S, False)),
 }
 
-# ---- the log of loads: the newest load of a month is the one that readers see ----
-LOAD_ID = "load_id"
-LOADS = _table(("doc_xml_date", S, False), (LOAD_ID, L, False), ("as_of", TS, True), ("path", S, True),
-               ("delivered", TS, True))
+# ---- the log of loads: the last committed load of a month is the one that readers see ----
+LOAD_ID, COMMIT_ID = "load_id", "commit_id"
+LOAD_COMMITS = _table((COMMIT_ID, L, False), ("doc_xml_date", S, False), (LOAD_ID, L, False), ("as_of_us", L, True),
+                      ("path", S, True), ("delivered_us", L, True))
+LOADS = _table((COMMIT_ID, L, False), ("doc_xml_date", S, False), (LOAD_ID, L, False), ("as_of", TS, True),
+               ("path", S, True), ("delivered", TS, True))
+QUALITY = _table((LOAD_ID, L, False), ("reason", S, False), ("n", L, False))
 REJECTS = _table((LOAD_ID, L, False), ("doc_xml_date", S, True), ("path", S, True), ("reason", S, False),
                  ("n", L, False), ("detail", S, True))
 

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from patchlens import schemas
 
 LABEL_RE = r"(\d{4}-[A-Z][a-z]{2})(?:\.xml|/part-[^/]*)$"
-PATH, DELIVERED = "_path", "_delivered"
+PATH, DELIVERED, TEXT = "_path", "_delivered", "_xml"
 XML_OPTIONS = {"rowTag": "cvrfdoc", "ignoreNamespace": "true", "mode": "PERMISSIVE",
                "columnNameOfCorruptRecord": schemas.CORRUPT, "recursiveFileLookup": "true"}
 
@@ -48,12 +48,19 @@ def landed_files(spark: SparkSession, path: str) -> DataFrame:
                         F.col("modificationTime").alias("delivered"))
 
 
+def bulletin_texts(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(doc_xml_date, _xml) of whole files."""
+    whole = spark.read.option("wholetext", "true").text(paths)
+    return whole.select(label_from_path(F.col("_metadata.file_path")).alias("doc_xml_date"), F.col("value").alias(TEXT))
+
+
 def parse_bulletin_text(df: DataFrame, xml_col: str, label_col: str,
                         schema: T.StructType = schemas.DOCUMENT) -> DataFrame:
-    """Documents held as text in a column (e.g. a table of raw documents)."""
+    """Documents held as text in a column (e.g. a table of raw documents); ``_xml`` keeps the text."""
     parsed = F.from_xml(F.col(xml_col), schema, {"ignoreNamespace": "true", "mode": "PERMISSIVE",
                                                  "columnNameOfCorruptRecord": schemas.CORRUPT})
-    return df.select(F.col(label_col).alias("doc_xml_date"), parsed.alias("_d")).select("doc_xml_date", "_d.*")
+    return (df.select(F.col(label_col).alias("doc_xml_date"), F.col(xml_col).alias(TEXT), parsed.alias("_d"))
+            .select("doc_xml_date", "_d.*", TEXT))
 
 
 def valid_documents(docs: DataFrame) -> DataFrame:
