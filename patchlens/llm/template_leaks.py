@@ -5,23 +5,24 @@ sentence) and units after a number become typed placeholders, other words are
 lower-cased.  Windows of ``window`` canonical tokens are hashed and joined
 between documents and benchmark items, so a question is found again when only
 its numbers, names or units were changed.  Matching windows of one document and item on
-one alignment are folded, and the slots they cover are compared: item values
-and document values must stand for each other one to one, or the alignment
-is dropped (same words, but not the same question).  A document holds an item
-if consistent alignments cover at least ``min_cover`` of its windows.  Without
-``whole_alignments`` (as in the pipeline) only the windows over a contradicting
-slot are left out, and two item values may stand for one document value; the
-query keeps the rule by alignment, which its SQL states.  The pipeline also
-drops what ``find_quotes`` finds, and takes 13 tokens in a row for enough.
-
-Only windows with at least half plain words count, so tables of numbers match
-nothing.  The benchmark's windows are broadcast up to ``broadcast_rows`` rows
+one alignment are folded, and the slots they cover are compared.  A slot contradicts if its value was changed
+and the same item value stands for another one elsewhere; windows over such a slot are left out,
+the others count.  Two item values may stand for one document value.
+A document holds an item if the windows left cover at least ``min_cover`` of the item's, or ``run`` tokens in a row.
+
+Only template windows with at least half plain words count, so tables of numbers match
+nothing by shape alone.  Beside the templates, ``find_quotes`` finds items by their raw tokens: ``min_cover`` of an
+item's raw windows whatever their slots, ``run`` of its tokens in a row, or the whole of an item shorter than
+a window.  A leak is what either finds.
+
+The benchmark's windows are broadcast up to ``broadcast_rows`` rows
 (counted first); beyond that the join shuffles both sides.  The join itself
 carries positions only: the tokens of documents with a match are read again,
-found by their text hashes, which are broadcast up to the same bound.
+found by their text hashes (MD5), which are broadcast up to the same bound.
 
-Defined cases: null and empty texts and items shorter than a window match
-nothing; repeated rows (same doc_id and text) give one result, and so do
+Defined cases: null and empty texts match nothing, items without a token neither; texts of any length are
+worked on whole, a row at a time; ties do not arise, all leaks are returned; repeated rows (same doc_id and text)
+give one result, and so do
 repeated items; a null doc_id is reported as null; an empty table gives no rows; other
 columns are ignored.
 """
@@ -67,31 +68,42 @@ def _typed(df: DataFrame) -> DataFrame:
     return _held(df, "_typed", F.filter(F.transform("_tokens", kind), lambda t: t != "")).drop("_tokens")
 
 
-def _windows(df: DataFrame, keys: list[str], window: int) -> DataFrame:
-    """(*keys, pos, hash, plain) of every window of ``_typed``; pos counts from 1."""
+def _windows(df: DataFrame, keys: list[str], window: int, least_plain: int = 0) -> DataFrame:
+    """(*keys, pos, hash) of the windows of ``_typed`` with ``least_plain`` plain words or more; pos counts from 1."""
     canon = F.transform("_typed", lambda t: F.when(t < "\u0004", F.substring(t, 1, 1)).otherwise(t))
-    df = _held(df.filter(F.size("_typed") >= window).select(*dict.fromkeys([*keys, "_typed"])), "_canon", canon)
-    hashes = F.transform(F.sequence(F.lit(1), F.size("_canon") - window + 1),
-                         lambda i: F.xxhash64(F.slice("_canon", i, window)))
-    return df.select(*keys, F.posexplode(hashes).alias("pos", "hash")).withColumn("pos", F.col("pos") + 1)
-
-
-def find_leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_cover: float = 0.4,
-               broadcast_rows: int = 1_000_000, whole_alignments: bool = True, run: int | None = None) -> DataFrame:
-    """(doc_id, text_hash, item_id, n_windows, item_windows, coverage, verbatim) of documents that hold
-    an item; ``text_hash`` tells rows of one doc_id apart.  Without ``whole_alignments`` slots are
-    checked by window, not by alignment.  An alignment of ``run`` tokens in a row suffices besides ``min_cover``."""
-    in_a_row = F.lit(False) if run is None else F.exists("places", lambda p: F.size(
+    df = _held(df.filter(F.size("_typed") >= window).select(*keys, "_typed"), "_canon", canon)
+
+    def one(i: Column) -> Column:
+        part = F.slice("_canon", i, window)
+        hashed = F.xxhash64(part)
+        return hashed if not least_plain else F.when(
+            F.size(F.filter(part, lambda t: t >= "\u0004")) >= least_plain, hashed)
+
+    hashes = F.transform(F.sequence(F.lit(1), F.size("_canon") - window + 1), one)
+    return (df.select(*keys, F.posexplode(hashes).alias("pos", "hash")).filter(F.col("hash").isNotNull())
+            .withColumn("pos", F.col("pos") + 1))
+
+
+def _text_hash() -> Column:
+    return F.unhex(F.md5("text"))
+
+
+def _item() -> Column:
+    return F.xxhash64("item_id", "text").alias("item")
+
+
+def find_templates(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_cover: float = 0.4, run: int = 13,
+                   broadcast_rows: int = 1_000_000) -> DataFrame:
+    """(doc_id, text_hash, item, item_id, n_windows, item_windows, verbatim) of documents that hold an item's template."""
+    in_a_row = F.exists("places", lambda p: F.size(
         F.array_intersect("places", F.sequence(p, p + (run - window)))) == run - window + 1)
-    items = stored(_typed(benchmark.select("item_id", "text").distinct()).select(
-        F.xxhash64("item_id", "text").alias("item"), "item_id", "_typed"), "leak-items")
-    plain = F.size(F.filter(F.slice("_typed", F.col("pos").cast("int"), window), lambda t: t >= "\u0004"))
-    wanted = stored(_windows(items, ["item", "_typed"], window).filter(plain * 2 >= window)
+    items = stored(_typed(benchmark.select("item_id", "text").distinct()).select(_item(), "item_id", "_typed"), "leak-items")
+    wanted = stored(_windows(items, ["item"], window, -(-window // 2))
                     .groupBy("item", "hash").agg(F.min("pos").alias("item_pos")), "leak-windows")
     sizes = wanted.groupBy("item").agg(F.count(F.lit(1)).alias("item_windows"))
     near = broadcast_up_to(wanted, broadcast_rows)
 
-    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).withColumn("text_hash", F.xxhash64("text"))
+    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).withColumn("text_hash", _text_hash())
     hits = (_windows(_typed(texts), ["doc_id", "text_hash"], window).join(near, "hash")
             .groupBy("doc_id", "text_hash", "item", (F.col("pos") - F.col("item_pos")).alias("shift"))
             .agg(F.collect_set("item_pos").alias("places")))  # at most the windows of the item
@@ -116,23 +128,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_co
     checked = _held(checked, "placed", placed)
     pairs = F.transform("placed", lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b")))
     checked = _held(checked, "slots", F.array_distinct(pairs))
-    if whole_alignments:
-        n_pairs = F.size("slots")
-        checked = checked.filter((n_pairs == F.size(F.array_distinct("slots.a")))
-                                 & (n_pairs == F.size(F.array_distinct("slots.b"))))
-    else:
-        # a slot contradicts if its value was changed, and the same item value stands for another one elsewhere
-        against = F.transform(F.filter("placed", lambda x: (x["a"] != x["b"]) & F.exists(
-            "slots", lambda y: (y["a"] == x["a"]) & (y["b"] != x["b"]))), lambda x: x["q"])
-        checked = _held(checked, "against", against).withColumn("places", F.filter(
-            "places", lambda p: ~F.exists("against", lambda q: (q >= p) & (q < p + window)))).filter(F.size("places") > 0)
+    # a slot contradicts if its value was changed, and the same item value stands for another one elsewhere
+    against = F.transform(F.filter("placed", lambda x: (x["a"] != x["b"]) & F.exists(
+        "slots", lambda y: (y["a"] == x["a"]) & (y["b"] != x["b"]))), lambda x: x["q"])
+    checked = _held(checked, "against", against).withColumn("places", F.filter(
+        "places", lambda p: ~F.exists("against", lambda q: (q >= p) & (q < p + window)))).filter(F.size("places") > 0)
     same = F.forall("slots", lambda x: x["a"] == x["b"])
-    found = (checked.groupBy("doc_id", "text_hash", "item_id", "item", "item_windows")
+    found = (checked.groupBy("doc_id", "text_hash", "item", "item_id", "item_windows")
              .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n_windows"),
                   F.bool_and(same).alias("verbatim"), F.bool_or(in_a_row).alias("run"))
              .filter((F.col("n_windows") >= F.col("item_windows") * min_cover) | F.col("run")))
-    return found.select("doc_id", "text_hash", "item_id", F.col("n_windows").cast("long").alias("n_windows"), "item_windows",
-                        (F.col("n_windows") / F.col("item_windows")).alias("coverage"), "verbatim").distinct()
+    return found.select("doc_id", "text_hash", "item", "item_id", F.col("n_windows").cast("long").alias("n_windows"),
+                        "item_windows", "verbatim")
 
 
 def _grams(n: int) -> Column:
@@ -144,21 +151,21 @@ def _grams(n: int) -> Column:
 
 def find_quotes(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_cover: float = 0.4, run: int = 13,
                 broadcast_rows: int = 1_000_000) -> DataFrame:
-    """(doc_id, text_hash, item_id) of documents that hold the words of an item as they stand (case and marks
+    """(doc_id, text_hash, item, item_id) of documents that hold the words of an item as they stand (case and marks
     aside): ``min_cover`` of its windows, whatever their slots, ``run`` of its tokens in a row, or the whole of an
     item shorter than a window."""
     raw = F.transform(F.filter(F.regexp_extract_all(F.col("text"), F.lit(TOKEN), F.lit(0)),
                                lambda t: ~t.isin(*MARKS)), lambda t: F.lower(t))
     known = benchmark.select("item_id", "text").filter(F.col("text").isNotNull()).distinct()
     items = stored(_held(known, "_raw", raw).filter(F.size("_raw") > 0).select(
-        F.xxhash64("item_id", "text").alias("item"), "item_id", "_raw"), "quote-items")
+        _item(), "item_id", "_raw"), "quote-items")
     short = F.size("_raw") < window
     lengths = [r[0] for r in items.filter(short).select(F.size("_raw")).distinct().collect()]  # under ``window`` numbers
     hashes = F.when(short, F.array(F.xxhash64("_raw"))).otherwise(_grams(window))
     wanted = stored(items.select("item", F.explode(F.array_distinct(hashes)).alias("hash")).distinct(), "quote-windows")
     sizes = wanted.groupBy("item").agg(F.count(F.lit(1)).alias("m"))
 
-    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).withColumn("text_hash", F.xxhash64("text"))
+    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).withColumn("text_hash", _text_hash())
     windows = _held(texts, "_raw", raw).select(
         "doc_id", "text_hash", F.explode(F.concat(*map(_grams, [window, *lengths]))).alias("hash"))
     hits = stored(windows.join(broadcast_up_to(wanted, broadcast_rows), "hash").groupBy("doc_id", "text_hash", "item").agg(
@@ -173,18 +180,32 @@ def find_quotes(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_c
     item_runs = items.select("item", _grams(run).alias("item_runs"))
     quoted = maybe.join(doc_runs, "text_hash").join(item_runs, "item").filter(F.arrays_overlap("doc_runs", "item_runs"))
     found = hits.filter(covered).select("doc_id", "text_hash", "item").union(quoted.select("doc_id", "text_hash", "item"))
-    return found.join(items.select("item", "item_id"), "item").select("doc_id", "text_hash", "item_id").distinct()
-
-
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, *, broadcast_rows: int = 1_000_000,
-               whole_alignments: bool = True, run: int | None = None) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item; with ``run`` also without those that quote one."""
-    leaks = find_leaks(docs, benchmark, whole_alignments=whole_alignments, run=run).select("doc_id", "text_hash")
-    if run is not None:
-        leaks = leaks.union(find_quotes(docs, benchmark, run=run).select("doc_id", "text_hash"))
-    leaks = leaks.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    return found.join(items.select("item", "item_id"), "item").select("doc_id", "text_hash", "item", "item_id").distinct()
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
+    """(doc_id, text_hash, item_id, n_windows, item_windows, coverage, verbatim, quoted): every document that holds or
+    quotes a benchmark item.  The first figures are those of the templates (0 where only the quote was found);
+    ``text_hash`` tells rows of one doc_id apart."""
+    none = F.lit(0).cast("long")
+    templates = find_templates(docs, benchmark, **how).withColumn("quoted", F.lit(False))
+    quotes = find_quotes(docs, benchmark, **how).select(
+        "doc_id", "text_hash", "item", "item_id", none.alias("n_windows"), none.alias("item_windows"),
+        F.lit(False).alias("verbatim"), F.lit(True).alias("quoted"))
+    both = templates.unionByName(quotes).groupBy("doc_id", "text_hash", "item", "item_id").agg(
+        F.max("n_windows").alias("n_windows"), F.max("item_windows").alias("item_windows"),
+        F.bool_or("verbatim").alias("verbatim"), F.bool_or("quoted").alias("quoted"))
+    coverage = F.when(F.col("item_windows") > 0, F.col("n_windows") / F.col("item_windows")).otherwise(0.0)
+    return both.select("doc_id", "text_hash", "item_id", "n_windows", "item_windows", coverage.alias("coverage"),
+                       "verbatim", "quoted").distinct()
+
+
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, *, broadcast_rows: int = 1_000_000, **how) -> DataFrame:
+    """``docs`` without the documents that hold or quote a benchmark item."""
+    leaks = find_leaks(docs, benchmark, broadcast_rows=broadcast_rows, **how).select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     leaks = broadcast_up_to(stored(leaks, "leak-documents"), broadcast_rows)
-    return docs.join(leaks, (F.xxhash64(docs["text"]) == F.col("_hash")) & docs["doc_id"].eqNullSafe(F.col("_id")),
+    return docs.join(leaks, (F.unhex(F.md5(docs["text"])) == F.col("_hash")) & docs["doc_id"].eqNullSafe(F.col("_id")),
                      "left_anti")
 
 
@@ -192,21 +213,22 @@ def op8_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash").distinct()
 
 
-def _sql(window: int = 8, min_cover: float = 0.4) -> str:
+def _sql(window: int = 8, min_cover: float = 0.4, run: int = 13) -> str:
     units = ", ".join(repr(u) for u in UNITS)
     marks = "'.', '!', '?', chr(10)"
     token = TOKEN.replace("'", "''")
 
     def typed(source: str, keys: str) -> str:
         return f"""
-        SELECT {keys}, list_filter(list_transform(range(1, len(k) + 1), lambda i:
-            CASE WHEN k[i] IN ({marks}) THEN ''
-                 WHEN k[i] >= '0' AND k[i] < ':' THEN chr(1) || k[i]
-                 WHEN i > 1 AND k[i-1] >= '0' AND k[i-1] < ':' AND lower(k[i]) IN ({units}) THEN chr(3) || lower(k[i])
-                 WHEN i > 1 AND k[i] <> lower(k[i]) AND k[i-1] NOT IN ({marks})
-                      AND regexp_matches(k[i], '^\\p{{Lu}}\\p{{Ll}}+$') THEN chr(2) || k[i]
-                 ELSE lower(k[i]) END), lambda t: t <> '') AS k
-        FROM (SELECT DISTINCT {keys}, regexp_extract_all(text, '{token}') AS k FROM {source} WHERE text IS NOT NULL)"""
+        SELECT {keys}, list_filter(list_transform(range(1, len(t) + 1), lambda i:
+            CASE WHEN t[i] IN ({marks}) THEN ''
+                 WHEN t[i] >= '0' AND t[i] < ':' THEN chr(1) || t[i]
+                 WHEN i > 1 AND t[i-1] >= '0' AND t[i-1] < ':' AND lower(t[i]) IN ({units}) THEN chr(3) || lower(t[i])
+                 WHEN i > 1 AND t[i] <> lower(t[i]) AND t[i-1] NOT IN ({marks})
+                      AND regexp_matches(t[i], '^\\p{{Lu}}\\p{{Ll}}+$') THEN chr(2) || t[i]
+                 ELSE lower(t[i]) END), lambda x: x <> '') AS k,
+               list_transform(list_filter(t, lambda x: x NOT IN ({marks})), lambda x: lower(x)) AS raw
+        FROM (SELECT DISTINCT {keys}, regexp_extract_all(text, '{token}') AS t FROM {source} WHERE text IS NOT NULL)"""
 
     windows = f"""list_transform(range(1, len(k) - {window - 2}), lambda i: list_transform(k[i:i+{window - 1}],
                   lambda t: CASE WHEN t < chr(4) THEN t[1] ELSE t END))"""
@@ -220,15 +242,31 @@ def _sql(window: int = 8, min_cover: float = 0.4) -> str:
     h AS (SELECT doc, item, dw.p - iw.p AS shift, list(DISTINCT iw.p) AS places FROM (
             SELECT doc, unnest({windows}) AS w, unnest(range(1, len(k) - {window - 2})) AS p FROM d) dw
           JOIN iw USING (w) GROUP BY ALL),
-    c AS (SELECT doc, item, places, list_distinct(list_filter(list_transform(list_distinct(flatten(list_transform(places,
-              lambda p: range(p, p + {window})))), lambda q: {{'a': i.k[q], 'b': d.k[q + shift]}}),
-              lambda x: x.a < chr(4))) AS s FROM h JOIN i USING (item) JOIN d USING (doc)),
+    c AS (SELECT doc, item, places, list_filter(list_transform(list_distinct(flatten(list_transform(places,
+              lambda p: range(p, p + {window})))), lambda q: {{'q': q, 'a': i.k[q], 'b': d.k[q + shift]}}),
+              lambda x: x.a < chr(4)) AS s FROM h JOIN i USING (item) JOIN d USING (doc)),
+    a AS (SELECT doc, item, places, s, list_filter(s, lambda x: x.a <> x.b
+              AND len(list_filter(s, lambda y: y.a = x.a AND y.b <> x.b)) > 0) AS against FROM c),
+    w AS (SELECT doc, item, s, list_filter(places, lambda p: len(list_filter(against,
+              lambda x: x.q >= p AND x.q < p + {window})) = 0) AS places FROM a),
     g AS (SELECT doc, item, len(list_distinct(flatten(list(places)))) AS n_windows,
-              bool_and(len(list_filter(s, lambda x: x.a <> x.b)) = 0) AS verbatim FROM c
-          WHERE len(s) = len(list_distinct(list_transform(s, lambda x: x.a)))
-            AND len(s) = len(list_distinct(list_transform(s, lambda x: x.b))) GROUP BY doc, item)
-    SELECT DISTINCT doc_id, item_id, n_windows, item_windows, n_windows / item_windows AS coverage, verbatim
-    FROM g JOIN n USING (item) JOIN i USING (item) JOIN d USING (doc) WHERE n_windows >= {min_cover} * item_windows"""
-
+              bool_and(len(list_filter(s, lambda x: x.a <> x.b)) = 0) AS verbatim,
+              bool_or(len(list_filter(places, lambda p: len(list_filter(places, lambda o: o >= p AND o <= p + {run - window}))
+                  = {run - window + 1})) > 0) AS run FROM w WHERE len(places) > 0 GROUP BY doc, item),
+    tm AS (SELECT g.*, item_windows FROM g JOIN n USING (item) WHERE n_windows >= {min_cover} * item_windows OR run),
+    qi AS MATERIALIZED (SELECT DISTINCT item, unnest(CASE WHEN len(raw) < {window} THEN [raw] ELSE list_transform(
+              range(1, len(raw) - {window - 2}), lambda p: raw[p:p+{window - 1}]) END) AS w FROM i WHERE len(raw) > 0),
+    sizes AS (SELECT {window} AS z UNION SELECT DISTINCT len(raw) FROM i WHERE len(raw) > 0 AND len(raw) < {window}),
+    qd AS (SELECT DISTINCT doc, unnest(list_transform(range(1, len(raw) - z + 2), lambda p: raw[p:p+z-1])) AS w
+           FROM d, sizes WHERE len(raw) >= z),
+    covered AS (SELECT doc, item FROM (SELECT doc, item, count(*) AS n FROM qd JOIN qi USING (w) GROUP BY ALL)
+                JOIN (SELECT item, count(*) AS m FROM qi GROUP BY item) USING (item) WHERE n >= {min_cover} * m),
+    ri AS (SELECT DISTINCT item, unnest(list_transform(range(1, len(raw) - {run - 2}), lambda p: raw[p:p+{run - 1}])) AS w FROM i),
+    rd AS (SELECT DISTINCT doc, unnest(list_transform(range(1, len(raw) - {run - 2}), lambda p: raw[p:p+{run - 1}])) AS w FROM d),
+    qu AS (SELECT doc, item, true AS quoted FROM (SELECT * FROM covered UNION SELECT doc, item FROM rd JOIN ri USING (w)))
+    SELECT DISTINCT doc_id, item_id, coalesce(n_windows, 0) AS n_windows, coalesce(item_windows, 0) AS item_windows,
+           coalesce(n_windows / item_windows, 0) AS coverage, coalesce(verbatim, false) AS verbatim,
+           coalesce(quoted, false) AS quoted
+    FROM tm FULL JOIN qu USING (doc, item) JOIN i USING (item) JOIN d USING (doc)"""
 
 SQL = _sql()

@@ -35,12 +35,12 @@ def test_cases(spark, tmp_path):
     got = sorted(map(tuple, tl.op8_template_leaks(spark, sf).collect()), key=repr)
     hits = {(r[0], r[1]): r[5] for r in got}
     assert hits[1, 0] and hits[7, 0] and hits[10, 1] and not hits[2, 0]
-    assert set(hits) == {(1, 0), (2, 0), (7, 0), (None, 1), (10, 1), (11, 0)} and len(hits) == len(got)
+    assert set(hits) == {(1, 0), (2, 0), (3, 0), (7, 0), (None, 1), (9, 2), (10, 1), (11, 0)} and len(hits) == len(got)
     assert sorted(con.execute(tl.SQL).fetchall(), key=repr) == got
     shuffled = tl.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"), broadcast_rows=0).drop("text_hash")
     assert sorted(map(tuple, shuffled.collect()), key=repr) == got
     left = tl.drop_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
-    assert sorted(r["doc_id"] for r in left.collect()) == [3, 4, 5, 6, 8, 9] and left.columns == ["doc_id", "text", "item_id"]
+    assert sorted(r["doc_id"] for r in left.collect()) == [4, 5, 6, 8] and left.columns == ["doc_id", "text", "item_id"]
 
 
 def test_slots_by_window(spark, tmp_path):
@@ -48,8 +48,7 @@ def test_slots_by_window(spark, tmp_path):
     split = ITEM.replace("Tom", "Bob", 1).replace("Anna", "Mia", 1)  # equal item values, two document values
     docs = spark.createDataFrame([*DOCS, (20, HEAD + equal), (21, split + TAIL)], "doc_id long, text string")
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
-    assert not {3, 20, 21} & {r["doc_id"] for r in tl.find_leaks(docs, bench).collect()}  # the rule by alignment
-    rows = tl.find_leaks(docs, bench, whole_alignments=False).collect()
+    rows = tl.find_templates(docs, bench).collect()
     assert {(r["doc_id"], r["item_id"]) for r in rows} == {
         (1, 0), (2, 0), (3, 0), (7, 0), (None, 1), (10, 1), (11, 0), (20, 0), (21, 0)}
     found = {r["doc_id"]: r for r in rows}
@@ -59,6 +58,24 @@ def test_slots_by_window(spark, tmp_path):
     assert not {1, 2, 3, 7, 10, 11, 20, 21} & {r["doc_id"] for r in left.collect()}
 
 
+def test_every_kind_of_leak(spark, tmp_path):
+    """One name of two equal ones changed, two numbers become one, a short item, an item of numbers, a quote, a whole item."""
+    words = "zero one two three four five six seven eight nine ten eleven twelve".split()
+    long = " ".join(f"{a} {b}" for a in words[:4] for b in words[4:12])[:180]
+    bench = [(0, ITEM), (1, "What is 12 plus 30 ?"), (2, TABLE), (3, long), (4, OTHER)]
+    docs = [(0, HEAD + BROKEN + TAIL), (1, HEAD + ITEM.replace("12", "9").replace("7", "9")), (2, "so what is 12 plus 30? asked one"),
+            (3, "count " + TABLE + " up"), (4, "as " + " ".join(long.split()[5:19]) + " said"), (5, HEAD + OTHER + TAIL),
+            (6, HEAD + TAIL), (7, "what is 13 plus 30"), (8, "as " + " ".join(long.split()[5:14]) + " said")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = sorted(map(tuple, tl.op8_template_leaks(spark, str(tmp_path)).collect()))
+    assert {(r[0], r[1]) for r in got} == {(0, 0), (1, 0), (2, 1), (3, 2), (4, 3), (5, 4)}
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    assert sorted(con.execute(tl.SQL).fetchall()) == got
+
+
 def test_quotes(spark, tmp_path):
     words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(59)]
     told = "the old man Karl walked 12 miles to the big town near the sea and " + " ".join(w.replace("w", "v") for w in words[:40])
