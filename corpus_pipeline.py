@@ -46,7 +46,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_leaks(docs, table(spark, sf_dir, "benchmark"), whole_alignments=False, run=QUOTE)
+    return drop_leaks(docs, table(spark, sf_dir, "benchmark"), run=QUOTE)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
