@@ -53,8 +53,13 @@ def _held(df: DataFrame, name: str, column: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(column)).alias(name))
 
 
+def _tokens(df: DataFrame) -> DataFrame:
+    """``df`` (text) with ``_tokens``: words, numbers and the marks that end a sentence."""
+    return _held(df, "_tokens", F.regexp_extract_all(F.col("text"), F.lit(TOKEN), F.lit(0)))
+
+
 def _typed(df: DataFrame) -> DataFrame:
-    """``df`` (text) with ``_typed``: the words of the text, and marker + value for slots."""
+    """``df`` (_tokens) with ``_typed``: the words of the text, and marker + value for slots."""
     def kind(t: Column, i: Column) -> Column:
         before = F.get(F.col("_tokens"), i - 1)
         return (F.when(t.isin(*MARKS), F.lit(""))
@@ -64,14 +69,19 @@ def _typed(df: DataFrame) -> DataFrame:
                       F.concat(F.lit(NAME), t))
                 .otherwise(F.lower(t)))
 
-    df = _held(df, "_tokens", F.regexp_extract_all(F.col("text"), F.lit(TOKEN), F.lit(0)))
-    return _held(df, "_typed", F.filter(F.transform("_tokens", kind), lambda t: t != "")).drop("_tokens")
+    return _held(df, "_typed", F.filter(F.transform("_tokens", kind), lambda t: t != ""))
+
+
+def _raw(df: DataFrame) -> DataFrame:
+    """``df`` (_tokens) with ``_raw``: its words and numbers as they stand, in lower case."""
+    return _held(df, "_raw", F.transform(F.filter("_tokens", lambda t: ~t.isin(*MARKS)), lambda t: F.lower(t)))
 
 
-def _windows(df: DataFrame, keys: list[str], window: int, least_plain: int = 0) -> DataFrame:
-    """(*keys, pos, hash) of the windows of ``_typed`` with ``least_plain`` plain words or more; pos counts from 1."""
+def _template_windows(df: DataFrame, window: int, least_plain: int = 0) -> DataFrame:
+    """``df`` (_typed) with ``_windows``: the hash of every window of canonical tokens, in their order; NULL for one
+    with less than ``least_plain`` plain words."""
     canon = F.transform("_typed", lambda t: F.when(t < "\u0004", F.substring(t, 1, 1)).otherwise(t))
-    df = _held(df.filter(F.size("_typed") >= window).select(*keys, "_typed"), "_canon", canon)
+    df = _held(df, "_canon", canon)
 
     def one(i: Column) -> Column:
         part = F.slice("_canon", i, window)
@@ -79,9 +89,9 @@ def _windows(df: DataFrame, keys: list[str], window: int, least_plain: int = 0)
         return hashed if not least_plain else F.when(
             F.size(F.filter(part, lambda t: t >= "\u0004")) >= least_plain, hashed)
 
-    hashes = F.transform(F.sequence(F.lit(1), F.size("_canon") - window + 1), one)
-    return (df.select(*keys, F.posexplode(hashes).alias("pos", "hash")).filter(F.col("hash").isNotNull())
-            .withColumn("pos", F.col("pos") + 1))
+    size = F.size("_canon")
+    return _held(df, "_windows", F.when(size >= window, F.transform(F.sequence(F.lit(1), size - window + 1), one)).otherwise(
+        F.array().cast("array<bigint>"))).drop("_canon")
 
 
 def _text_hash() -> Column:
@@ -92,22 +102,64 @@ def _item() -> Column:
     return F.xxhash64("item_id", "text").alias("item")
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text").filter(F.col("text").isNotNull()).withColumn("text_hash", _text_hash())
+
+
+def _grams(n: int) -> Column:
+    """Hashes of the runs of ``n`` of the tokens in ``_raw``."""
+    size = F.size("_raw")
+    return F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.xxhash64(
+        F.slice("_raw", i, n)))).otherwise(F.array().cast("array<bigint>"))
+
+
+class Benchmark:
+    """The items' tokens and the windows that documents are searched for; ``item_pos`` counts from 1, 0 for raw windows."""
+
+    def __init__(self, benchmark: DataFrame, window: int):
+        known = benchmark.select("item_id", "text").filter(F.col("text").isNotNull()).distinct()
+        self.items = stored(_raw(_typed(_tokens(known))).select(_item(), "item_id", "_typed", "_raw"), "leak-items")
+        self.window = window
+        templates = _template_windows(self.items, window, -(-window // 2)).select(
+            "item", F.posexplode("_windows").alias("pos", "hash")).filter(F.col("hash").isNotNull())
+        short = F.size("_raw") < window
+        self.lengths = [r[0] for r in self.items.filter(short & (F.size("_raw") > 0)).select(F.size("_raw")).distinct().collect()]
+        raw = F.when(F.size("_raw") == 0, F.array().cast("array<bigint>")).when(
+            short, F.array(F.xxhash64("_raw"))).otherwise(_grams(window))  # under ``window`` lengths
+        quotes = self.items.select("item", F.explode(F.array_distinct(raw)).alias("hash"))
+        self.wanted = stored(
+            templates.groupBy("item", "hash").agg((F.min("pos") + 1).alias("item_pos")).withColumn("raw", F.lit(False))
+            .unionByName(quotes.select("item", "hash", F.lit(0).alias("item_pos"), F.lit(True).alias("raw"))), "leak-windows")
+        self.sizes = self.wanted.groupBy("item", "raw").agg(F.count(F.lit(1)).alias("item_windows"))
+
+
+def _hits(docs: DataFrame, bench: Benchmark, broadcast_rows: int) -> DataFrame:
+    """What the documents share with the benchmark, from one pass over their tokens: per document, item and alignment
+    (``shift``, of templates) the places in the item, or (``raw``) how many distinct windows and how often."""
+    tokens = _template_windows(_raw(_typed(_tokens(_texts(docs)))), bench.window)
+    every = F.concat("_windows", *map(_grams, [bench.window, *bench.lengths]))
+    found = (tokens.select("doc_id", "text_hash", F.size("_windows").alias("_n"), F.posexplode(every).alias("pos", "hash"))
+             .withColumn("raw", F.col("pos") >= F.col("_n")).join(broadcast_up_to(bench.wanted, broadcast_rows), ["hash", "raw"]))
+    shift = F.when(~F.col("raw"), F.col("pos") + 1 - F.col("item_pos"))
+    hits = found.groupBy("doc_id", "text_hash", "item", "raw", shift.alias("shift")).agg(
+        F.collect_set(F.when(~F.col("raw"), F.col("item_pos"))).alias("places"),  # at most the windows of the item
+        F.size(F.collect_set(F.when(F.col("raw"), F.col("hash")))).alias("n"), F.count(F.lit(1)).alias("rows"))
+    return stored(hits.join(bench.sizes, ["item", "raw"]), "leak-hits")
+
+
 def find_templates(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_cover: float = 0.4, run: int = 13,
                    broadcast_rows: int = 1_000_000) -> DataFrame:
     """(doc_id, text_hash, item, item_id, n_windows, item_windows, verbatim) of documents that hold an item's template."""
+    bench = Benchmark(benchmark, window)
+    return _templates(docs, bench, _hits(docs, bench, broadcast_rows), min_cover, run, broadcast_rows)
+
+
+def _templates(docs: DataFrame, bench: Benchmark, hits: DataFrame, min_cover: float, run: int,
+               broadcast_rows: int) -> DataFrame:
+    window, texts = bench.window, _texts(docs)
     in_a_row = F.exists("places", lambda p: F.size(
         F.array_intersect("places", F.sequence(p, p + (run - window)))) == run - window + 1)
-    items = stored(_typed(benchmark.select("item_id", "text").distinct()).select(_item(), "item_id", "_typed"), "leak-items")
-    wanted = stored(_windows(items, ["item"], window, -(-window // 2))
-                    .groupBy("item", "hash").agg(F.min("pos").alias("item_pos")), "leak-windows")
-    sizes = wanted.groupBy("item").agg(F.count(F.lit(1)).alias("item_windows"))
-    near = broadcast_up_to(wanted, broadcast_rows)
-
-    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).withColumn("text_hash", _text_hash())
-    hits = (_windows(_typed(texts), ["doc_id", "text_hash"], window).join(near, "hash")
-            .groupBy("doc_id", "text_hash", "item", (F.col("pos") - F.col("item_pos")).alias("shift"))
-            .agg(F.collect_set("item_pos").alias("places")))  # at most the windows of the item
-    hits = stored(hits.join(sizes, "item"), "leak-hits")
+    hits = hits.filter(~F.col("raw")).select("doc_id", "text_hash", "item", "shift", "places", "item_windows")
 
     # a second look at the documents with enough windows, for their slots
     reach = hits.groupBy("doc_id", "text_hash", "item").agg(
@@ -117,14 +169,15 @@ def find_templates(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, mi
     kept = hits.join(reach.select("doc_id", "text_hash", "item").withColumnRenamed("doc_id", "_doc"),
                      ["text_hash", "item"]).filter(F.col("doc_id").eqNullSafe(F.col("_doc"))).drop("_doc")
     some = broadcast_up_to(stored(reach.select("text_hash").distinct(), "leak-texts"), broadcast_rows)
-    tokens = _typed(texts.join(some, "text_hash", "left_semi").dropDuplicates(["text_hash"])).select(
+    tokens = _typed(_tokens(texts.join(some, "text_hash", "left_semi").dropDuplicates(["text_hash"]))).select(
         "text_hash", F.col("_typed").alias("doc_tokens"))
     placed = F.filter(F.transform(
         F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + (window - 1))))),
         lambda q: F.struct(q.alias("q"), F.get("item_tokens", q.cast("int") - 1).alias("a"),
                            F.get("doc_tokens", (q + F.col("shift")).cast("int") - 1).alias("b"))),
         lambda x: x["a"] < "\u0004")
-    checked = kept.join(tokens, "text_hash").join(items.withColumnRenamed("_typed", "item_tokens"), "item")
+    checked = kept.join(tokens, "text_hash").join(
+        bench.items.select("item", "item_id", F.col("_typed").alias("item_tokens")), "item")
     checked = _held(checked, "placed", placed)
     pairs = F.transform("placed", lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b")))
     checked = _held(checked, "slots", F.array_distinct(pairs))
@@ -142,54 +195,41 @@ def find_templates(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, mi
                         "item_windows", "verbatim")
 
 
-def _grams(n: int) -> Column:
-    """Hashes of the runs of ``n`` of the tokens in ``_raw``."""
-    size = F.size("_raw")
-    return F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.xxhash64(
-        F.slice("_raw", i, n)))).otherwise(F.array().cast("array<bigint>"))
-
-
 def find_quotes(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_cover: float = 0.4, run: int = 13,
                 broadcast_rows: int = 1_000_000) -> DataFrame:
     """(doc_id, text_hash, item, item_id) of documents that hold the words of an item as they stand (case and marks
     aside): ``min_cover`` of its windows, whatever their slots, ``run`` of its tokens in a row, or the whole of an
     item shorter than a window."""
-    raw = F.transform(F.filter(F.regexp_extract_all(F.col("text"), F.lit(TOKEN), F.lit(0)),
-                               lambda t: ~t.isin(*MARKS)), lambda t: F.lower(t))
-    known = benchmark.select("item_id", "text").filter(F.col("text").isNotNull()).distinct()
-    items = stored(_held(known, "_raw", raw).filter(F.size("_raw") > 0).select(
-        _item(), "item_id", "_raw"), "quote-items")
-    short = F.size("_raw") < window
-    lengths = [r[0] for r in items.filter(short).select(F.size("_raw")).distinct().collect()]  # under ``window`` numbers
-    hashes = F.when(short, F.array(F.xxhash64("_raw"))).otherwise(_grams(window))
-    wanted = stored(items.select("item", F.explode(F.array_distinct(hashes)).alias("hash")).distinct(), "quote-windows")
-    sizes = wanted.groupBy("item").agg(F.count(F.lit(1)).alias("m"))
-
-    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).withColumn("text_hash", _text_hash())
-    windows = _held(texts, "_raw", raw).select(
-        "doc_id", "text_hash", F.explode(F.concat(*map(_grams, [window, *lengths]))).alias("hash"))
-    hits = stored(windows.join(broadcast_up_to(wanted, broadcast_rows), "hash").groupBy("doc_id", "text_hash", "item").agg(
-        F.size(F.collect_set("hash")).alias("n"), F.count(F.lit(1)).alias("rows")).join(sizes, "item"), "quote-hits")
-    covered = F.col("n") >= F.col("m") * min_cover
+    bench = Benchmark(benchmark, window)
+    return _quotes(docs, bench, _hits(docs, bench, broadcast_rows), min_cover, run, broadcast_rows)
+
+
+def _quotes(docs: DataFrame, bench: Benchmark, hits: DataFrame, min_cover: float, run: int, broadcast_rows: int) -> DataFrame:
+    hits = hits.filter("raw")
+    covered = F.col("n") >= F.col("item_windows") * min_cover
 
     # a run of tokens lies in as many windows as it is longer than one
-    maybe = hits.filter(~covered & (F.col("rows") > run - window))
+    maybe = hits.filter(~covered & (F.col("rows") > run - bench.window))
     some = broadcast_up_to(stored(maybe.select("text_hash").distinct(), "quote-texts"), broadcast_rows)
-    again = texts.join(some, "text_hash", "left_semi").dropDuplicates(["text_hash"])
-    doc_runs = _held(again, "_raw", raw).select("text_hash", _grams(run).alias("doc_runs"))
-    item_runs = items.select("item", _grams(run).alias("item_runs"))
+    again = _texts(docs).join(some, "text_hash", "left_semi").dropDuplicates(["text_hash"])
+    doc_runs = _raw(_tokens(again)).select("text_hash", _grams(run).alias("doc_runs"))
+    item_runs = bench.items.select("item", _grams(run).alias("item_runs"))
     quoted = maybe.join(doc_runs, "text_hash").join(item_runs, "item").filter(F.arrays_overlap("doc_runs", "item_runs"))
     found = hits.filter(covered).select("doc_id", "text_hash", "item").union(quoted.select("doc_id", "text_hash", "item"))
-    return found.join(items.select("item", "item_id"), "item").select("doc_id", "text_hash", "item", "item_id").distinct()
+    return found.join(bench.items.select("item", "item_id"), "item").select(
+        "doc_id", "text_hash", "item", "item_id").distinct()
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_cover: float = 0.4, run: int = 13,
+               broadcast_rows: int = 1_000_000) -> DataFrame:
     """(doc_id, text_hash, item_id, n_windows, item_windows, coverage, verbatim, quoted): every document that holds or
     quotes a benchmark item.  The first figures are those of the templates (0 where only the quote was found);
     ``text_hash`` tells rows of one doc_id apart."""
     none = F.lit(0).cast("long")
-    templates = find_templates(docs, benchmark, **how).withColumn("quoted", F.lit(False))
-    quotes = find_quotes(docs, benchmark, **how).select(
+    bench = Benchmark(benchmark, window)
+    hits = _hits(docs, bench, broadcast_rows)
+    templates = _templates(docs, bench, hits, min_cover, run, broadcast_rows).withColumn("quoted", F.lit(False))
+    quotes = _quotes(docs, bench, hits, min_cover, run, broadcast_rows).select(
         "doc_id", "text_hash", "item", "item_id", none.alias("n_windows"), none.alias("item_windows"),
         F.lit(False).alias("verbatim"), F.lit(True).alias("quoted"))
     both = templates.unionByName(quotes).groupBy("doc_id", "text_hash", "item", "item_id").agg(
