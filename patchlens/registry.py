@@ -25,8 +25,10 @@ def _in_utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from patchlens import queries, queries_bulletins, queries_hosts, queries_io, queries_loads, queries_xml
+    from patchlens import (queries, queries_bulletins, queries_catalog, queries_hosts, queries_io, queries_loads,
+                           queries_xml)
     out = {**queries.QUERIES, **queries_hosts.QUERIES, **queries_bulletins.QUERIES, **queries_loads.QUERIES}
+    out.update(queries_catalog.QUERIES)
     out.update(queries_xml.QUERIES)
     out.update(queries_io.QUERIES)
     return {k: _in_utc(v) for k, v in out.items()}
@@ -34,5 +36,5 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def all_oracles() -> dict[str, str]:
     from patchlens.oracles import ORACLES
-    from patchlens import queries_bulletins, queries_hosts, queries_loads
-    return {**ORACLES, **queries_hosts.SQL, **queries_bulletins.SQL, **queries_loads.SQL}
+    from patchlens import queries_bulletins, queries_catalog, queries_hosts, queries_loads
+    return {**ORACLES, **queries_hosts.SQL, **queries_bulletins.SQL, **queries_loads.SQL, **queries_catalog.SQL}
