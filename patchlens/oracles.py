@@ -327,6 +327,7 @@ SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%b') AS doc_xml_date FRO
 ORACLES["stream_star_mart"] = ORACLES["mart_wide_star"]
 ORACLES["stream_catalog"] = ORACLES["mart_catalog_top_build"]
 ORACLES["stream_latest"] = ORACLES["latest_per_key"]
+ORACLES["stream_key_parts"] = ORACLES["latest_per_key"]
 
 ORACLES["xml_cve_mart"] = f"""
 WITH {_LINES},

@@ -21,7 +21,7 @@ from patchlens.session import checkpoint_dir
 from patchlens.sources import json_layouts
 from patchlens.sources.warehouse import (overwrite_partitions, rename_by_position,
                                          with_load_defaults)
-from patchlens.streaming import incremental
+from patchlens.streaming import incremental, key_parts
 from patchlens.tables import table
 
 
@@ -112,6 +112,23 @@ def stream_latest(spark: SparkSession, d: str) -> DataFrame:
     return incremental.read_latest(spark, out, keys, order).select("user_id", "event_type", "event_id", "value")
 
 
+def stream_key_parts(spark: SparkSession, d: str) -> DataFrame:
+    """The keep-latest table in key-range parts: all events in four batches by time, compacted after each but the last."""
+    ev = table(spark, d, "events").select("user_id", "event_type", "ts", "event_id", "value")
+    out = scratch(spark, "stream-parts")
+    keys, order = ["user_id", "event_type"], ["ts", "event_id"]
+    log = incremental.latest_log_batch(out, keys, order, ev.columns)
+    ev.repartitionByRange(4, "ts").write.parquet(out + "-landing")
+
+    def body(batch: DataFrame, epoch: int) -> None:
+        if epoch:
+            key_parts.compact_parts(spark, out, keys, order, rows_per_part=10_000)
+        log(batch, epoch)
+
+    incremental.run_available_now(incremental.file_stream(spark, out + "-landing", ev.schema, max_files=1), body, out + "-ckpt")
+    return key_parts.read_parts(spark, out, keys, order).select("user_id", "event_type", "event_id", "value")
+
+
 QUERIES = {
     "json_columns_to_rows": json_columns_to_rows,
     "json_records_roundtrip": json_records_roundtrip,
@@ -120,4 +137,5 @@ QUERIES = {
     "stream_star_mart": stream_star_mart,
     "stream_catalog": stream_catalog,
     "stream_latest": stream_latest,
+    "stream_key_parts": stream_key_parts,
 }
