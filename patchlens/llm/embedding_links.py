@@ -6,12 +6,13 @@ one class.  The classes of a label are dealt over shards of about
 queried with its own vectors and those of every later shard of its label, so
 each pair of shards meets once; one task holds two shards at a time.
 
-Before a pair is searched, the search is audited: queries are scanned by brute
-force until ``audit`` of them have a link (other than with themselves), the links
-found for these are held against the scan, and beam and slack are doubled until the
-recall reaches ``min_recall``; a beam as wide as the shard is an exact scan.  A pair
-with fewer such queries has been scanned whole then, and its links are those of the scan.  Found pairs are verified in
-double precision.  A pair of shards gives back a link count per class and a star
+Before a pair is searched, the search is audited on two sets of queries, ``audit``
+of the pair's own, spread evenly, and ``4 * audit`` probes: vectors of the shard moved
+to the cosine of the threshold in a random direction.  Near pairs may be so rare that no query of
+the first set has one; each probe has a link for certain, at the greatest distance a link may have.  Both sets are
+scanned by brute force, and beam and slack are doubled until a query's mean recall
+reaches ``min_recall`` in both; only a beam as wide as the shard, after audits that failed, is
+an exact scan.  Found pairs are verified in double precision.  A pair of shards gives back a link count per class and a star
 of every linked group, not the links themselves; components unites the stars.
 
 Defined cases: null, zero and empty vectors, vectors with null or non-finite
@@ -50,6 +51,35 @@ def _scan(x: np.ndarray, q: np.ndarray, threshold: float) -> tuple[np.ndarray, n
     return np.nonzero(q @ x.T >= threshold)
 
 
+def _probes(x: np.ndarray, threshold: float, n: int) -> np.ndarray:
+    """Vectors of ``x``, spread evenly, each moved at random to just within the threshold of where it was."""
+    at = np.unique(np.linspace(0, len(x) - 1, min(n, len(x))).astype(int))
+    aside = np.random.default_rng(11).normal(size=(len(at), x.shape[1]))
+    aside -= np.einsum("pd,pd->p", aside, x[at])[:, None] * x[at]
+    length = np.linalg.norm(aside, axis=1, keepdims=True)
+    cos = min(1.0, threshold + 1e-6)
+    moved = cos * x[at] + np.sqrt(1 - cos * cos) * aside / np.maximum(length, 1e-9)
+    return np.where(length > 1e-9, moved, x[at])  # one dimension has no other direction
+
+
+def _scan_audit(x: np.ndarray, queries: np.ndarray, near: float, self_: np.ndarray) -> np.ndarray:
+    """The links (query * len(x) + row) of an audit's queries, but those of a vector with itself."""
+    r, c = _scan(x, queries, near)
+    other = c != self_[r]
+    return r[other] * np.int64(len(x)) + c[other]
+
+
+def _recall(index: Hnsw, queries: np.ndarray, near: float, beam: int, slack: float, true: np.ndarray) -> float:
+    """The mean share of its links that a query with links finds; 1 if there is none."""
+    n, got = np.int64(len(index.x)), [np.empty(0, np.int64)]
+    for at in range(0, len(queries), BLOCK):
+        r, c = index.within(queries[at:at + BLOCK].astype(np.float32), near, beam, slack)
+        got.append((r + at) * n + c)
+    hit = np.isin(true, np.concatenate(got))
+    all_, found = (np.bincount(true[k] // n, minlength=len(queries)) for k in (slice(None), hit))
+    return float((found[all_ > 0] / all_[all_ > 0]).mean()) if len(true) else 1.0
+
+
 class Union:
     def __init__(self, n: int):
         self.parent = np.arange(n)
@@ -81,33 +111,14 @@ def link_shards(index: Hnsw, x: np.ndarray, q: np.ndarray, same: bool, threshold
         return r[cos >= threshold], c[cos >= threshold]
 
     q32 = q.astype(np.float32)
-    stride = -(-len(q) // audit)
-    order = np.concatenate([np.arange(k, len(q), stride) for k in range(stride)])  # every part is spread evenly
-    true, linked = [], 0
-    for at in range(0, len(order), audit):
-        part = order[at:at + audit]
-        r, c = _scan(x, q[part], near)
-        r, c = verified(part[r], c)
-        if same:  # a vector finds itself in any search
-            r, c = r[r != c], c[r != c]
-        true.append((r, c))
-        linked += len(np.unique(r))
-        if linked >= audit:
-            break
-    r, c = (np.concatenate(v) for v in zip(*true))
-    if linked < audit:  # every query has been scanned, so these are all links
-        yield (r[r < c], c[r < c]) if same else (r, c)
-        return
-    sample, wanted = np.unique(r), r * np.int64(len(x)) + c
+    sample = np.unique(np.linspace(0, len(q) - 1, min(audit, len(q))).astype(int))
+    own = sample if same else np.full(len(sample), -1)  # a vector finds itself in any search
+    moved = _probes(x, threshold, 4 * audit)
+    sets = [(q[sample], own), (moved, np.full(len(moved), -1))]
+    wanted = [_scan_audit(x, queries, near, self_) for queries, self_ in sets]
     beam, slack = 16, 0.05
-    while beam < len(x):
-        found = 0
-        for at in range(0, len(sample), BLOCK):
-            some = sample[at:at + BLOCK]
-            r, c = index.within(q32[some], near, beam, slack)
-            found += np.isin(wanted, some[r] * np.int64(len(x)) + c).sum()
-        if found >= min_recall * len(wanted):
-            break
+    while beam < len(x) and not all(_recall(index, queries, near, beam, slack, true) >= min_recall
+                                    for (queries, _), true in zip(sets, wanted)):
         beam, slack = 2 * beam, 2 * slack
     for at in range(0, len(q), BLOCK):
         if beam < len(x):

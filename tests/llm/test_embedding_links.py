@@ -95,6 +95,34 @@ def test_sparse_links_are_not_left_to_an_unaudited_search(same, pairs):
         assert sorted((int(a), int(b)) for r, c in blocks for a, b in zip(r, c)) == sorted(true)
 
 
+@pytest.mark.parametrize("same", [True, False])
+def test_sparse_links_come_from_the_graph(same, monkeypatch):
+    """Fifty links among 3,000 vectors: the graph is searched for every query and finds them."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 64))
+    q = x if same else rng.normal(size=(3000, 64))
+    for k in range(50):
+        q[7 * k + 1] = x[2999 - k] + 0.03 * rng.normal(size=64)
+    x, q = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in (x, q))
+    true = {(a, b) for a, b in zip(*map(np.ndarray.tolist, np.nonzero(q @ x.T >= 0.93))) if a < b or not same}
+    searched, scanned = [], []
+    within, scan = Hnsw.within, el._scan
+    monkeypatch.setattr(Hnsw, "within", lambda g, v, *a: searched.append(len(v)) or within(g, v, *a))
+    monkeypatch.setattr(el, "_scan", lambda a, v, t: scanned.append(len(v)) or scan(a, v, t))
+    blocks = list(el.link_shards(Hnsw(x.astype(np.float32)), x, q, same, 0.93, 128, 0.98))
+    found = {(int(a), int(b)) for r, c in blocks for a, b in zip(r, c)}
+    assert found <= true and len(found) >= 0.98 * len(true) and len(true) >= 50
+    assert sum(searched) >= len(q) and sum(scanned) <= 128 + 512
+
+
+def test_probes_lie_at_the_threshold():
+    x = np.random.default_rng(1).normal(size=(700, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    moved = el._probes(x, 0.93, 512)
+    assert np.allclose(np.linalg.norm(moved, axis=1), 1) and np.allclose((moved @ x.T >= 0.93).sum(axis=1).min(), 1)
+    assert (el._probes(np.ones((3, 1)), 0.93, 512) == 1).all()
+
+
 def test_empty(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert el.near_vectors(frame).collect() == []
@@ -103,6 +131,14 @@ def test_empty(spark):
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in table(spark, sf, "embeddings").select("vec_id", "embedding", "label").collect()]
+    # the table has no link: a near copy of every fifth vector gives it some
+    rng = np.random.default_rng(2)
+    rows += [(10_000_000 + v, [float(np.float32(c + 0.02 * d)) for c, d in zip(e, rng.normal(size=len(e)))], lab)
+             for v, e, lab in rows if v % 5 == 0]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got, want = sorted(map(tuple, el.near_vectors(frame).collect()), key=repr), plain(rows)
+    assert sum(r[1] for r in want) > 0 and sum(r[1] for r in got) >= 0.98 * sum(r[1] for r in want)
+    rows = [tuple(r) for r in table(spark, sf, "embeddings").select("vec_id", "embedding", "label").collect()]
     got = sorted(map(tuple, el.op9_hnsw_embeddings(spark, sf).collect()), key=repr)
     want = plain(rows)
     assert sum(r[1] for r in got) >= 0.98 * sum(r[1] for r in want)
