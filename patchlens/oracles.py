@@ -327,6 +327,12 @@ SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%b') AS doc_xml_date FRO
 ORACLES["stream_star_mart"] = ORACLES["mart_wide_star"]
 ORACLES["stream_catalog"] = ORACLES["mart_catalog_top_build"]
 ORACLES["stream_latest"] = ORACLES["latest_per_key"]
+ORACLES["distinct_sets_by_month"] = """
+SELECT l_partkey || '/' || CAST(l_quantity AS INTEGER) AS value, count(DISTINCT strftime(o_orderdate, '%Y-%b')) AS months
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+WHERE NOT (year(o_orderdate) = 1995 AND l_returnflag = 'N')
+GROUP BY ALL
+"""
 ORACLES["stream_key_parts"] = ORACLES["latest_per_key"]
 
 ORACLES["xml_cve_mart"] = f"""

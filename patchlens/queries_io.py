@@ -21,7 +21,7 @@ from patchlens.session import checkpoint_dir
 from patchlens.sources import json_layouts
 from patchlens.sources.warehouse import (overwrite_partitions, rename_by_position,
                                          with_load_defaults)
-from patchlens.streaming import incremental, key_parts
+from patchlens.streaming import distinct_sets, incremental, key_parts
 from patchlens.tables import table
 
 
@@ -112,6 +112,23 @@ def stream_latest(spark: SparkSession, d: str) -> DataFrame:
     return incremental.read_latest(spark, out, keys, order).select("user_id", "event_type", "event_id", "value")
 
 
+def distinct_sets_by_month(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct (part, quantity) values over all order months and how many months hold each, after three updates: the months
+    before 1997, those of 1995 again without flag N, and the rest; the first two are folded into a snapshot."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    lines = table(spark, d, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        month_label("o_orderdate").alias("m"), F.year("o_orderdate").alias("y"), "l_returnflag",
+        F.concat_ws("/", F.col("l_partkey").cast("string"), F.col("l_quantity").cast("int").cast("string")).alias("v"))
+    out = scratch(spark, "distinct-sets")
+    distinct_sets.update(spark, out, lines.where("y < 1997"), "m", "v", 0)
+    again = lines.where("y = 1995")
+    months = [r[0] for r in again.select("m").distinct().collect()]
+    distinct_sets.update(spark, out, again.where("l_returnflag <> 'N'"), "m", "v", 1, months)
+    distinct_sets.compact(spark, out)
+    distinct_sets.update(spark, out, lines.where("y >= 1997"), "m", "v", 2)
+    return distinct_sets.months_by_value(spark, out)
+
+
 def stream_key_parts(spark: SparkSession, d: str) -> DataFrame:
     """The keep-latest table in key-range parts: all events in four batches by time, compacted after each but the last."""
     ev = table(spark, d, "events").select("user_id", "event_type", "ts", "event_id", "value")
@@ -138,4 +155,5 @@ QUERIES = {
     "stream_catalog": stream_catalog,
     "stream_latest": stream_latest,
     "stream_key_parts": stream_key_parts,
+    "distinct_sets_by_month": distinct_sets_by_month,
 }
