@@ -17,6 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from patchlens import schemas
 from patchlens.functions.strings import digits_or_empty
@@ -34,6 +35,22 @@ def first(c) -> Column:
     return F.get(c, 0)
 
 
+#: the parts of a vulnerability that each table of its children is made from
+CHILDREN = {
+    "vulnerability": ["Title", "CVE", "CWE"], "vulnerability_status": ["ProductStatuses"], "vulnerability_notes": ["Notes"],
+    "vulnerability_threats": ["Threats"], "vulnerability_score_set": ["CVSSScoreSets"],
+    "vulnerability_revision": ["RevisionHistory"], "vulnerability_remediation": ["Remediations"],
+    "vulnerability_acknowledgment": ["Acknowledgments"],
+}
+
+
+def schema_for(*tables: str) -> T.StructType:
+    """The document schema cut to what ``tables`` are made from: a parser walks the whole text either way, but
+    builds values only for what the schema names."""
+    paths = ["_Ordinal", *[c for name in tables for c in CHILDREN[name]]]
+    return schemas.selected(schemas.DOCUMENT, [*[f"Vulnerability.{c}" for c in paths], schemas.CORRUPT])
+
+
 def vulnerabilities(docs: DataFrame) -> DataFrame:
     """(doc_xml_date, id, v): one row per vulnerability with an Ordinal."""
     kept = F.filter("Vulnerability", lambda v: v["_Ordinal"].isNotNull())

@@ -101,30 +101,32 @@ def line_documents(spark: SparkSession, d: str) -> DataFrame:
     return j.select(key.alias("doc_key"), _render(doc).alias("xml"))
 
 
-def _parsed_lines(spark, d):
-    return parse_bulletin_text(line_documents(spark, d), "xml", "doc_key")
+def _parsed_lines(spark, d, *tables: str):
+    """The line documents, parsed for ``tables`` (none named: whole)."""
+    schema = shred.schema_for(*tables) if tables else schemas.DOCUMENT
+    return parse_bulletin_text(line_documents(spark, d), "xml", "doc_key", schema)
 
 
 def xml_roundtrip_lines(spark: SparkSession, d: str) -> DataFrame:
-    return shred.vulnerability(shred.vulnerabilities(_parsed_lines(spark, d)))
+    return shred.vulnerability(shred.vulnerabilities(_parsed_lines(spark, d, "vulnerability")))
 
 
 def xml_position_key(spark: SparkSession, d: str) -> DataFrame:
-    return shred.vulnerability_status(shred.vulnerabilities(_parsed_lines(spark, d)))
+    return shred.vulnerability_status(shred.vulnerabilities(_parsed_lines(spark, d, "vulnerability_status")))
 
 
 def xml_first_child(spark: SparkSession, d: str) -> DataFrame:
     """Score sets: text children and the first ProductID of each."""
-    return shred.vulnerability_score_set(shred.vulnerabilities(_parsed_lines(spark, d)))
+    return shred.vulnerability_score_set(shred.vulnerabilities(_parsed_lines(spark, d, "vulnerability_score_set")))
 
 
 def xml_threats(spark: SparkSession, d: str) -> DataFrame:
     """Threats: type attribute, Description child, first ProductID."""
-    return shred.vulnerability_threats(shred.vulnerabilities(_parsed_lines(spark, d)))
+    return shred.vulnerability_threats(shred.vulnerabilities(_parsed_lines(spark, d, "vulnerability_threats")))
 
 
 def xml_all_children(spark: SparkSession, d: str) -> DataFrame:
-    rem = shred.vulnerability_remediation(shred.vulnerabilities(_parsed_lines(spark, d)))
+    rem = shred.vulnerability_remediation(shred.vulnerabilities(_parsed_lines(spark, d, "vulnerability_remediation")))
     return rem.select("vulnerability_fk", "doc_xml_date", "kb", "remediation_type", "url",
                       F.array_join("product_id", ",").alias("product_id"), "subtype", "fixed_build")
 

@@ -66,6 +66,17 @@ NAMESPACE_ATTRS = ["_vuln", "_dc", "_cvrf-common", "_prod", "_scap-core", "_cvss
 CORRUPT = "_corrupt_record"
 
 
+def selected(t: T.DataType, paths: list[str]) -> T.DataType:
+    """The parts of ``t`` that dotted ``paths`` name, each whole below its end, in the order of ``t`` (lists are passed through)."""
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(selected(t.elementType, paths), t.containsNull)
+    if unknown := {p.partition(".")[0] for p in paths} - set(t.fieldNames()):
+        raise KeyError(unknown)
+    below = {f.name: [p.partition(".")[2] for p in paths if p.partition(".")[0] == f.name] for f in t.fields}
+    return T.StructType([T.StructField(f.name, f.dataType if "" in below[f.name] else selected(f.dataType, below[f.name]),
+                                       f.nullable) for f in t.fields if below[f.name]])
+
+
 def document_type(depth: int = BRANCH_DEPTH) -> T.StructType:
     """The document schema with ``depth`` levels of product branches."""
     return T.StructType(
