@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from patchlens import schemas
 from patchlens.functions.dates import TS_FORMAT, month_label
+from patchlens.operators.ranges import materialised
 from patchlens.plans import bulletin_warehouse as bw
 from patchlens.queries import AS_OF
 from patchlens.queries_io import scratch
@@ -39,13 +40,26 @@ def _listed(parent: str, child: str, column: Column) -> Column:
     return F.struct(column.alias(child)).cast(schemas.VULNERABILITY[parent].dataType)
 
 
-def month_documents(spark: SparkSession, d: str, second: bool) -> DataFrame:
-    """(label, xml): one document per month, of the second delivery's months only if ``second``."""
+#: what documents say of the lines of a month, priority, status and flag; each can be taken again over several such groups
+FACTS = {"part_lo": ("min", "l_partkey"), "part_hi": ("max", "l_partkey"), "supp_lo": ("min", "l_suppkey"),
+         "disc_hi": ("max", "l_discount"), "tax_hi": ("max", "l_tax"), "qty_hi": ("max", "l_quantity"),
+         "ship_lo": ("min", "l_shipdate"), "ship_hi": ("max", "l_shipdate"), "placed_lo": ("min", "o_orderdate"),
+         "placed_hi": ("max", "o_orderdate")}
+
+
+def month_facts(spark: SparkSession, d: str) -> DataFrame:
+    """The lines of every month, priority, line status and return flag in one row (a few dozen a month): the lines meet
+    their orders once, and whatever documents are made of them reads these rows."""
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
     lines = (table(spark, d, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
              .withColumn("label", month_label("o_orderdate")))
-    if second:
-        lines = lines.where(F.year("o_orderdate") == int(AGAIN))
+    return materialised(lines.groupBy("label", "o_orderpriority", "l_linestatus", "l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), *[getattr(F, how)(c).alias(name) for name, (how, c) in FACTS.items()]), "month-facts")
+
+
+def month_documents(facts: DataFrame, second: bool) -> DataFrame:
+    """(label, xml): one document per month of :func:`month_facts`, of the second delivery's months only if ``second``."""
+    lines = facts.where(F.year("placed_lo") == int(AGAIN)) if second else facts
     key = ["label", "o_orderpriority"]
 
     def children(extra: list[str], name: str, value: Column, *aggregates: Column) -> DataFrame:
@@ -54,22 +68,22 @@ def month_documents(spark: SparkSession, d: str, second: bool) -> DataFrame:
 
     status = children(["l_linestatus"], "statuses", _typed(
         _child("ProductStatuses", "Status"), _Type=F.col("l_linestatus"), ProductID=F.array(_s("lo"), _s("hi"))),
-        F.min("l_partkey").alias("lo"), F.max("l_partkey").alias("hi"))
+        F.min("part_lo").alias("lo"), F.max("part_hi").alias("hi"))
     scores = children(["l_returnflag"], "scores", _typed(
         _child("CVSSScoreSets", "ScoreSet"), BaseScore=F.format_string("%.2f", "disc"),
         TemporalScore=F.format_string("%.2f", "tax"), Vector=F.col("l_returnflag"), ProductID=F.array(_s("supp"))),
-        F.max("l_discount").alias("disc"), F.max("l_tax").alias("tax"), F.min("l_suppkey").alias("supp"))
+        F.max("disc_hi").alias("disc"), F.max("tax_hi").alias("tax"), F.min("supp_lo").alias("supp"))
     fix_type = _child("Remediations", "Remediation")
     fixed = children(["l_returnflag"], "fixes", _typed(
         fix_type, _Type=F.lit("Vendor Fix"), Description=_s("supp"), SubType=F.col("l_returnflag"),
         ProductID=F.array(_s("part"), F.concat(F.lit("x"), _s("part"))),
         FixedBuild=F.concat(F.lit("10.0."), _s(F.col("qty").cast("int")))),
-        F.min("l_suppkey").alias("supp"), F.min("l_partkey").alias("part"), F.max("l_quantity").alias("qty"))
-    facts = lines.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("n"), F.date_format(F.min("l_shipdate"), ISO_TS).alias("first_ship"),
-        F.date_format(F.max("l_shipdate"), ISO_TS).alias("last_ship"), F.min("o_orderdate").alias("placed"),
-        F.max("o_orderdate").alias("last_placed"))
-    g = facts.join(status, key).join(scores, key).join(fixed, key)
+        F.min("supp_lo").alias("supp"), F.min("part_lo").alias("part"), F.max("qty_hi").alias("qty"))
+    whole = lines.groupBy(*key).agg(
+        F.sum("n").alias("n"), F.date_format(F.min("ship_lo"), ISO_TS).alias("first_ship"),
+        F.date_format(F.max("ship_hi"), ISO_TS).alias("last_ship"), F.min("placed_lo").alias("placed"),
+        F.max("placed_hi").alias("last_placed"))
+    g = whole.join(status, key).join(scores, key).join(fixed, key)
     keep = F.filter("fixes", lambda x: F.get(x["SubType"], 0) != "N") if second else F.col("fixes")
     workaround = _typed(fix_type, _Type=F.lit("Workaround"), Description=F.lit("Apply the update"))
     urgent = F.col("o_orderpriority") == "1-URGENT"
@@ -116,16 +130,17 @@ def month_documents(spark: SparkSession, d: str, second: bool) -> DataFrame:
     return whole.select("label", _render(doc).alias("xml"))
 
 
-def deliver(spark: SparkSession, d: str, folder: str, second: bool) -> None:
+def deliver(facts: DataFrame, folder: str, second: bool) -> None:
     """Write the documents of a delivery, one file per month in a folder named after it."""
-    month_documents(spark, d, second).write.partitionBy("label").text(folder)
+    month_documents(facts, second).write.partitionBy("label").text(folder)
 
 
 def _twice(spark: SparkSession, d: str) -> str:
     """The warehouse after both deliveries came by stream."""
     base = scratch(spark, "bulletins")
+    facts = month_facts(spark, d)
     for number, second in enumerate((False, True)):
-        deliver(spark, d, f"{base}/landing/delivery-{number}", second)
+        deliver(facts, f"{base}/landing/delivery-{number}", second)
         incremental.load_bulletin_stream(spark, f"{base}/landing", f"{base}/wh", f"{base}/ckpt", AS_OF)
     return f"{base}/wh"
 
@@ -151,22 +166,23 @@ def bulletin_catalog_chain(spark: SparkSession, d: str) -> DataFrame:
 def bulletin_backfill(spark: SparkSession, d: str) -> DataFrame:
     """The load that each month comes from, after a backfill, a redelivery and a second backfill."""
     base = scratch(spark, "bulletins")
+    facts = month_facts(spark, d)
     for number, second in enumerate((False, True)):
-        deliver(spark, d, f"{base}/landing/delivery-{number}", second)
+        deliver(facts, f"{base}/landing/delivery-{number}", second)
         bw.backfill(spark, f"{base}/landing", f"{base}/wh", 1990, 2010, AS_OF)
     return bw.current_loads(spark, f"{base}/wh").select("doc_xml_date", "load_id")
 
 
 def bulletin_rejects(spark: SparkSession, d: str) -> DataFrame:
     """What a load of sound, malformed, unlabelled and outdated documents left out, with the reason."""
-    base = scratch(spark, "bulletins")
-    deliver(spark, d, f"{base}/landing/delivery-0", False)
+    base, facts = scratch(spark, "bulletins"), month_facts(spark, d)
+    deliver(facts, f"{base}/landing/delivery-0", False)
     years = table(spark, d, "orders").select(F.year("o_orderdate").alias("y")).distinct()
     years.select(F.concat("y", F.lit("-Abc")).alias("label"), F.lit("<cvrfdoc><DocumentTitle>open").alias("xml")
                  ).write.partitionBy("label").text(f"{base}/landing/broken")
     years.select(F.concat(F.lit("year"), "y").alias("label"), F.lit("<cvrfdoc><DocumentTitle>x</DocumentTitle></cvrfdoc>")
                  .alias("xml")).write.partitionBy("label").text(f"{base}/landing/nameless")
-    deliver(spark, d, f"{base}/landing/delivery-1", True)
+    deliver(facts, f"{base}/landing/delivery-1", True)
     bw.load_documents(spark, read_bulletins(spark, f"{base}/landing"), f"{base}/wh", AS_OF)
     return bw.rejects(spark, f"{base}/wh").groupBy("doc_xml_date", "reason").agg(F.sum("n").alias("n"))
 

@@ -12,7 +12,7 @@ from patchlens.functions.dates import month_label
 from patchlens.plans import bulletin_warehouse as bw
 from patchlens.plans import element_walk
 from patchlens.queries import AS_OF
-from patchlens.queries_bulletins import AGAIN, BARE, deliver
+from patchlens.queries_bulletins import AGAIN, BARE, deliver, month_facts
 from patchlens.queries_io import scratch
 from patchlens.queries_xml import _s
 from patchlens.sources.xml_bulletins import read_bulletins
@@ -64,8 +64,9 @@ def bulletin_loads_at_once(spark: SparkSession, d: str) -> DataFrame:
     """The documents readers see after both deliveries were loaded at the same time: the newer of each month,
     whichever load committed first."""
     base = scratch(spark, "bulletins")
+    facts = month_facts(spark, d)
     for number, second in enumerate((False, True)):
-        deliver(spark, d, f"{base}/landing/delivery-{number}", second)
+        deliver(facts, f"{base}/landing/delivery-{number}", second)
     with ThreadPoolExecutor(2) as pool:
         list(pool.map(lambda n: bw.load_documents(spark, read_bulletins(spark, f"{base}/landing/delivery-{n}"), f"{base}/wh",
                                                   AS_OF), range(2)))
@@ -75,7 +76,7 @@ def bulletin_loads_at_once(spark: SparkSession, d: str) -> DataFrame:
 def bulletin_quality(spark: SparkSession, d: str) -> DataFrame:
     """How many rows of a load had missing or odd parts, by reason."""
     base = scratch(spark, "bulletins")
-    deliver(spark, d, f"{base}/landing", False)
+    deliver(month_facts(spark, d), f"{base}/landing", False)
     bw.load_documents(spark, read_bulletins(spark, f"{base}/landing"), f"{base}/wh", AS_OF)
     return bw.quality(spark, f"{base}/wh").where("n > 0").select("reason", "n")
 

@@ -191,3 +191,15 @@ def test_rejected_text_is_kept_whole(spark, scratch):
     bw.load_documents(spark, read_bulletins(spark, os.path.join(scratch, "landing")), os.path.join(scratch, "file"), AS_OF)
     (row,) = bw.rejects(spark, os.path.join(scratch, "file")).collect()
     assert row["path"].endswith("2023-Nov.xml") and row["detail"] == text
+
+
+def test_documents_of_both_deliveries_come_from_one_pass_over_the_lines(spark):
+    from patchlens import queries_bulletins as qb
+    from support import SF_SMALL
+    facts = qb.month_facts(spark, SF_SMALL)
+    for second in (False, True):
+        docs = qb.month_documents(facts, second)
+        plan = docs._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_orderkey" not in plan and "Relation" in plan
+        labels = [r[0] for r in docs.select("label").collect()]
+        assert labels and (all(x.startswith(qb.AGAIN) for x in labels) if second else len(set(x[:4] for x in labels)) > 1)
