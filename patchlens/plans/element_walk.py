@@ -83,7 +83,8 @@ def elements(texts: DataFrame, keys: list[str], xml: str) -> DataFrame:
               .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "_s"))), lambda x: x["_s"]), "")
                    .alias("text")))
     on = [*keys, "start"]
-    return (opened.join(parents, on, "left").join(inside, on, "left")
+    # a size check sees the texts, not the elements they are cut into, and would send all of these to the driver
+    return (opened.join(parents.hint("shuffle_merge"), on, "left").join(inside.hint("shuffle_merge"), on, "left")
             .withColumn("text", F.trim(F.coalesce("text", F.lit("")), F.lit(" \t\r\n"))))
 
 
@@ -108,7 +109,7 @@ def walked_products(texts: DataFrame, label: str, xml: str) -> DataFrame:
     walked = elements(texts, [label], xml)
     branch = walked.select(label, F.col("start").alias("parent"), F.col("name").alias("_above"),
                            attribute("Type").alias("_type"), attribute("Name").alias("_name"))
-    named = walked.where(F.col("name") == "FullProductName").join(branch, [label, "parent"]).where(
+    named = walked.where(F.col("name") == "FullProductName").join(branch.hint("shuffle_merge"), [label, "parent"]).where(
         F.col("_above").isin("Branch", "ProductTree"))
 
     def of_branch(c: str) -> Column:

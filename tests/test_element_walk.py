@@ -100,3 +100,11 @@ def test_odd_texts(spark):
     assert sorted((r.k, r.name) for r in w.collect()) == [(3, "b"), (4, "a")]
     one = spark.createDataFrame([("&#65;&#x1F642;&amp;lt; &unknown;",)], "x string")
     assert one.select(ew.unescaped(F.col("x"))).first()[0] == "A🙂&lt; &unknown;"
+
+
+def test_elements_of_many_texts_are_not_broadcast(spark):
+    """Sizes are those of the texts, far below those of their elements: no join may rest on them."""
+    texts = spark.range(3).selectExpr("cast(id AS string) AS doc", "'<a><b>x</b></a>' AS xml")
+    for walked in (ew.elements(texts, ["doc"], "xml"), ew.walked_products(texts, "doc", "xml")):
+        plan = walked._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
