@@ -29,6 +29,8 @@ columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,7 @@ UNITS = ("mm", "cm", "m", "km", "mg", "g", "kg", "ml", "l", "s", "min", "h", "pe
          "feet", "inches", "meters", "metres", "kilometers", "grams", "kilograms", "liters", "litres", "seconds",
          "minutes", "hours", "days", "weeks", "months", "years")
 TOKEN = r"[\p{L}\p{N}]+([.,][0-9]+)*|[.!?\n]"
+WORD = TOKEN.removesuffix(r"|[.!?\n]").replace("(", "(?:")
 MARKS = (".", "!", "?", "\n")
 NUMBER, NAME, UNIT = "\u0001", "\u0002", "\u0003"
 
@@ -56,30 +59,48 @@ def _held(df: DataFrame, name: str, column: Column) -> DataFrame:
 def _typed(df: DataFrame) -> DataFrame:
     """``df`` (text) with ``_typed``: the words of the text, and marker + value for slots."""
     def kind(t: Column, i: Column) -> Column:
+        # lambdas are interpreted: the tests that settle most tokens stand first.  Digits and marks lie below the letters
         before = F.get(F.col("_tokens"), i - 1)
-        return (F.when(t.isin(*MARKS), F.lit(""))
-                .when(_is_number(t), F.concat(F.lit(NUMBER), t))
-                .when((i > 0) & _is_number(before) & F.lower(t).isin(*UNITS), F.concat(F.lit(UNIT), F.lower(t)))
-                .when((i > 0) & (t != F.lower(t)) & ~before.isin(*MARKS) & t.rlike(r"^\p{Lu}\p{Ll}+$"),
-                      F.concat(F.lit(NAME), t))
+        return (F.when(t < "A", F.when(_is_number(t), F.concat(F.lit(NUMBER), t)).otherwise(""))
+                .when((before < ":") & (before >= "0") & F.lower(t).isin(*UNITS), F.concat(F.lit(UNIT), F.lower(t)))
+                .when(((t < "a") | (t >= "{")) & (i > 0) & (t != F.lower(t)) & ~before.isin(*MARKS)
+                      & t.rlike(r"^\p{Lu}\p{Ll}+$"), F.concat(F.lit(NAME), t))
                 .otherwise(F.lower(t)))
 
     df = _held(df, "_tokens", F.regexp_extract_all(F.col("text"), F.lit(TOKEN), F.lit(0)))
-    return _held(df, "_typed", F.filter(F.transform("_tokens", kind), lambda t: t != "")).drop("_tokens")
+    return _held(df, "_typed", F.array_remove(F.transform("_tokens", kind), "")).drop("_tokens")
 
 
-def _windows(df: DataFrame, keys: list[str], window: int, least_plain: int = 0) -> DataFrame:
-    """(*keys, pos, hash) of the windows of ``_typed`` with ``least_plain`` plain words or more; pos counts from 1."""
-    canon = F.transform("_typed", lambda t: F.when(t < "\u0004", F.substring(t, 1, 1)).otherwise(t))
-    df = _held(df.filter(F.size("_typed") >= window).select(*keys, "_typed"), "_canon", canon)
+def _canon(t: Column) -> Column:
+    return F.when(t < "\u0004", F.substring(t, 1, 1)).otherwise(t)
+
+
+def _run_hashes(df: DataFrame, tokens: str, sizes: list[int], of: Callable[[Column], Column] = lambda t: t) -> DataFrame:
+    """``df`` with ``_runs_<n>`` for each of ``sizes``: the hashes of all runs of ``n`` tokens, in order (none: empty).
 
-    def one(i: Column) -> Column:
-        part = F.slice("_canon", i, window)
-        hashed = F.xxhash64(part)
-        return hashed if not least_plain else F.when(
-            F.size(F.filter(part, lambda t: t >= "\u0004")) >= least_plain, hashed)
+    A run's hash is made of those of two shorter runs that cover it, in steps of powers of two, so that a text
+    costs a hash of two numbers a token and step, whatever the length of the runs."""
+    def joined(hashes: str, by: int) -> Column:
+        return F.transform(hashes, lambda h, i: F.xxhash64(h, F.get(F.col(hashes), i + by)))
 
-    hashes = F.transform(F.sequence(F.lit(1), F.size("_canon") - window + 1), one)
+    df, step = _held(df, "_hash_1", F.transform(tokens, lambda t: F.xxhash64(of(t)))), 1
+    while 2 * step <= max(sizes):
+        df, step = _held(df, f"_hash_{2 * step}", joined(f"_hash_{step}", step)), 2 * step
+    for n in sizes:
+        part = 1 << (n.bit_length() - 1)
+        name = f"_hash_{part}"
+        hashes = F.col(name) if part == n else joined(name, n - part)
+        df = _held(df, f"_runs_{n}", F.slice(hashes, 1, F.greatest(F.size(tokens) - n + 1, F.lit(0))))
+    return df
+
+
+def _windows(df: DataFrame, keys: list[str], window: int, least_plain: int = 0) -> DataFrame:
+    """(*keys, pos, hash) of the windows of ``_typed`` with ``least_plain`` plain words or more; pos counts from 1."""
+    df = _run_hashes(df.filter(F.size("_typed") >= window).select(*keys, "_typed"), "_typed", [window], _canon)
+    hashes = F.col(f"_runs_{window}")
+    if least_plain:
+        hashes = F.transform(hashes, lambda h, i: F.when(F.size(F.filter(
+            F.slice("_typed", i + 1, window), lambda t: t >= "\u0004")) >= least_plain, h))
     return (df.select(*keys, F.posexplode(hashes).alias("pos", "hash")).filter(F.col("hash").isNotNull())
             .withColumn("pos", F.col("pos") + 1))
 
@@ -142,11 +163,13 @@ def find_templates(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, mi
                         "item_windows", "verbatim")
 
 
-def _grams(n: int) -> Column:
-    """Hashes of the runs of ``n`` of the tokens in ``_raw``."""
-    size = F.size("_raw")
-    return F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.xxhash64(
-        F.slice("_raw", i, n)))).otherwise(F.array().cast("array<bigint>"))
+def _raw() -> Column:
+    """The words of ``text`` as they stand, lower-cased.  Lower-casing the text or each word is the same but for the
+    letters whose lower case depends on their neighbours or is more than a letter, or that the pattern does not know."""
+    each = F.transform(F.filter(F.regexp_extract_all(F.col("text"), F.lit(TOKEN), F.lit(0)),
+                                lambda t: ~t.isin(*MARKS)), lambda t: F.lower(t))
+    odd = F.col("text").rlike(r"[\u0130\u03a3\p{Cn}]")
+    return F.when(odd, each).otherwise(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
 
 
 def find_quotes(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_cover: float = 0.4, run: int = 13,
@@ -154,20 +177,21 @@ def find_quotes(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_c
     """(doc_id, text_hash, item, item_id) of documents that hold the words of an item as they stand (case and marks
     aside): ``min_cover`` of its windows, whatever their slots, ``run`` of its tokens in a row, or the whole of an
     item shorter than a window."""
-    raw = F.transform(F.filter(F.regexp_extract_all(F.col("text"), F.lit(TOKEN), F.lit(0)),
-                               lambda t: ~t.isin(*MARKS)), lambda t: F.lower(t))
+    raw = _raw()
     known = benchmark.select("item_id", "text").filter(F.col("text").isNotNull()).distinct()
     items = stored(_held(known, "_raw", raw).filter(F.size("_raw") > 0).select(
         _item(), "item_id", "_raw"), "quote-items")
     short = F.size("_raw") < window
     lengths = [r[0] for r in items.filter(short).select(F.size("_raw")).distinct().collect()]  # under ``window`` numbers
-    hashes = F.when(short, F.array(F.xxhash64("_raw"))).otherwise(_grams(window))
-    wanted = stored(items.select("item", F.explode(F.array_distinct(hashes)).alias("hash")).distinct(), "quote-windows")
+    hashes = F.col(f"_runs_{window}")
+    for n in lengths:
+        hashes = F.when(F.size("_raw") == n, F.col(f"_runs_{n}")).otherwise(hashes)
+    wanted = stored(_run_hashes(items, "_raw", [window, *lengths]).select("item", F.explode(F.array_distinct(hashes)).alias("hash")).distinct(), "quote-windows")
     sizes = wanted.groupBy("item").agg(F.count(F.lit(1)).alias("m"))
 
     texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).withColumn("text_hash", _text_hash())
-    windows = _held(texts, "_raw", raw).select(
-        "doc_id", "text_hash", F.explode(F.concat(*map(_grams, [window, *lengths]))).alias("hash"))
+    windows = _run_hashes(_held(texts, "_raw", raw).select("doc_id", "text_hash", "_raw"), "_raw", [window, *lengths]).select(
+        "doc_id", "text_hash", F.explode(F.concat(*[f"_runs_{n}" for n in (window, *lengths)])).alias("hash"))
     hits = stored(windows.join(broadcast_up_to(wanted, broadcast_rows), "hash").groupBy("doc_id", "text_hash", "item").agg(
         F.size(F.collect_set("hash")).alias("n"), F.count(F.lit(1)).alias("rows")).join(sizes, "item"), "quote-hits")
     covered = F.col("n") >= F.col("m") * min_cover
@@ -176,8 +200,9 @@ def find_quotes(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_c
     maybe = hits.filter(~covered & (F.col("rows") > run - window))
     some = broadcast_up_to(stored(maybe.select("text_hash").distinct(), "quote-texts"), broadcast_rows)
     again = texts.join(some, "text_hash", "left_semi").dropDuplicates(["text_hash"])
-    doc_runs = _held(again, "_raw", raw).select("text_hash", _grams(run).alias("doc_runs"))
-    item_runs = items.select("item", _grams(run).alias("item_runs"))
+    doc_runs = _run_hashes(_held(again, "_raw", raw).select("text_hash", "_raw"), "_raw", [run]).select(
+        "text_hash", F.col(f"_runs_{run}").alias("doc_runs"))
+    item_runs = _run_hashes(items, "_raw", [run]).select("item", F.col(f"_runs_{run}").alias("item_runs"))
     quoted = maybe.join(doc_runs, "text_hash").join(item_runs, "item").filter(F.arrays_overlap("doc_runs", "item_runs"))
     found = hits.filter(covered).select("doc_id", "text_hash", "item").union(quoted.select("doc_id", "text_hash", "item"))
     return found.join(items.select("item", "item_id"), "item").select("doc_id", "text_hash", "item", "item_id").distinct()

@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from patchlens.llm import template_leaks as tl
@@ -117,3 +118,26 @@ def test_query(spark, sf):
     for t in ("documents", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     assert sorted(con.execute(tl.SQL).fetchall()) == got
+
+
+def test_run_hashes_tell_runs_apart(spark):
+    """One hash for each run of n tokens, equal where the tokens are; a step costs a hash of two numbers."""
+    words = "a b c a b c d a b a a a a a b c a b c d a b a a a".split()
+    sizes = list(range(1, 15))
+    df = spark.createDataFrame([(1, words), (2, words[:3]), (3, [])], "k int, t array<string>")
+    runs = tl._run_hashes(df, "t", sizes)
+    for row in runs.collect():
+        for n in sizes:
+            want = [tuple(row["t"][i:i + n]) for i in range(len(row["t"]) - n + 1)]
+            got = row[f"_runs_{n}"]
+            assert len(got) == len(want) and len(set(zip(got, want))) == len(set(got)) == len(set(want))
+    assert "slice(t#" not in runs._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_words_lower_cased_in_the_text_or_each(spark):
+    """Every character between letters, alone and at a word's end."""
+    chars = [chr(i) for i in range(1, 0x20000) if not 0xD800 <= i < 0xE000]
+    df = spark.createDataFrame([(f"Ax{c}Yz {c} B{c} C.{c}Q 1{c}2",) for c in chars], "text string")
+    each = F.transform(F.filter(F.regexp_extract_all(F.col("text"), F.lit(tl.TOKEN), F.lit(0)),
+                                lambda t: ~t.isin(*tl.MARKS)), lambda t: F.lower(t))
+    assert df.select("text", tl._raw().alias("a"), each.alias("b")).filter("a <> b OR a IS NULL").collect() == []
