@@ -48,76 +48,106 @@ def streams(lens: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, int]:
     return stream, place, longest
 
 
+def _order(a: np.ndarray, below: int) -> np.ndarray:
+    """Places of ``a`` (from 0, less than ``below``) in order, equal ones as they come; 16 bits are sorted by radix."""
+    return np.argsort(a.astype(np.int16) if below < 1 << 15 else a, kind="stable")
+
+
 def _log_share(a: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(log softmax at column ``at`` of each row, exponentials, their row sums); works in place of ``a``."""
-    a -= a.max(axis=1, keepdims=True)
-    picked = a[np.arange(len(a)), at]
+    top = a if len(a) > 64 else a.max(axis=1, keepdims=True)
+    while top.shape[1] > 1:  # by halves: a reduction along many short rows is slow
+        half = top.shape[1] // 2
+        rest = top[:, 2 * half:]
+        top = np.maximum(top[:, :half], top[:, half:2 * half])
+        if rest.size:
+            np.maximum(top[:, :1], rest, out=top[:, :1])
+    a -= top
+    picked = a.ravel()[np.arange(len(a)) * a.shape[1] + at]
     np.exp(a, out=a)
     total = a.sum(axis=1)
     return picked - np.log(total), a, total
 
 
-def _sigmoid(a: np.ndarray) -> np.ndarray:
+def _sigmoid_of_minus(a: np.ndarray) -> np.ndarray:
     """In place."""
-    np.negative(a, out=a)
     np.exp(a, out=a)
     a += 1
     return np.reciprocal(a, out=a)
 
 
+def _views(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Arrays in the shapes of ``like`` over ``flat``, end to end."""
+    ends = np.cumsum([v.size for v in like.values()])
+    return {k: part.reshape(like[k].shape) for k, part in zip(like, np.split(flat, ends[:-1]))}
+
+
 class ClassGru:
     def __init__(self, parameters: dict[str, np.ndarray]):
-        self.p = {k: v.copy() for k, v in parameters.items()}
+        self.all = np.concatenate([v.ravel() for v in parameters.values()])  # so that a step is made once for all
+        self.p = _views(self.all, parameters)
         self.size = self.p["word_w"].shape[2]
         self.hidden = self.p["u"].shape[0]
         self.other = self.p["word_w"].shape[0] * self.size  # as a target: a word of the last class
         self.steps = 0
-        self.moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.p.items()}
+        self.moments = np.zeros_like(self.all), np.zeros_like(self.all)
 
-    def window(self, x: np.ndarray, y: np.ndarray, h: np.ndarray, learn: float = 0.0):
-        """(log probability of each target, 0 where y < 0; state after the window)."""
+    def window(self, x: np.ndarray, y: np.ndarray, h: np.ndarray, learn: float = 0.0, lanes: np.ndarray | None = None,
+               all_lanes: int = 0):
+        """(log probability of each target, 0 where y < 0; state after the window).  ``lanes``: the places of these
+        streams among ``all_lanes``, the others have ended."""
         p, n_h = self.p, self.hidden
         steps, width = x.shape
         keep = (x != 0).astype(np.float32)[:, :, None]
+        resets = (x == 0).any(axis=1).tolist()
         emb = p["embed"][x]
-        xw = emb @ p["w"] + p["b"]
+        # the gates take minus their sum, the candidate -2 times its own: tanh(a) = 2 sigmoid(2 a) - 1
+        times = np.repeat(np.array([-1, -2], p["u"].dtype), [2 * n_h, n_h])
+        xw, u = emb @ p["w"] + p["b"], p["u"] * times
+        xw *= times
         state = np.empty((steps, width, n_h), np.float32)
         if learn:
             before, new, back = (np.empty_like(state) for _ in range(3))
             gates = np.empty((steps, width, 2 * n_h), np.float32)
+        xzr, xn = xw[:, :, :2 * n_h], xw[:, :, 2 * n_h:]
+        hu = np.empty((width, 3 * n_h), state.dtype)
+        hzr, hn, zr, n = hu[:, :2 * n_h], hu[:, 2 * n_h:], np.empty((width, 2 * n_h), state.dtype), np.empty_like(h)
+        z, r = zr[:, :n_h], zr[:, n_h:]
         with np.errstate(over="ignore"):
             for t in range(steps):
-                h = h * keep[t]
-                hu = h @ p["u"]
-                zr = _sigmoid(xw[t, :, :2 * n_h] + hu[:, :2 * n_h])
-                n = zr[:, n_h:] * hu[:, 2 * n_h:]
-                n += xw[t, :, 2 * n_h:]
-                n *= 2  # tanh(a) = 2 sigmoid(2 a) - 1
-                n = _sigmoid(n)
+                if resets[t]:
+                    h = h * keep[t]
+                np.matmul(h, u, out=hu)
+                np.add(xzr[t], hzr, out=zr)
+                _sigmoid_of_minus(zr)
+                np.multiply(r, hn, out=n)
+                n += xn[t]
+                _sigmoid_of_minus(n)
                 n *= 2
                 n -= 1
                 if learn:
-                    before[t], gates[t], new[t], back[t] = h, zr, n, hu[:, 2 * n_h:]
-                h = h - n
-                h *= zr[:, :n_h]
+                    before[t], gates[t], new[t], back[t] = h, zr, n, hn
+                h = np.subtract(h, n, out=state[t])
+                h *= z
                 h += n
-                state[t] = h
+        if learn:
+            back *= -0.5
         flat, target = state.reshape(-1, n_h), y.ravel()
         real = np.flatnonzero(target >= 0)
         group = target[real] // self.size
-        order = np.argsort(group, kind="stable")  # tokens by class, so that each class is one slice
+        order = _order(group, p["word_w"].shape[0] + 1)  # tokens by class, so that each class is one slice
         real, group = real[order], group[order]
         hs, target = flat[real], target[real]
         ends = np.searchsorted(group, np.arange(p["word_w"].shape[0] + 1))
         got, e, total = _log_share(hs @ p["class_w"] + p["class_b"], group)
         got = got.astype(np.float64)
-        grad = {k: np.zeros_like(v) for k, v in p.items()} if learn else {}
+        grad = _views(np.zeros_like(self.all), p) if learn else {}
         d_hs = None
         scale = np.float32(1 / max(1, len(real)))
         if learn:
             e *= (scale / total)[:, None]
             e[np.arange(len(real)), group] -= scale
-            grad["class_w"], grad["class_b"] = hs.T @ e, e.sum(axis=0)
+            grad["class_w"][:], grad["class_b"][:] = hs.T @ e, e.sum(axis=0)
             d_hs = e @ p["class_w"].T
         for c in range(p["word_w"].shape[0]):
             at = slice(ends[c], ends[c + 1])
@@ -137,51 +167,74 @@ class ClassGru:
         if learn:
             d_state = np.zeros_like(flat)
             d_state[real] = d_hs
-            self._backward(x, keep, emb, d_state.reshape(state.shape), before, gates, new, back, grad)
+            self._backward(x, keep, resets, emb, d_state.reshape(state.shape), before, gates, new, back, grad, lanes, all_lanes)
             self._step(grad, learn)
         return out.reshape(x.shape), h
 
-    def _backward(self, x, keep, emb, d_state, before, gates, new, back, grad) -> None:
+    def _backward(self, x, keep, resets, emb, d_state, before, gates, new, back, grad, lanes, all_lanes) -> None:
         p, n_h = self.p, self.hidden
         z, r = gates[:, :, :n_h], gates[:, :, n_h:]
         # what a step's gradient is multiplied with, for all steps at once
         by_new = (1 - z) * (1 - new * new)
         by_z = (before - new) * z * (1 - z)
         by_r = back * r * (1 - r)
+        # products over streams have a row for all of them, zero for the ended ones: rounding depends on the rows
+        some = lanes is not None and len(lanes) < all_lanes
+        at = lanes if some else slice(None)
+
+        def placed(a: np.ndarray) -> np.ndarray:
+            if some:
+                whole = np.zeros((len(a), all_lanes, a.shape[2]), a.dtype)
+                whole[:, at] = a
+                a = whole
+            return a.reshape(-1, a.shape[2])
+
         d_h = np.zeros_like(before[0])
         d_pre = np.empty((*before.shape[:2], 3 * n_h), before.dtype)
-        d_hu = np.empty_like(d_pre)
+        d_hu = np.zeros((len(before), all_lanes if some else before.shape[1], 3 * n_h), before.dtype)
         for t in range(len(before) - 1, -1, -1):
             d_h += d_state[t]
             d_n = d_pre[t, :, 2 * n_h:]
             np.multiply(d_h, by_new[t], out=d_n)
             np.multiply(d_h, by_z[t], out=d_pre[t, :, :n_h])
             np.multiply(d_n, by_r[t], out=d_pre[t, :, n_h:2 * n_h])
-            d_hu[t, :, :2 * n_h] = d_pre[t, :, :2 * n_h]
-            np.multiply(d_n, r[t], out=d_hu[t, :, 2 * n_h:])
+            d_hu[t, at, :2 * n_h] = d_pre[t, :, :2 * n_h]
+            d_hu[t, at, 2 * n_h:] = d_n * r[t]
             d_h *= z[t]
-            d_h += d_hu[t] @ p["u"].T
-            d_h *= keep[t]
-        rows = d_pre.reshape(-1, 3 * n_h)
-        grad["u"] = before.reshape(-1, n_h).T @ d_hu.reshape(-1, 3 * n_h)
-        grad["w"], grad["b"] = emb.reshape(-1, emb.shape[2]).T @ rows, rows.sum(axis=0)
-        d_emb = rows @ p["w"].T
+            d_h += (d_hu[t] @ p["u"].T)[at]
+            if resets[t]:
+                d_h *= keep[t]
+        rows = placed(d_pre)
+        own = d_pre.reshape(-1, 3 * n_h)
+        grad["u"][:] = placed(before).T @ d_hu.reshape(-1, 3 * n_h)
+        grad["w"][:], grad["b"][:] = placed(emb).T @ rows, own.sum(axis=0)
+        if len(own) < 256 < len(rows):
+            d_emb = (rows @ p["w"].T).reshape(len(before), -1, emb.shape[2])[:, at].reshape(-1, emb.shape[2])
+        else:
+            d_emb = own @ p["w"].T
         flat = x.ravel()
-        order = np.argsort(flat, kind="stable")
-        ids, first = np.unique(flat[order], return_index=True)
-        grad["embed"][ids] = np.add.reduceat(d_emb[order], first, axis=0)
+        order = _order(flat, len(p["embed"]))
+        ids = flat[order]
+        first = np.flatnonzero(np.diff(ids, prepend=-1))
+        grad["embed"][ids[first]] = np.add.reduceat(d_emb[order], first, axis=0)
 
     def _step(self, grad: dict[str, np.ndarray], rate: float) -> None:
         self.steps += 1
         norm = np.sqrt(sum(float((g * g).sum()) for g in grad.values()))
         clip = min(1.0, 1.0 / (norm + 1e-9))
         fix = rate * np.sqrt(1 - 0.99 ** self.steps) / (1 - 0.9 ** self.steps)
-        for k, g in grad.items():
-            m, v = self.moments[k]
-            g = g * clip
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            self.p[k] -= (fix * m / (np.sqrt(v) + 1e-6)).astype(np.float32)
+        g = np.concatenate([g.ravel() for g in grad.values()]) * clip
+        m, v = self.moments
+        change = g - m
+        change *= 0.1
+        m += change
+        g *= g
+        g -= v
+        g *= 0.01
+        v += g
+        change = fix * m
+        change /= np.sqrt(v) + 1e-6
+        self.all -= change.astype(np.float32)
 
     def texts(self, ids: np.ndarray, targets: np.ndarray, lens: np.ndarray, *, width: int, steps: int,
               learn: float = 0.0) -> np.ndarray:
@@ -199,7 +252,10 @@ class ClassGru:
         y[spot, lane] = targets
         got = np.zeros((longest, width))
         h = np.zeros((width, self.hidden), np.float32)
+        lanes, held = np.arange(width), np.bincount(stream, weights=lens, minlength=width)
         for at in range(0, longest, steps):
             to = min(longest, at + steps)
-            got[at:to], h = self.window(x[at:to], y[at:to], h, learn)
+            on = held[lanes] > at  # one long text outlasts the other streams by far
+            lanes, h = lanes[on], h[on]
+            got[at:to, lanes], h = self.window(x[at:to, lanes], y[at:to, lanes], h, learn, lanes, width)
         return np.bincount(np.repeat(np.arange(len(lens)), lens), weights=got[spot, lane], minlength=len(lens))

@@ -77,8 +77,9 @@ class Lexicon:
     def tokens(self, words: pa.Array, codes: np.ndarray, lens: np.ndarray, places: np.ndarray):
         """(inputs, targets, tokens per text), the end of each text added."""
         own = (places >= 0) & (places < self.n_model)
-        ending = [zlib.crc32(w[-3:]) % self.buckets for w in words.cast(pa.binary()).to_pylist()]
-        inputs = np.where(own, places + 1, self.first_bucket + np.array(ending, np.int64).reshape(-1))
+        last = pc.binary_slice(words.cast(pa.binary()), -3).dictionary_encode()
+        ending = np.array([zlib.crc32(w) % self.buckets for w in last.dictionary.to_pylist()], np.int64)
+        inputs = np.where(own, places + 1, self.first_bucket + ending[last.indices.to_numpy()])
         targets = np.where(own, places + 1, self.first_bucket)
         ends = np.cumsum(lens)
         return np.insert(inputs[codes], ends, 0), np.insert(targets[codes], ends, 0), lens + 1
@@ -177,13 +178,13 @@ def score_texts(docs: DataFrame, held_out: Column, *, n_words: int = 1024, size:
         row = TaskContext.get().partitionId() << 33
         logs = np.append(np.log10(lex.counts + SMOOTH), 0.0)  # the last: unknown here
         for batch in batches:
-            for lo, hi in text_slices(batch.column(2), 8 << 20):
+            for lo, hi in text_slices(batch.column(2)):
                 n = hi - lo
                 words, codes, lens = batch_words(batch.column(2).slice(lo, n))
                 places = lex.places(words)
                 doc = np.repeat(np.arange(n), lens)
                 x, y, size_of = lex.tokens(words, codes, lens, places)
-                lm = gru.texts(x, y, size_of, width=width, steps=2 * steps) / np.log(10)
+                lm = gru.texts(x, y, size_of, width=width, steps=8 * steps) / np.log(10)  # windows only bound the memory
                 known = logs[places]
                 of_rest = np.where((places >= lex.n_model) | (places < 0), known - lex.rest_log, 0.0)
                 add = lambda v: np.bincount(doc, weights=v[codes], minlength=n)

@@ -55,6 +55,43 @@ def test_gradients():
             assert caught[k][at] == pytest.approx((loss(up) - loss(down)) / 2e-3, abs=3e-4)
 
 
+def test_streams_that_ended_are_left_out():
+    """One long text beside short ones: its windows hold its stream alone, in training too."""
+    rng = np.random.default_rng(2)
+    lens = np.array([400, *[5] * 60])
+    ids = rng.integers(1, 7, lens.sum())
+    ids[np.cumsum(lens) - 1] = 0
+    model = ClassGru(small())
+    cells, window = [], model.window
+    model.window = lambda x, *rest: cells.append(x.size) or window(x, *rest)
+    got = model.texts(ids, ids, lens, width=31, steps=8)
+    assert sum(cells) < 2 * lens.sum()  # 401 x 31 before
+    alone = [ClassGru(small()).texts(part, part, np.array([len(part)]), width=1, steps=8)[0]
+             for part in np.split(ids, np.cumsum(lens)[:-1])]
+    assert got == pytest.approx(alone, rel=1e-5)
+    cells.clear()
+    model.texts(ids, ids, lens, width=31, steps=8, learn=0.01)
+    assert sum(cells) < 2 * lens.sum()
+
+
+def test_ended_streams_change_no_gradient():
+    rng = np.random.default_rng(3)
+    x, y = rng.integers(1, 9, (6, 4)), rng.integers(0, 10, (6, 4))
+    x[:, [0, 2]], y[:, [0, 2]] = 0, -1
+    h = rng.normal(size=(4, 4)).astype(np.float32)
+    h[[0, 2]] = 0
+    caught, lanes = [], np.array([1, 3])
+    for some in (False, True):
+        model = ClassGru(small())
+        model._step = lambda grad, rate: caught.append({k: v.copy() for k, v in grad.items()})
+        if some:
+            model.window(x[:, lanes], y[:, lanes], h[lanes], 1.0, lanes, 4)
+        else:
+            model.window(x, y, h, 1.0)
+    for k in caught[0]:
+        assert np.allclose(caught[0][k], caught[1][k], atol=1e-7)
+
+
 def test_streams_keep_texts_whole():
     stream, place, longest = streams(np.array([5, 1, 7, 2, 2]), 3)
     spots = {(s, p + k) for s, p, n in zip(stream, place, [5, 1, 7, 2, 2]) for k in range(n)}
