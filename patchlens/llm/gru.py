@@ -208,7 +208,7 @@ class ClassGru:
         own = d_pre.reshape(-1, 3 * n_h)
         grad["u"][:] = placed(before).T @ d_hu.reshape(-1, 3 * n_h)
         grad["w"][:], grad["b"][:] = placed(emb).T @ rows, own.sum(axis=0)
-        if len(own) < 256 < len(rows):
+        if len(own) < 256:  # small products are rounded otherwise than large ones
             d_emb = (rows @ p["w"].T).reshape(len(before), -1, emb.shape[2])[:, at].reshape(-1, emb.shape[2])
         else:
             d_emb = own @ p["w"].T
