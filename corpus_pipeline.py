@@ -57,7 +57,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
+    # the executors come here with a heap that the stages before have filled
+    return pack_documents(docs, tokenizer_path("word_bpe_49k.json"), slice_bytes=4 << 20)
 
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("decontamination", decontamination),

@@ -39,7 +39,8 @@ from patchlens.llm.token_counts import LETTER, char_classes
 ORDERS = (4, 3, 2, 1)
 SMOOTH = 0.5
 MEMORY = 100_000  # unseen words remembered by a worker
-SLICE = 2 << 20  # bytes of text worked on at once; the arrays over its characters take some twenty times as much
+SLICE = 1 << 20  # bytes of text worked on at once; the arrays over its characters take some twenty times as much
+TERMS = 2_500  # words whose n-grams are counted at once
 
 
 def hash_remainder(column: str, divisor: int) -> Column:
@@ -181,7 +182,8 @@ def learn(labelled: DataFrame, *, sample_docs: int, words: int, n_grams: int) ->
                      pa.array(n.astype(np.int64))], ["lang", "term", "n"])
 
     def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # by ``TERMS`` words: each may bring some thirty n-grams of its own
+        for batch in (b.slice(at, TERMS) for b in batches for at in range(0, b.num_rows, TERMS)):
             counts: Counter = Counter()
             for lang, word, n in zip(*(c.to_pylist() for c in batch.columns)):
                 for order in ORDERS:

@@ -140,9 +140,9 @@ class Plan:
         return out
 
 
-def encode_rows(docs: DataFrame, tokenizer: str, end_id: int, window: int) -> DataFrame:
+def encode_rows(docs: DataFrame, tokenizer: str, end_id: int, window: int, slice_bytes: int = 16 << 20) -> DataFrame:
     """(task, place, doc_id, n_tokens, tail, tail_rank, full_before, ids): ``tail`` is the length
-    left after whole windows; ranks and counts run inside the write task."""
+    left after whole windows; ranks and counts run inside the write task, over ``slice_bytes`` of text at a time."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -153,7 +153,7 @@ def encode_rows(docs: DataFrame, tokenizer: str, end_id: int, window: int) -> Da
         seen, full = np.zeros(window, np.int64), 0
         kind = f"<u{enc.width}"
         for batch in batches:
-            for lo, hi in text_slices(batch.column(1)):
+            for lo, hi in text_slices(batch.column(1), slice_bytes):
                 ids, n = enc.encode(batch.column(1).slice(lo, hi - lo))
                 ids = np.insert(ids, np.cumsum(n), end_id).astype(kind)
                 n = n + 1
@@ -167,7 +167,7 @@ def encode_rows(docs: DataFrame, tokenizer: str, end_id: int, window: int) -> Da
                 full += int(whole.sum())
                 bounds = np.concatenate([[0], np.cumsum(n)]) * ids.itemsize
                 data = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(bounds.astype(np.int32)),
-                                                                   pa.py_buffer(ids.tobytes())])
+                                                                   pa.py_buffer(ids)])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(n), task, np.int32)), batch.column(0).slice(lo, hi - lo), pa.array(n),
                      pa.array(tail.astype(np.int32)), pa.array(rank), pa.array(whole), pa.array(before),
@@ -180,13 +180,13 @@ def encode_rows(docs: DataFrame, tokenizer: str, end_id: int, window: int) -> Da
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, *, window: int = 2048,
-                   heavy: int = 96) -> DataFrame:
+                   heavy: int = 96, slice_bytes: int = 16 << 20) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens,
-    sequence_id, offset."""
+    sequence_id, offset.  A worker encodes ``slice_bytes`` of text at a time: less takes less memory and more time."""
     if window & (window - 1):
         raise ValueError("window must be a power of two")
     spark = docs.sparkSession
-    rows = stored(encode_rows(docs, tokenizer, end_id, window), "packing-ids")
+    rows = stored(encode_rows(docs, tokenizer, end_id, window, slice_bytes), "packing-ids")
 
     counts = rows.groupBy("task", "tail").agg(F.count(F.lit(1)).alias("n"), F.sum("full").alias("full")).checkpoint()
     histogram = np.zeros(window, np.int64)

@@ -129,16 +129,24 @@ class WordEncoder:
         if isinstance(coded, pa.ChunkedArray):
             coded = coded.combine_chunks()
         held = self._chunk_ids(coded.dictionary.to_pylist())
-        size = np.fromiter(map(len, held), np.int64, len(held)) // 4
+        # places in a slice's ids fit 32 bits: an Arrow array holds less than 2 GB of text, and an id a byte at least
+        size = (np.fromiter(map(len, held), np.int64, len(held)) // 4).astype(np.int32)
         flat = np.frombuffer(b"".join(held), np.uint32)
+        del held
         codes = coded.indices.to_numpy()
         lens = size[codes]
-        ends = np.cumsum(lens)
-        first = (np.cumsum(size) - size)[codes] - (ends - lens)
-        ids = flat[np.repeat(first, lens) + np.arange(ends[-1] if len(ends) else 0)]
-        upto = np.concatenate([[0], ends])
+        ends = np.cumsum(lens, dtype=np.int32)
+        first = (np.cumsum(size, dtype=np.int32) - size)[codes]
+        first -= ends
+        first += lens
+        place = np.arange(ends[-1] if len(ends) else 0)
+        place += np.repeat(first, lens)
+        del first, lens
+        ids = flat[place]
+        del place
+        upto = np.concatenate([np.zeros(1, np.int32), ends])
         at = at - at[0]
-        return ids, upto[at[1:]] - upto[at[:-1]]
+        return ids, np.diff(upto[at]).astype(np.int64)
 
 
 _ENCODERS: dict[str, WordEncoder] = {}

@@ -71,3 +71,13 @@ def test_rejection_does_not_depend_on_label_shares(spark, english):
 def test_known_part_of_words():
     model = li.Model(["a"], [1.0], {"a": {"word": 3}}, {4: {"a": {"_kno": 2}}, 2: {"a": {"日本": 1, "_日": 1}}})
     assert [model.known(w) for w in ("word", "kno", "x", "日本語", "ж")] == [1.0, 0.5, 0.0, 0.5, 0.0]
+
+
+def test_ngrams_are_counted_in_parts(spark, monkeypatch):
+    rows = [(i, f"{'abcdefgh'[i % 8]}a tree by the {'xyz'[i % 3]}ea {i}", "en" if i % 2 else "pl") for i in range(60)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    models = []
+    for terms in (2_500, 2):
+        monkeypatch.setattr(li, "TERMS", terms)
+        models.append(li.learn(labelled, sample_docs=100, words=50, n_grams=40))
+    assert models[0].words == models[1].words and models[0].grams == models[1].grams

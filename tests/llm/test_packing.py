@@ -78,3 +78,30 @@ def test_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in table(spark, sf, "documents").select("doc_id", "text").collect()]
     checked(rows, packing.op2_nnls_packing(spark, sf).collect(), 2048)
+
+
+def test_small_slices_pack_the_same(spark):
+    rng = np.random.default_rng(5)
+    words = ["sun", "Moon", "x" * 30, "straße", "12", "it's"]
+    rows = [(i, " ".join(rng.choice(words, rng.integers(0, 60)))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    whole, cut = (sorted(map(tuple, packing.pack_documents(docs, PATH, window=64, slice_bytes=n).collect()))
+                  for n in (16 << 20, 200))
+    assert whole == cut and len(whole) >= 120
+
+
+def test_encoding_takes_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from patchlens.llm.word_tokens import WordEncoder
+    enc = WordEncoder(PATH)
+    texts = pa.array(["the cat sat on the mat " * 200] * 300)
+    enc.encode(texts.slice(0, 1))
+    tracemalloc.start()
+    ids, n = enc.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n.sum() == len(ids) and n.tolist() == [n[0]] * 300
+    assert peak < 36 * len(ids)  # bytes an id, of one-id words; 40 before
