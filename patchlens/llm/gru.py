@@ -53,20 +53,24 @@ def _order(a: np.ndarray, below: int) -> np.ndarray:
     return np.argsort(a.astype(np.int16) if below < 1 << 15 else a, kind="stable")
 
 
-def _log_share(a: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(log softmax at column ``at`` of each row, exponentials, their row sums); works in place of ``a``."""
-    top = a if len(a) > 64 else a.max(axis=1, keepdims=True)
-    while top.shape[1] > 1:  # by halves: a reduction along many short rows is slow
+def _log_share(a: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(log softmax at column ``at`` of each row, exponentials, their row sums, places of those columns in all of
+    ``a``); works in place of ``a``."""
+    top = a
+    while len(a) > 2048 and top.shape[1] > 8:  # by halves first, so that what is turned is small
         half = top.shape[1] // 2
         rest = top[:, 2 * half:]
         top = np.maximum(top[:, :half], top[:, half:2 * half])
         if rest.size:
             np.maximum(top[:, :1], rest, out=top[:, :1])
+    top = np.ascontiguousarray(top.T).max(axis=0)[:, None]  # a reduction along many short rows is slow
     a -= top
-    picked = a.ravel()[np.arange(len(a)) * a.shape[1] + at]
+    places = np.arange(0, a.size, a.shape[1])
+    places += at
+    picked = a.ravel()[places]
     np.exp(a, out=a)
     total = a.sum(axis=1)
-    return picked - np.log(total), a, total
+    return picked - np.log(total), a, total, places
 
 
 def _sigmoid_of_minus(a: np.ndarray) -> np.ndarray:
@@ -76,6 +80,11 @@ def _sigmoid_of_minus(a: np.ndarray) -> np.ndarray:
     return np.reciprocal(a, out=a)
 
 
+def _gates(a: np.ndarray, hidden: int) -> np.ndarray:
+    """Columns of the three gates, each in a block of its own."""
+    return np.ascontiguousarray(a.reshape(len(a), 3, hidden).transpose(1, 0, 2))
+
+
 def _views(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     """Arrays in the shapes of ``like`` over ``flat``, end to end."""
     ends = np.cumsum([v.size for v in like.values()])
@@ -103,22 +112,24 @@ class ClassGru:
         emb = p["embed"][x]
         # the gates take minus their sum, the candidate -2 times its own: tanh(a) = 2 sigmoid(2 a) - 1
         times = np.repeat(np.array([-1, -2], p["u"].dtype), [2 * n_h, n_h])
-        xw, u = emb @ p["w"] + p["b"], p["u"] * times
-        xw *= times
+        xw = np.matmul(emb.reshape(-1, emb.shape[2]), _gates(p["w"], n_h)).reshape(3, steps, width, n_h)
+        xw += p["b"].reshape(3, 1, 1, n_h)
+        xw *= times[::n_h].reshape(3, 1, 1, 1)
+        u = _gates(p["u"] * times, n_h)
         state = np.empty((steps, width, n_h), np.float32)
         if learn:
             before, new, back = (np.empty_like(state) for _ in range(3))
-            gates = np.empty((steps, width, 2 * n_h), np.float32)
-        xzr, xn = xw[:, :, :2 * n_h], xw[:, :, 2 * n_h:]
-        hu = np.empty((width, 3 * n_h), state.dtype)
-        hzr, hn, zr, n = hu[:, :2 * n_h], hu[:, 2 * n_h:], np.empty((width, 2 * n_h), state.dtype), np.empty_like(h)
-        z, r = zr[:, :n_h], zr[:, n_h:]
+            gates = np.empty((2, *state.shape), np.float32)
+        xzr, xn = xw[:2], xw[2]
+        hu = np.empty((3, width, n_h), state.dtype)  # a block for each gate: steps work on whole blocks
+        hzr, hn, zr, n = hu[:2], hu[2], np.empty((2, width, n_h), state.dtype), np.empty_like(h)
+        z, r = zr
         with np.errstate(over="ignore"):
             for t in range(steps):
                 if resets[t]:
                     h = h * keep[t]
                 np.matmul(h, u, out=hu)
-                np.add(xzr[t], hzr, out=zr)
+                np.add(xzr[:, t], hzr, out=zr)
                 _sigmoid_of_minus(zr)
                 np.multiply(r, hn, out=n)
                 n += xn[t]
@@ -126,7 +137,7 @@ class ClassGru:
                 n *= 2
                 n -= 1
                 if learn:
-                    before[t], gates[t], new[t], back[t] = h, zr, n, hn
+                    before[t], gates[:, t], new[t], back[t] = h, zr, n, hn
                 h = np.subtract(h, n, out=state[t])
                 h *= z
                 h += n
@@ -139,14 +150,14 @@ class ClassGru:
         real, group = real[order], group[order]
         hs, target = flat[real], target[real]
         ends = np.searchsorted(group, np.arange(p["word_w"].shape[0] + 1))
-        got, e, total = _log_share(hs @ p["class_w"] + p["class_b"], group)
+        got, e, total, places = _log_share(hs @ p["class_w"] + p["class_b"], group)
         got = got.astype(np.float64)
         grad = _views(np.zeros_like(self.all), p) if learn else {}
         d_hs = None
         scale = np.float32(1 / max(1, len(real)))
         if learn:
             e *= (scale / total)[:, None]
-            e[np.arange(len(real)), group] -= scale
+            e.ravel()[places] -= scale
             grad["class_w"][:], grad["class_b"][:] = hs.T @ e, e.sum(axis=0)
             d_hs = e @ p["class_w"].T
         for c in range(p["word_w"].shape[0]):
@@ -155,11 +166,11 @@ class ClassGru:
             if not n_at:
                 continue
             slot = target[at] % self.size
-            one, e, total = _log_share(hs[at] @ p["word_w"][c] + p["word_b"][c], slot)
+            one, e, total, places = _log_share(hs[at] @ p["word_w"][c] + p["word_b"][c], slot)
             got[at] += one
             if learn:
                 e *= (scale / total)[:, None]
-                e[np.arange(n_at), slot] -= scale
+                e.ravel()[places] -= scale
                 grad["word_w"][c], grad["word_b"][c] = hs[at].T @ e, e.sum(axis=0)
                 d_hs[at] += e @ p["word_w"][c].T
         out = np.zeros(x.size)
@@ -173,7 +184,8 @@ class ClassGru:
 
     def _backward(self, x, keep, resets, emb, d_state, before, gates, new, back, grad, lanes, all_lanes) -> None:
         p, n_h = self.p, self.hidden
-        z, r = gates[:, :, :n_h], gates[:, :, n_h:]
+        u_back = p["u"].T
+        z, r = gates
         # what a step's gradient is multiplied with, for all steps at once
         by_new = (1 - z) * (1 - new * new)
         by_z = (before - new) * z * (1 - z)
@@ -190,20 +202,22 @@ class ClassGru:
             return a.reshape(-1, a.shape[2])
 
         d_h = np.zeros_like(before[0])
-        d_pre = np.empty((*before.shape[:2], 3 * n_h), before.dtype)
+        d_gates = np.empty((3, *before.shape), before.dtype)
+        d_z, d_r, d_n = d_gates
         d_hu = np.zeros((len(before), all_lanes if some else before.shape[1], 3 * n_h), before.dtype)
         for t in range(len(before) - 1, -1, -1):
             d_h += d_state[t]
-            d_n = d_pre[t, :, 2 * n_h:]
-            np.multiply(d_h, by_new[t], out=d_n)
-            np.multiply(d_h, by_z[t], out=d_pre[t, :, :n_h])
-            np.multiply(d_n, by_r[t], out=d_pre[t, :, n_h:2 * n_h])
-            d_hu[t, at, :2 * n_h] = d_pre[t, :, :2 * n_h]
-            d_hu[t, at, 2 * n_h:] = d_n * r[t]
+            np.multiply(d_h, by_new[t], out=d_n[t])
+            np.multiply(d_h, by_z[t], out=d_z[t])
+            np.multiply(d_n[t], by_r[t], out=d_r[t])
+            d_hu[t, at, :n_h] = d_z[t]
+            d_hu[t, at, n_h:2 * n_h] = d_r[t]
+            d_hu[t, at, 2 * n_h:] = d_n[t] * r[t]
             d_h *= z[t]
-            d_h += (d_hu[t] @ p["u"].T)[at]
+            d_h += (d_hu[t] @ u_back)[at]
             if resets[t]:
                 d_h *= keep[t]
+        d_pre = np.ascontiguousarray(d_gates.transpose(1, 2, 0, 3)).reshape(*before.shape[:2], 3 * n_h)
         rows = placed(d_pre)
         own = d_pre.reshape(-1, 3 * n_h)
         grad["u"][:] = placed(before).T @ d_hu.reshape(-1, 3 * n_h)
@@ -244,12 +258,14 @@ class ClassGru:
         stream, place, longest = streams(lens, min(width, len(lens)))
         width = int(stream.max()) + 1
         begins = np.cumsum(lens) - lens
-        spot = np.repeat(place - begins, lens) + np.arange(len(ids))
-        lane = np.repeat(stream, lens)
+        spot = np.arange(len(ids))
+        spot += np.repeat(place - begins, lens)
+        spot *= width
+        spot += np.repeat(stream, lens)
         x = np.zeros((longest + 1, width), np.int32)
         y = np.full((longest, width), -1, np.int32)
-        x[spot + 1, lane] = ids  # an input is the token before; a text's first is the end before it
-        y[spot, lane] = targets
+        x.ravel()[spot + width] = ids  # an input is the token before; a text's first is the end before it
+        y.ravel()[spot] = targets
         got = np.zeros((longest, width))
         h = np.zeros((width, self.hidden), np.float32)
         lanes, held = np.arange(width), np.bincount(stream, weights=lens, minlength=width)
@@ -258,4 +274,4 @@ class ClassGru:
             on = held[lanes] > at  # one long text outlasts the other streams by far
             lanes, h = lanes[on], h[on]
             got[at:to, lanes], h = self.window(x[at:to, lanes], y[at:to, lanes], h, learn, lanes, width)
-        return np.bincount(np.repeat(np.arange(len(lens)), lens), weights=got[spot, lane], minlength=len(lens))
+        return np.bincount(np.repeat(np.arange(len(lens)), lens), weights=got.ravel()[spot], minlength=len(lens))

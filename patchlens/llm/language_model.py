@@ -44,12 +44,17 @@ def batch_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """(distinct words, code of each word, words per text): runs without ASCII white space, A-Z lowered."""
     split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
     at = split.offsets.to_numpy().astype(np.int64)
-    flat = split.values.slice(at[0], at[-1] - at[0])
-    full = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
-    upto = np.concatenate([[0], np.cumsum(full)])
-    coded = flat.filter(pa.array(full)).dictionary_encode()
+    coded = split.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
+    words, codes = coded.dictionary, coded.indices.to_numpy()
     at = at - at[0]
-    return coded.dictionary, coded.indices.to_numpy(), upto[at[1:]] - upto[at[:-1]]
+    none = pc.index(words, pa.scalar("", words.type)).as_py()  # the empty runs around white space
+    if none < 0:
+        return words, codes, np.diff(at)
+    full = codes != none
+    upto = np.concatenate([[0], np.cumsum(full)])
+    codes = codes[full]
+    return (pa.concat_arrays([words.slice(0, none), words.slice(none + 1)]), codes - (codes > none),
+            upto[at[1:]] - upto[at[:-1]])
 
 
 class Lexicon:
@@ -71,8 +76,10 @@ class Lexicon:
     def model_counts(self) -> np.ndarray:
         return np.concatenate([[self.n_texts], self.counts[:self.n_model]])
 
-    def places(self, words: pa.Array) -> np.ndarray:
-        return pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy()
+    def places(self, words: pa.Array, model_only: bool = False) -> np.ndarray:
+        """Place of each word, -1 if it has none; ``model_only``: of the words of the model's vocabulary alone."""
+        known = self.words.slice(0, self.n_model) if model_only else self.words
+        return pc.index_in(words, value_set=known).fill_null(-1).to_numpy()
 
     def tokens(self, words: pa.Array, codes: np.ndarray, lens: np.ndarray, places: np.ndarray):
         """(inputs, targets, tokens per text), the end of each text added."""
@@ -110,7 +117,7 @@ def train(texts: DataFrame, lexicon, start: dict[str, np.ndarray], *, rounds: in
             for batch in batches:
                 for lo, hi in text_slices(batch.column(0), 8 << 20):
                     words, codes, lens = batch_words(batch.column(0).slice(lo, hi - lo))
-                    x, y, lens = lexicon.value.tokens(words, codes, lens, lexicon.value.places(words))
+                    x, y, lens = lexicon.value.tokens(words, codes, lens, lexicon.value.places(words, model_only=True))
                     # fewer streams for little data, so that there are some steps at least
                     lanes = int(min(width, max(8, len(x) // (64 * steps))))
                     model.texts(x, y, lens, width=lanes, steps=steps, learn=rate)

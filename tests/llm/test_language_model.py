@@ -154,3 +154,14 @@ def test_query(spark):
     gain = sum(r["score"] - r["base_score"] for r in held) / sum(r["n_tokens"] for r in held)
     print("held-out gain, log10 a token:", gain)
     assert gain > 0.02
+
+
+def test_training_looks_up_the_models_words_alone():
+    import pyarrow as pa
+    lex = lm.Lexicon(["a", "b", "c", "d"], [9, 7, 5, 3], 2, 30, 9, n_words=3, buckets=4, size=2)
+    words, codes, lens = lm.batch_words(pa.array(["  b a", "", "d  c a\t", "zz b "]))
+    assert [words[int(c)].as_py() for c in codes] == ["b", "a", "d", "c", "a", "zz", "b"] and lens.tolist() == [2, 0, 3, 2]
+    few, every = lex.places(words, model_only=True), lex.places(words)
+    assert set(few.tolist()) == {-1, 0, 1} and set(every.tolist()) == {-1, 0, 1, 2, 3}
+    for a, b in zip(lex.tokens(words, codes, lens, few), lex.tokens(words, codes, lens, every)):
+        assert a.tolist() == b.tolist()
