@@ -204,23 +204,24 @@ class ClassGru:
         d_h = np.zeros_like(before[0])
         d_gates = np.empty((3, *before.shape), before.dtype)
         d_z, d_r, d_n = d_gates
-        d_hu = np.zeros((len(before), all_lanes if some else before.shape[1], 3 * n_h), before.dtype)
+        width = before.shape[1]
+        d_hu = np.zeros((len(before), all_lanes if some else width, 3 * n_h), before.dtype)  # the running streams first
         for t in range(len(before) - 1, -1, -1):
             d_h += d_state[t]
             np.multiply(d_h, by_new[t], out=d_n[t])
             np.multiply(d_h, by_z[t], out=d_z[t])
             np.multiply(d_n[t], by_r[t], out=d_r[t])
-            d_hu[t, at, :n_h] = d_z[t]
-            d_hu[t, at, n_h:2 * n_h] = d_r[t]
-            d_hu[t, at, 2 * n_h:] = d_n[t] * r[t]
+            d_hu[t, :width, :n_h] = d_z[t]
+            d_hu[t, :width, n_h:2 * n_h] = d_r[t]
+            d_hu[t, :width, 2 * n_h:] = d_n[t] * r[t]
             d_h *= z[t]
-            d_h += (d_hu[t] @ u_back)[at]
+            d_h += (d_hu[t] @ u_back)[:width]
             if resets[t]:
                 d_h *= keep[t]
         d_pre = np.ascontiguousarray(d_gates.transpose(1, 2, 0, 3)).reshape(*before.shape[:2], 3 * n_h)
         rows = placed(d_pre)
         own = d_pre.reshape(-1, 3 * n_h)
-        grad["u"][:] = placed(before).T @ d_hu.reshape(-1, 3 * n_h)
+        grad["u"][:] = placed(before).T @ placed(d_hu[:, :width])
         grad["w"][:], grad["b"][:] = placed(emb).T @ rows, own.sum(axis=0)
         if len(own) < 256:  # small products are rounded otherwise than large ones
             d_emb = (rows @ p["w"].T).reshape(len(before), -1, emb.shape[2])[:, at].reshape(-1, emb.shape[2])

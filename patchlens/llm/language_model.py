@@ -191,7 +191,7 @@ def score_texts(docs: DataFrame, held_out: Column, *, n_words: int = 1024, size:
                 places = lex.places(words)
                 doc = np.repeat(np.arange(n), lens)
                 x, y, size_of = lex.tokens(words, codes, lens, places)
-                lm = gru.texts(x, y, size_of, width=width, steps=8 * steps) / np.log(10)  # windows only bound the memory
+                lm = gru.texts(x, y, size_of, width=width, steps=4 * steps) / np.log(10)  # windows only bound the memory
                 known = logs[places]
                 of_rest = np.where((places >= lex.n_model) | (places < 0), known - lex.rest_log, 0.0)
                 add = lambda v: np.bincount(doc, weights=v[codes], minlength=n)
