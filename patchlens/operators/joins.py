@@ -61,6 +61,12 @@ def left_join_with_defaults(left: DataFrame, right: DataFrame, on: Sequence[str]
     return joined.select(*out)
 
 
+def filled_with_defaults(df: DataFrame, on: Sequence[str]) -> DataFrame:
+    """``df`` as :func:`left_join_with_defaults` on ``on`` shows its rows: type defaults instead of NULL but in ``on``."""
+    return df.select(*[F.col(f.name) if f.name in on else F.coalesce(F.col(f.name), type_default(f.dataType)).alias(f.name)
+                       for f in df.schema.fields])
+
+
 def range_join(left: DataFrame, right: DataFrame, eq: Sequence[tuple[str, str]],
                right_greater: tuple[str, str] | None = None,
                right_at_least: tuple[str, str] | None = None,

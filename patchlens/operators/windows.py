@@ -22,3 +22,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[st
     """Keep-last-per-key table: the row with the greatest ``newest_first``
     tuple (e.g. timestamp, load sequence) for every key."""
     return top_n_per_group(df, keys, [F.col(c).desc() for c in newest_first], 1)
+
+
+def distinct_in_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct rows of ``df``, for rows placed by ``keys``: no exchange, and sorted with ``keys`` first, which is the
+    order of a merge join on them, so that nothing is held beyond the sort of that join."""
+    cols = [*keys, *[c for c in df.columns if c not in keys]]
+    return top_n_per_group(df, cols, [F.col(keys[0])])

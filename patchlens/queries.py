@@ -21,8 +21,8 @@ from patchlens.functions.strings import (digits_or_empty, empty_if_null, normali
                                          normalise_prefix, strip_chars_to_int)
 from patchlens.operators.aggregates import (collect_distinct, independent_max_match,
                                             latest_value_per_item)
-from patchlens.operators.joins import left_join_with_defaults
-from patchlens.operators.windows import latest_per_key, top_n_per_group
+from patchlens.operators.joins import filled_with_defaults, left_join_with_defaults
+from patchlens.operators.windows import distinct_in_groups, latest_per_key, top_n_per_group
 from patchlens.plans import analog, exposure
 from patchlens.tables import table
 
@@ -95,7 +95,11 @@ def _orders_as_vulnerabilities(spark, d, labels=None):
 
 
 def mart_wide_star(spark: SparkSession, d: str, labels: list[str] | None = None) -> DataFrame:
-    """``labels`` restricts the mart to those months (incremental rebuild)."""
+    """``labels`` restricts the mart to those months (incremental rebuild).
+
+    Rows of two orders differ, as the cve is the order key.  So the whole-row DISTINCT is made before the joins, on
+    each side: distinct rows of an order joined to distinct groups of it are distinct, and the wide rows of
+    the star are neither hashed nor shuffled."""
     v = _orders_as_vulnerabilities(spark, d, labels)
     li = table(spark, d, "lineitem")
     if labels is not None:
@@ -113,15 +117,18 @@ def mart_wide_star(spark: SparkSession, d: str, labels: list[str] | None = None)
     docs = (o.groupBy("doc_xml_date")
             .agg(day_text(F.min("o_orderdate")).alias("doc_initial_relise_date"),
                  day_text(F.max("o_orderdate")).alias("doc_current_relise_date")))
-    star = left_join_with_defaults(v, status, ["id"])
-    star = left_join_with_defaults(star, scores, ["id"])
+    status = status.withColumn("status_product_id", F.array_join("status_product_id", ","))
+    scores = scores.withColumn("score_set_product_id", F.array_join("score_set_product_id", ","))
+    star = distinct_in_groups(v.repartition("id"), ["id"])
+    for child in (status, scores):
+        # NULL and '' are one value in the star
+        child = distinct_in_groups(filled_with_defaults(child, ["id"]).repartition("id"), ["id"])
+        star = left_join_with_defaults(star, child, ["id"])
     star = left_join_with_defaults(star, docs, ["doc_xml_date"])
     return star.select(
         "doc_xml_date", "cve", "vul_title", "cwe", "status_type",
-        F.array_join("status_product_id", ",").alias("status_product_id"),
-        "base_score", "temporal_score",
-        F.array_join("score_set_product_id", ",").alias("score_set_product_id"),
-        "doc_initial_relise_date", "doc_current_relise_date").distinct()
+        "status_product_id", "base_score", "temporal_score", "score_set_product_id",
+        "doc_initial_relise_date", "doc_current_relise_date")
 
 
 def mart_revision_right_join(spark: SparkSession, d: str) -> DataFrame:
