@@ -17,10 +17,12 @@ from patchlens.tables import table
 
 DOC = "doc_xml_date"
 BUCKETS = 16
+ROWS_PER_BUCKET = 250_000  # of the largest table, which a task reads and sorts beside the others
 
 
-def _catalog(spark: SparkSession):
-    return bw.catalog(spark, f"patchlens_{uuid.uuid4().hex[:12]}", scratch(spark, "catalog"), BUCKETS)
+def _catalog(spark: SparkSession, rows: int = 0):
+    buckets = max(BUCKETS, -(-rows // ROWS_PER_BUCKET))
+    return bw.catalog(spark, f"patchlens_{uuid.uuid4().hex[:12]}", scratch(spark, "catalog"), buckets)
 
 
 def _loads(spark: SparkSession, d: str, load_id: int) -> DataFrame:
@@ -78,7 +80,7 @@ def line_staging(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 
 def write_line_staging(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """The rows of :func:`line_staging`, written to bucketed tables and read from their buckets."""
-    tables = _catalog(spark)
+    tables = _catalog(spark, table(spark, d, "lineitem").count())
     tables.create()
     staging = line_staging(spark, d)
     for name, rows in staging.items():
@@ -90,7 +92,7 @@ def write_line_staging(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 def catalog_co_located_star(spark: SparkSession, d: str) -> DataFrame:
     """The six-child star of one vulnerability per order, joined bucket by bucket."""
     arrays = ["status_product_id", "note", "threats_type", "treat_description", "score_set_product_id", "kb_product_id"]
-    cve = cve_mart(write_line_staging(spark, d), AS_OF, co_located=True)
+    cve = cve_mart(write_line_staging(spark, d), AS_OF, co_located=True, apart=True)
     return cve.select(DOC, "cve", "vul_title", "cwe", "status_type", "base_score", F.col("rev_number").cast("double").alias("rev_number"),
                       "rev_date", "rev_description", "fixed_build", "kb", "doc_document_title",
                       F.date_format("doc_current_relise_date", TS_FORMAT).alias("doc_current_relise_date"),

@@ -62,3 +62,42 @@ def test_distinct_in_groups(spark):
                                           F.coalesce("a", F.array().cast("array<string>")).alias("a")).distinct())
     tree = plan(distinct_in_groups(df.repartition("k"), ["k"]))
     assert tree[:tree.index("(1) ")].count("Exchange") == 1
+
+
+def test_vulnerabilities_apart_have_the_star_of_all(spark, staging):
+    """The DISTINCT before the joins: repeated rows, keys of two vulnerabilities, shared fields, null keys."""
+    from pyspark.sql import functions as F
+
+    from patchlens.plans.marts import cve_mart
+    v = staging["vulnerability"]
+    again = v.limit(3)
+    st = dict(staging)
+    st["vulnerability"] = (v.unionByName(again)                                        # repeated
+                           .unionByName(again.withColumn("id", F.col("id") + 1))       # the fields of another id, under a key in use
+                           .unionByName(again.withColumn("id", F.col("id") + 1_000))   # ... under a key without children
+                           .unionByName(again.withColumn("id", F.lit(None).cast(v.schema["id"].dataType)))
+                           .unionByName(again.withColumn("cve", F.lit("CVE-X"))))      # a key with two sets of fields
+    rem, status = staging["vulnerability_remediation"], staging["vulnerability_status"]
+    st["vulnerability_remediation"] = rem.unionByName(rem).unionByName(rem.withColumn("kb", F.lit(None).cast("string"))) \
+        .unionByName(rem.withColumn("kb", F.lit("")))
+    st["vulnerability_status"] = status.unionByName(status.withColumn("status_type", F.lit(None).cast("string"))) \
+        .unionByName(status.withColumn("status_type", F.lit("")))
+    st["document_info"] = staging["document_info"].unionByName(staging["document_info"])
+    for tables in (staging, st):
+        for co_located in (False, True):
+            want = rows(cve_mart(tables, "2024-04-20", co_located=co_located))
+            got = cve_mart(tables, "2024-04-20", co_located=co_located, apart=True)
+            assert want and rows(got) == want
+
+
+def test_co_located_star_shuffles_no_row_of_vulnerabilities_apart(spark):
+    """Only the DISTINCT of those that share their fields is an exchange of star rows."""
+    from patchlens.plans.marts import cve_mart
+    from patchlens.queries_catalog import write_line_staging
+    star = cve_mart(write_line_staging(spark, SF_SMALL), "1998-03-10", co_located=True, apart=True)
+    tree = plan(star)
+    tree = tree[:tree.index("(1) ")]
+    first, second = tree.index("Union"), tree.rindex("HashAggregate")
+    branch = tree[first:].split("\n")
+    top = next(i for i, line in enumerate(branch[1:], 1) if "Join" in line)
+    assert "Aggregate" not in "".join(branch[:top]) and "Exchange" not in "".join(branch[:top]) and second > first, tree
