@@ -101,3 +101,22 @@ def test_co_located_star_shuffles_no_row_of_vulnerabilities_apart(spark):
     branch = tree[first:].split("\n")
     top = next(i for i, line in enumerate(branch[1:], 1) if "Join" in line)
     assert "Aggregate" not in "".join(branch[:top]) and "Exchange" not in "".join(branch[:top]) and second > first, tree
+
+
+def test_catalog_sides_meet_where_they_are_reduced(spark):
+    """One exchange for each side by (month, kb), and no sort between reducing and joining them."""
+    from patchlens.plans.marts import catalog_top_build
+    cve = spark.createDataFrame([("m", "k", "c", "1", "t")], "doc_xml_date string, kb string, cve string, base string, title string")
+    rem = spark.createDataFrame([("m", "k", ["p"], "b")], "doc_xml_date string, kb string, product_id array<string>, fixed_build string")
+    product = spark.createDataFrame([("p", "n")], "id string, product_name string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = catalog_top_build(cve, rem, product.hint("broadcast"), carry=("base", "title"))
+        p = plan(got)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    tree = p[:p.index("(1) ")]
+    assert tree.replace("BroadcastExchange", "").count("Exchange") == 2, tree
+    assert tree.replace("SortMergeJoin", "").replace("SortAggregate", "").count("Sort") == 2, tree
+    assert [tuple(r) for r in got.collect()] == [("m", "c", "k", "p", "n", "b", "1", "t")]
