@@ -40,3 +40,17 @@ def test_line_queries_parse_only_their_parts(spark):
         plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         parsed = plan[plan.index("from_xml("):].partition("to_xml(")[0]
         assert "Vulnerability" in parsed and f"StructField({absent}" not in parsed, name
+
+
+def test_the_mart_is_the_same_from_its_own_parts(spark):
+    from patchlens.plans.marts import IN_DOCUMENT, cve_mart_in_document
+    texts = spark.createDataFrame([(f"m{i}", x) for i, x in enumerate([XML, *ODD])], "label string, xml string")
+    cut = schemas.selected(schemas.DOCUMENT, IN_DOCUMENT)
+    of_cut, of_whole = (sorted(cve_mart_in_document(parse_bulletin_text(texts, "xml", "label", schema), "2024-01-01").collect(), key=str)
+                        for schema in (cut, schemas.DOCUMENT))
+    assert of_cut == of_whole and len(of_whole) > 2
+    plan = QUERIES["xml_cve_mart"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    parsed = plan[plan.index("from_xml("):].partition("to_xml(")[0]
+    assert "StructField(FixedBuild" in parsed
+    for absent in ("URL", "Vector", "Acknowledgment", "ProductTree", "_cpe-lang", "DocumentNotes", "SubType"):
+        assert f"StructField({absent}" not in parsed, absent
